@@ -59,7 +59,7 @@ EVENTS_SCHEMA = T.StructType(
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def _as_samples(df: DataFrame) -> DataFrame:

@@ -39,6 +39,7 @@ class Cells:
     rows: DataFrame
     keys: list[str]
     cells: DataFrame
+    n_cells: int
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
@@ -110,9 +111,9 @@ def split_crowded_keys(
         )
         keys = [*keys, name]
         cells = cut_lineage(rows.where("_crowded").groupBy(*keys).agg(*counts, *(extra or [])))
-        rule = cut_lineage(cuts(cells, keys, cell_limit))
+        rule = cuts(cells, keys, cell_limit)
         n_cuts = rule.count()
-    return Cells(rows.drop("_crowded"), keys, cells)
+    return Cells(rows.drop("_crowded"), keys, cells, cells.count())
 
 
 def number_rows(
@@ -144,9 +145,14 @@ def number_rows(
         numbered = rows.withColumn("pos", position)
         return (numbered if first is None else numbered.where(F.col("pos") < first)), [key], length
 
-    placement, n_cells = _blocks_of_cells(split, key, length, reach)
+    # A cell reaches into one more block at most, unless the rows before a block exceed its length.
+    n_entries = split.n_cells * (2 + reach // length)
+    placement = _blocks_of_cells(split, key, length, reach)
+    # Blocks that share a cell must agree on its order, so rows equal in the order columns are told apart
+    # by the others; rows equal in all columns are interchangeable.
+    ordering += [F.col(n) for n in rows.columns if n not in (key, *order)]
     placed = (
-        split.rows.join(broadcast_if_small(placement, n_cells), split.keys, "left")
+        split.rows.join(broadcast_if_small(placement, n_entries), split.keys, "left")
         .drop(*split.keys[1:])
         .withColumn("block", F.coalesce("block", F.lit(0).cast("bigint")))
         .withColumn("_start", F.coalesce("_start", F.lit(0).cast("bigint")))
@@ -163,8 +169,8 @@ def number_rows(
     return (numbered if first is None else numbered.where(F.col("pos") < first)), [key, "block"], length
 
 
-def _blocks_of_cells(split: Cells, key: str, length: int, reach: int) -> tuple[DataFrame, int]:
-    """(cell, block, position of the block's first delivered row) and an upper estimate of its rows."""
+def _blocks_of_cells(split: Cells, key: str, length: int, reach: int) -> DataFrame:
+    """For every cell the block(s) that need it and the position of the block's first delivered row."""
     by_key = W.partitionBy(key)
     before = by_key.orderBy(*split.keys[1:]).rowsBetween(W.unboundedPreceding, W.currentRow)
     spans = split.cells.select(
@@ -176,7 +182,7 @@ def _blocks_of_cells(split: Cells, key: str, length: int, reach: int) -> tuple[D
     last = F.least(
         F.floor((F.col("_to") - 1 + reach) / length), F.floor((F.col("_total") - 1) / length)
     )
-    placement = spans.select(
+    return spans.select(
         *split.keys,
         "_from",
         F.explode(F.sequence(F.floor(F.col("_from") / length), last)).alias("block"),
@@ -185,4 +191,3 @@ def _blocks_of_cells(split: Cells, key: str, length: int, reach: int) -> tuple[D
         "block",
         F.min("_from").over(W.partitionBy(key, "block")).alias("_start"),
     )
-    return placement, 2 * split.cells.count()

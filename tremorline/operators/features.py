@@ -13,17 +13,19 @@ DEFAULT_RATE_HZ = 1000.0
 FEATURES = ["rms", "mean", "std", "dominant_freq_hz"]
 
 
-def time_domain_features(newest: Column) -> list[Column]:
-    """Mergeable aggregates of a window; ``newest`` orders its samples in time."""
-    x = F.col("acceleration")
+def time_domain_features(newest: str) -> list[Column]:
+    """Mergeable aggregates of a window; ``newest`` is an expression that orders its samples in time."""
     return [
-        F.count(F.lit(1)).alias("n"),
-        F.sqrt(F.avg(x * x)).alias("rms"),
-        F.avg(x).alias("mean"),
-        F.stddev_pop(x).alias("std"),
-        F.min("ts").alias("window_start"),
-        F.max("ts").alias("window_end"),
-        F.max_by("ground_truth", newest).alias("ground_truth"),
+        F.expr(aggregate)
+        for aggregate in (
+            "count(*) AS n",
+            "sqrt(avg(acceleration * acceleration)) AS rms",
+            "avg(acceleration) AS mean",
+            "stddev_pop(acceleration) AS std",
+            "min(ts) AS window_start",
+            "max(ts) AS window_end",
+            f"max_by(ground_truth, {newest}) AS ground_truth",
+        )
     ]
 
 
@@ -33,18 +35,21 @@ def sample_rate() -> Column:
     ``n`` samples span ``n - 1`` intervals, so the estimate is high by ``n / (n - 1)``. That is the
     definition the dominant frequency is specified with.
     """
-    span = (F.unix_micros("window_end") - F.unix_micros("window_start")) / F.lit(1e6)
-    return F.when((F.col("n") > 1) & (span > 0), F.col("n") / span).otherwise(F.lit(DEFAULT_RATE_HZ))
+    return F.expr(
+        f"""CASE WHEN n > 1 AND window_end > window_start
+            THEN n / ((unix_micros(window_end) - unix_micros(window_start)) / 1e6D)
+            ELSE {DEFAULT_RATE_HZ}D END"""
+    )
 
 
-def bin_frequency(bin_index: Column, n: Column, rate: Column) -> Column:
-    """Frequency in Hz of a bin of an ``n``-point transform."""
-    return bin_index * (F.lit(1.0) / (n * (F.lit(1.0) / rate)))
+def bin_frequency(bin_column: str) -> Column:
+    """Frequency in Hz of a bin of an ``n``-point transform at ``sample_rate_hz``."""
+    return F.expr(f"{bin_column} * (1D / (n * (1D / sample_rate_hz)))")
 
 
 def window_arrays() -> Column:
     """The window's readings in time order; at most one window per group is collected."""
-    return F.sort_array(F.collect_list(F.struct("pos", "acceleration")))["acceleration"]
+    return F.expr("sort_array(collect_list(struct(pos, acceleration))).acceleration AS readings")
 
 
 def count_window_aggregates(
@@ -56,9 +61,9 @@ def count_window_aggregates(
 ) -> DataFrame:
     """One row per complete count window with its time-domain features and, if asked, its readings."""
     windowed, keys = assign_count_windows(samples, size, hop, block_rows)
-    aggregates = [*time_domain_features(F.col("pos")), F.max("pos").alias("last_pos")]
+    aggregates = [*time_domain_features("pos"), F.max("pos").alias("last_pos")]
     if with_array:
-        aggregates.append(window_arrays().alias("readings"))
+        aggregates.append(window_arrays())
     due = windowed.groupBy(*keys).agg(*aggregates).where(is_due(size, hop))
     return due.drop("block", "last_pos")
 
@@ -66,7 +71,7 @@ def count_window_aggregates(
 def with_frequencies(windows: DataFrame) -> DataFrame:
     """Add ``sample_rate_hz`` and ``dominant_freq_hz`` to windows with a ``dominant_bin``."""
     return windows.withColumn("sample_rate_hz", sample_rate()).withColumn(
-        "dominant_freq_hz", bin_frequency(F.col("dominant_bin"), F.col("n"), F.col("sample_rate_hz"))
+        "dominant_freq_hz", bin_frequency("dominant_bin")
     )
 
 
@@ -84,15 +89,12 @@ def window_spectra(
     """Magnitude and frequency of every bin of every complete count window."""
     spectra = (
         count_window_aggregates(samples, size, hop, block_rows=block_rows)
-        .withColumn("_rate", sample_rate())
-        .select("device_id", "window_id", "n", "_rate", F.posexplode(magnitude_spectrum("readings")))
+        .withColumn("sample_rate_hz", sample_rate())
+        .withColumn("_spectrum", magnitude_spectrum("readings"))
+        .selectExpr("*", "posexplode(_spectrum) AS (bin, magnitude)")
     )
     return spectra.select(
-        "device_id",
-        "window_id",
-        F.col("pos").alias("bin"),
-        bin_frequency(F.col("pos"), F.col("n"), F.col("_rate")).alias("frequency_hz"),
-        F.col("col").alias("magnitude"),
+        "device_id", "window_id", "bin", bin_frequency("bin").alias("frequency_hz"), "magnitude"
     )
 
 
@@ -102,7 +104,8 @@ def time_window_features(samples: DataFrame, duration: str = "1 second") -> Data
     All aggregates merge, so a crowded window is reduced in the map tasks. The spectrum is left to count
     windows, where the number of readings brought together is fixed.
     """
-    newest = F.struct("ts", "seq")
+    # (ts, seq) as one number: a struct as ordering would force a sort of all rows before aggregating.
+    newest = "cast(unix_micros(ts) AS decimal(20, 0)) * 18446744073709551616BD + seq"
     return (
         samples.groupBy("device_id", time_window(duration).alias("_window"))
         .agg(*time_domain_features(newest))

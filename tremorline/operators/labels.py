@@ -99,7 +99,7 @@ def _label_by_sweep(samples: DataFrame, faults: DataFrame, block_rows: int) -> D
     if split is not None:
         earlier = W.partitionBy("device_id").orderBy(*keys[1:]).rowsBetween(W.unboundedPreceding, -1)
         carried = split.cells.select(*keys, F.max("_cell_until").over(earlier).alias("_carried"))
-        merged = split.rows.join(broadcast_if_small(carried, split.cells.count()), keys, "left")
+        merged = split.rows.join(broadcast_if_small(carried, split.n_cells), keys, "left")
         until = F.greatest(until, F.col("_carried"))
     # Rows of the schedule carry an end; they leave once they have been counted.
     return (

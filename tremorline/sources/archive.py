@@ -90,7 +90,7 @@ def decode_files(files: DataFrame) -> DataFrame:
     lines = body.select(
         "file_name",
         F.col("_body.reason").alias("_reason"),
-        F.explode_outer(F.split(F.rtrim(F.col("_body.text")), r"\r?\n")).alias("record"),
+        F.explode_outer(F.split(F.regexp_replace("_body.text", r"\s+$", ""), r"\s*\n\s*")).alias("record"),
     )
     return parse_records(lines, F.col("_reason"))
 

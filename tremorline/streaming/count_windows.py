@@ -17,13 +17,13 @@ from tremorline.operators.features import with_frequencies
 
 WINDOW_COLUMNS = (
     "device_id string, window_id bigint, n bigint, rms double, mean double, std double, "
-    "dominant_bin int, window_start timestamp, window_end timestamp, ground_truth boolean"
+    "dominant_bin int, start_us bigint, end_us bigint, ground_truth boolean"
 )
 STATE_COLUMNS = (
-    "seen bigint, ts array<timestamp>, seq array<bigint>, acceleration array<double>, "
+    "seen bigint, ts_us array<bigint>, seq array<bigint>, acceleration array<double>, "
     "ground_truth array<boolean>"
 )
-FIELDS = ["ts", "seq", "acceleration", "ground_truth"]
+FIELDS = ["ts_us", "seq", "acceleration", "ground_truth"]
 
 
 def cut_windows(
@@ -33,13 +33,12 @@ def cut_windows(
 
     State is the number of samples seen and fewer than ``size + hop`` samples.
     """
-    new = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
+    new = pd.concat(list(batches), ignore_index=True).sort_values(["ts_us", "seq"])
     seen = 0
     rows = new[FIELDS]
     if state.exists:
         seen, *kept = state.get
         tail = pd.DataFrame(dict(zip(FIELDS, kept)))
-        tail["ts"] = pd.to_datetime(tail["ts"])
         rows = pd.concat([tail, rows], ignore_index=True) if len(tail) else rows
     total = seen + len(new)
     base = total - len(rows)
@@ -48,7 +47,7 @@ def cut_windows(
         last = due * hop - base
         first = np.maximum(due * hop - size, 0) - base
         x = rows["acceleration"].to_numpy(dtype=float)
-        ts = rows["ts"].to_numpy()
+        ts_us = rows["ts_us"].to_numpy()
         n = last - first
         windows = pd.DataFrame({"device_id": key[0], "window_id": due - 1, "n": n})
         # The first windows may be shorter than the rest; windows of one length are reduced together.
@@ -61,21 +60,13 @@ def cut_windows(
             windows.loc[same, "dominant_bin"] = dominant_bins(matrix)
         yield windows.assign(
             dominant_bin=windows["dominant_bin"].astype("int32"),
-            window_start=ts[first],
-            window_end=ts[last - 1],
+            start_us=ts_us[first],
+            end_us=ts_us[last - 1],
             ground_truth=rows["ground_truth"].to_numpy(dtype=bool)[last - 1],
         )
     next_first = max(0, (total // hop + 1) * hop - size)
     rest = rows.iloc[max(0, next_first - base):]
-    state.update(
-        (
-            total,
-            list(rest["ts"].dt.to_pydatetime()),
-            rest["seq"].tolist(),
-            rest["acceleration"].tolist(),
-            rest["ground_truth"].tolist(),
-        )
-    )
+    state.update((total, *(rest[name].tolist() for name in FIELDS)))
 
 
 def stream_count_windows(samples: DataFrame, size: int, hop: int | None = None) -> DataFrame:
@@ -86,14 +77,19 @@ def stream_count_windows(samples: DataFrame, size: int, hop: int | None = None)
     A trailing partial window stays in the state. What one task holds is the device's share of a
     micro-batch, so bound those with the source's ``maxFilesPerTrigger``.
     """
-    windows = samples.groupBy("device_id").applyInPandasWithState(
+    timed = samples.select("device_id", F.unix_micros("ts").alias("ts_us"), *FIELDS[1:])
+    windows = timed.groupBy("device_id").applyInPandasWithState(
         partial(cut_windows, size=size, hop=size if hop is None else hop),
         outputStructType=WINDOW_COLUMNS,
         stateStructType=STATE_COLUMNS,
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
-    return with_frequencies(windows)
+    return with_frequencies(
+        windows.withColumn("window_start", F.timestamp_micros("start_us"))
+        .withColumn("window_end", F.timestamp_micros("end_us"))
+        .drop("start_us", "end_us")
+    )
 
 
 def stream_detect(
