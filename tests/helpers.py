@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tremorline.model import SAMPLE_SCHEMA
 
@@ -25,7 +26,8 @@ def samples(spark, values, rate=1000.0, device="d1", truth=None, times=None):
 
 
 def rows_of(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+    picked = [F.expr(c) if isinstance(c, str) else c for c in columns]
+    return sorted((tuple(r) for r in df.select(*picked).collect()), key=repr)
 
 
 def expected_features(values, times):

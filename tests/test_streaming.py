@@ -18,8 +18,8 @@ from tremorline.streaming import sinks
 from tremorline.streaming.count_windows import cut_windows, stream_count_windows, stream_detect
 from tremorline.streaming.time_windows import stream_time_windows
 
-COLUMNS = ("device_id", "window_id", "n", F.round("rms", 9), F.round("mean", 9), F.round("std", 9),
-           "window_start", "window_end", F.round("dominant_freq_hz", 9), "ground_truth")
+COLUMNS = ("device_id", "window_id", "n", "round(rms, 9)", "round(mean, 9)", "round(std, 9)", "window_start",
+           "window_end", "round(dominant_freq_hz, 9)", "ground_truth")
 
 
 def signal(spark, n=100):
