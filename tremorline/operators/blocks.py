@@ -82,7 +82,8 @@ def split_crowded_keys(
     by_minor = F.coalesce(F.col("_hi2") > F.col("_lo2"), F.lit(False))
 
     def cuts(stats: DataFrame, keys: list[str], limit: int) -> DataFrame:
-        parts = F.greatest(F.lit(16), F.ceil(F.col("_n") * 2 / F.lit(limit)))
+        # Cells of half the limit on average leave room for an uneven spread.
+        parts = F.greatest(F.lit(16), F.ceil(F.col("_n") * 2 / F.lit(cell_limit)))
         span = F.when(by_major, F.col("_hi1") - F.col("_lo1")).otherwise(F.col("_hi2") - F.col("_lo2")) + 1
         return stats.where((F.col("_n") > limit) & (by_major | by_minor)).select(
             *keys,

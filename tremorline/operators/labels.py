@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tremorline.operators.blocks import BLOCK_ROWS, CELLS_PER_BLOCK, broadcast_if_small, split_crowded_keys
+from tremorline.session import cut_lineage
 
 MAX_PIECES = 200_000
 MAX_PIECES_PER_BUCKET = 64
@@ -49,7 +50,7 @@ def label_faults(
     )
     n_pieces = valid.agg(F.coalesce(F.sum(hours + 1), F.lit(0))).first()[0]
     if n_pieces <= max_pieces:
-        pieces = _hourly_pieces(merge_intervals(valid))
+        pieces = cut_lineage(_hourly_pieces(merge_intervals(valid)))
         crowded = pieces.groupBy("device_id", "_hour").count().where(F.col("count") > MAX_PIECES_PER_BUCKET)
         if crowded.isEmpty():
             return _label_by_hour(samples, pieces)

@@ -17,13 +17,17 @@ def publish(windows: DataFrame, path: str) -> DataFrame:
     return read_lake(windows.sparkSession, path)
 
 
-def archive_batches(windows: DataFrame, path: str, mode: str = "append") -> None:
-    """Queue detected windows as gzip JSON lines; many windows per file, the batch id in the record."""
+def archive_batches(windows: DataFrame, path: str, mode: str = "append", max_records: int = 100_000) -> None:
+    """Queue detected windows as gzip JSON lines; many windows per file, the batch id in the record.
+
+    ``max_records`` bounds the size of a file, which the audit decodes as a whole.
+    """
     (
         window_payloads(windows)
         .drop("window_id", "window_end")
         .write.mode(mode)
         .option("compression", "gzip")
+        .option("maxRecordsPerFile", max_records)
         .json(path)
     )
 

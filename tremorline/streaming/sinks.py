@@ -49,7 +49,7 @@ def write_windows(windows: DataFrame, path: str, checkpoint: str, interval: str
 def queue_windows(windows: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Append a stream of detected windows to an archive of gzip JSON batches."""
     batches = window_payloads(windows).drop("window_id", "window_end")
-    return _start(batches, "json", path, checkpoint, interval, compression="gzip")
+    return _start(batches, "json", path, checkpoint, interval, compression="gzip", maxRecordsPerFile=100_000)
 
 
 def stream_archive(

@@ -10,7 +10,8 @@ from tremorline.operators.features import time_window_features
 def stream_time_windows(samples: DataFrame, duration: str, lateness: str) -> DataFrame:
     """Time-domain features per device and event-time window.
 
-    A window is emitted once the watermark (latest time seen less ``lateness``) has passed its end;
-    samples that come later than that are dropped. State is one aggregate buffer per open window.
+    A window is emitted, once, when the watermark (latest time seen less ``lateness``) has passed its end.
+    Samples within ``lateness`` of the latest always count; those that come after their window was emitted
+    are dropped. State is one aggregate buffer per open window.
     """
     return time_window_features(samples.withWatermark("ts", lateness), duration)
