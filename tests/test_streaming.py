@@ -1,5 +1,6 @@
 import gzip
 import json
+import shutil
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from tremorline.sources.archive import with_event_time
 from tremorline.sources.lake import read_lake
 from tremorline.sources.samples import read_sample_stream
 from tremorline.streaming import sinks
+from tremorline.streaming.batch_windows import count_windows_by_batch
 from tremorline.streaming.count_windows import cut_windows, stream_count_windows, stream_detect
 from tremorline.streaming.time_windows import stream_time_windows
 
@@ -48,6 +50,31 @@ def test_stream_equals_batch_over_several_micro_batches(spark, tmp_path, size, h
     assert got == rows_of(extract_features(frame, size, hop), *COLUMNS)
 
 
+@pytest.mark.parametrize("size, hop, block_rows", [(16, 16, 4_000_000), (12, 5, 10)])
+def test_micro_batches_through_the_batch_operators(spark, tmp_path, size, hop, block_rows):
+    frame = signal(spark)
+    (tmp_path / "in").mkdir()
+    out, state, checkpoint = (str(tmp_path / name) for name in ("out", "state", "c"))
+    write_parts(frame, tmp_path / "in", [1, 14, 40, 77])
+
+    def run():
+        stream = read_sample_stream(spark, str(tmp_path / "in"), SAMPLE_SCHEMA, max_files=1)
+        count_windows_by_batch(stream, size, out, state, checkpoint, hop, block_rows=block_rows).awaitTermination()
+
+    run()
+    expected = rows_of(extract_features(frame, size, hop), *COLUMNS)
+    assert rows_of(spark.read.parquet(out), *COLUMNS) == expected
+    # A crash before the last commit makes Spark hand the last micro-batch over again.
+    commits = sorted((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    assert len(commits) == 5
+    copy = tmp_path / "c2"
+    shutil.copytree(tmp_path / "c", copy, ignore=lambda d, names: [
+        n for n in names if d.endswith("commits") and n.strip(".").startswith(commits[-1].name)])
+    checkpoint = str(copy)
+    run()
+    assert rows_of(spark.read.parquet(out), *COLUMNS) == expected
+
+
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     frame = signal(spark)
     (tmp_path / "in").mkdir()
