@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import arrow_udf
 
 from tremorline.functions.keys import utc_timestamp
 from tremorline.functions.payload import CORRUPT, decode_payload
@@ -23,7 +23,8 @@ BATCH_FIELDS = T.StructType(
     + PAYLOAD_SCHEMA.fields
 )
 
-BODY = T.StructType([T.StructField("text", T.StringType()), T.StructField("reason", T.StringType())])
+LINES = T.StructType([T.StructField(name, T.StringType()) for name in ("file_name", "record", "_reason")])
+LINES_PER_BATCH = 10_000
 
 
 def read_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN) -> DataFrame:
@@ -43,26 +44,27 @@ def read_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN) -
     return rows.withColumn("batch_id", F.coalesce("batch_id", F.col("_metadata.file_name")))
 
 
-@arrow_udf(BODY)
-def gunzip_text(contents: pa.Array) -> pa.Array:
-    """The UTF-8 text of each gzip body, or the reason why there is none."""
-    texts: list[str | None] = []
-    reasons: list[str | None] = []
-    for body in contents:
-        text, reason = None, None
-        try:
-            text = gzip.decompress(body.as_py()).decode("utf-8")
-        except UnicodeDecodeError:
-            reason = "not utf-8"
-        except (OSError, EOFError, zlib.error):
-            reason = "not gzip"
-        if text is not None and not text.strip():
-            text, reason = None, "empty"
-        texts.append(text)
-        reasons.append(reason)
-    return pa.StructArray.from_arrays(
-        [pa.array(texts, pa.string()), pa.array(reasons, pa.string())], names=["text", "reason"]
-    )
+def gunzip_lines(body: bytes) -> tuple[list[str | None], str | None]:
+    """The non-blank lines of a gzip body, or one missing line and the reason why it has none."""
+    try:
+        lines = [line.strip() for line in gzip.decompress(body).decode("utf-8").split("\n")]
+    except UnicodeDecodeError:
+        return [None], "not utf-8"
+    except (OSError, EOFError, zlib.error):
+        return [None], "not gzip"
+    lines = [line for line in lines if line]
+    return (lines, None) if lines else ([None], "empty")
+
+
+def explode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One output row per line. A file is decoded as a whole first: a damaged end condemns all of it."""
+    for batch in batches:
+        for name, body in zip(batch["file_name"], batch["content"]):
+            lines, reason = gunzip_lines(body.as_py())
+            for start in range(0, len(lines), LINES_PER_BATCH):
+                part = lines[start : start + LINES_PER_BATCH]
+                columns = [[name.as_py()] * len(part), part, [reason] * len(part)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=LINES.names)
 
 
 def classify_record(text: Column, parsed: Column) -> Column:
@@ -84,15 +86,8 @@ def decode_files(files: DataFrame) -> DataFrame:
     Columns: ``file_name``, ``record`` (the text, null if the body has none), ``reason`` (null for a
     record that can be published) and the batch fields. Works on static and streaming frames.
     """
-    body = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), gunzip_text("content").alias("_body")
-    )
-    lines = body.select(
-        "file_name",
-        F.col("_body.reason").alias("_reason"),
-        F.explode_outer(F.split(F.regexp_replace("_body.text", r"\s+$", ""), r"\s*\n\s*")).alias("record"),
-    )
-    return parse_records(lines, F.col("_reason"))
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
+    return parse_records(named.mapInArrow(explode_files, LINES), F.col("_reason"))
 
 
 def parse_records(lines: DataFrame, body_reason: Column | None = None) -> DataFrame:
