@@ -74,17 +74,21 @@ b AS (
   SELECT *, printf('batch_%019d_%010d.json.gz', epoch_us(t1) * 1000, window_id) AS batch_id FROM f
 )"""
 
-METRIC_COUNTS = """
+def metric_counts(by: str = "") -> str:
+    key, group = (f"{by}, ", f"GROUP BY {by}") if by else ("", "")
+    return f"""
 c AS (
-  SELECT count(*) FILTER (flag AND truth) AS tp, count(*) FILTER (flag AND NOT truth) AS fp,
+  SELECT {key}count(*) FILTER (flag AND truth) AS tp, count(*) FILTER (flag AND NOT truth) AS fp,
          count(*) FILTER (NOT flag AND truth) AS fn, count(*) FILTER (NOT flag AND NOT truth) AS tn
-  FROM f
+  FROM f {group}
 ),
 p AS (
   SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS prec,
          CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS rec, tp + fp + fn + tn AS total
   FROM c
 )"""
+
+
 METRICS = """tp AS true_positives, fp AS false_positives, fn AS false_negatives, tn AS true_negatives,
   total AS total_windows, round(prec, 4) AS "precision", round(rec, 4) AS recall,
   round(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END, 4) AS f1_score,
@@ -113,7 +117,7 @@ WINDOWED = [SAMPLES, WINDOWS]
 JUDGED = [SAMPLES, WINDOWS, FLAGGED]
 QUEUED = [SAMPLES, WINDOWS, FLAGGED, BATCHES]
 FULL = [SAMPLES, WINDOWS, SPECTRUM, RATE, DOMINANT, FLAGGED, BATCHES]
-SCORED = [SAMPLES, WINDOWS, FLAGGED, METRIC_COUNTS]
+SCORED = [SAMPLES, WINDOWS, FLAGGED, metric_counts()]
 
 NOT_SYNCED = "NOT (t1 < TIMESTAMP '2024-01-16')"
 PAYLOADS = sql(FULL, f"SELECT {PAYLOAD_COLUMNS} FROM b JOIN d USING (device_id, window_id)")
@@ -122,6 +126,9 @@ DETECTED = sql(FULL, f"SELECT {DETECTED_COLUMNS} FROM f JOIN d USING (device_id,
 ROLLED = sql([SAMPLES, ROLLING], f"SELECT {WINDOW_COLUMNS} FROM w")
 SCORES = sql(SCORED, f"SELECT {METRICS} FROM p")
 
+LISTED = "listed AS (SELECT CAST(c_custkey AS VARCHAR) AS device_id FROM customer)"
+KNOWN = "known AS (SELECT device_id, rms, mean, std, freq FROM w JOIN d USING (device_id, window_id))"
+
 RECORDS = """
 t AS (
   SELECT event_id, CASE event_type
@@ -159,12 +166,9 @@ def all_oracles() -> dict[str, str]:
             round(magnitude, 6) AS magnitude FROM m JOIN rate USING (device_id, window_id)"""),
         "dominant_frequency": sql(FULL, """SELECT device_id, window_id, round(hz, 12) AS sample_rate_hz,
             CAST(k AS INTEGER) AS dominant_bin, round(freq, 12) AS dominant_freq_hz FROM d"""),
-        "device_feature_defaults": sql(FULL, """,
-            listed AS (SELECT CAST(c_custkey AS VARCHAR) AS device_id FROM customer),
-            known AS (SELECT device_id, rms, mean, std, freq FROM w JOIN d USING (device_id, window_id))
-            SELECT device_id, round(coalesce(rms, 0.0), 9) AS rms, round(coalesce(mean, 0.0), 9) AS mean,
+        "device_feature_defaults": sql([*FULL, LISTED, KNOWN], """SELECT device_id, round(coalesce(rms, 0.0), 9) AS rms, round(coalesce(mean, 0.0), 9) AS mean,
               round(coalesce(std, 0.0), 9) AS std, round(coalesce(freq, 0.0), 12) AS dominant_freq_hz
-            FROM listed FULL JOIN known USING (device_id)""").replace("\n,", ",", 1),
+            FROM listed FULL JOIN known USING (device_id)"""),
         "detect_anomalies": DETECTED,
         "confusion_classes": sql(JUDGED, """SELECT device_id, window_id, CASE WHEN flag AND truth THEN 'TP'
             WHEN flag THEN 'FP' WHEN truth THEN 'FN' ELSE 'TN' END AS outcome FROM f"""),
@@ -173,9 +177,7 @@ def all_oracles() -> dict[str, str]:
             count(*) FILTER (NOT flag AND truth) AS false_negatives,
             count(*) FILTER (NOT flag AND NOT truth) AS true_negatives FROM f GROUP BY device_id"""),
         "confusion_metrics": SCORES,
-        "device_metrics": SCORES.replace("SELECT count(*)", "SELECT device_id, count(*)", 2)
-            .replace("SELECT device_id, count(*) FILTER (flag AND truth) AS tp", "SELECT device_id, count(*) FILTER (flag AND truth) AS tp")
-            .replace("FROM f\n)", "FROM f GROUP BY device_id\n)").replace("SELECT tp AS", "SELECT device_id, tp AS"),
+        "device_metrics": sql([*JUDGED, metric_counts("device_id")], f"SELECT device_id, {METRICS} FROM p"),
         "metrics_report": sql(SCORED, f"""SELECT printf('%.2f%%', "precision" * 100) AS "precision",
             printf('%.2f%%', recall * 100) AS recall, printf('%.2f%%', f1_score * 100) AS f1_score, total_windows,
             printf('Precision: %.2f%%, Recall: %.2f%%, F1-Score: %.2f%%, Total Windows: %d (TP=%d, FP=%d, FN=%d, TN=%d)',
@@ -229,6 +231,7 @@ def all_oracles() -> dict[str, str]:
             AND month = '01' AND year = '2024'"""),
         "lake_listing": sql(QUEUED, f"SELECT DISTINCT {PARTITIONS}, device_id, CAST(1 AS BIGINT) AS n_files FROM b"),
         "stream_count_window": ROLLED,
+        "stream_window_batches": sql(WINDOWED, f"SELECT {WINDOW_COLUMNS} FROM w"),
         "stream_detect": DETECTED,
         "stream_time_window": """SELECT CAST(user_id AS VARCHAR) AS device_id,
             round(epoch_us(date_trunc('day', ts)) / 1e6, 6) AS interval_start, count(*) AS n,

@@ -37,6 +37,7 @@ from tremorline.sources.archive import audit_archive, parse_records, read_archiv
 from tremorline.sources.lake import list_lake, read_lake, write_lake
 from tremorline.sources.samples import read_sample_stream, to_samples
 from tremorline.streaming import sinks
+from tremorline.streaming.batch_windows import count_windows_by_batch
 from tremorline.streaming.count_windows import stream_count_windows, stream_detect
 from tremorline.streaming.time_windows import stream_time_windows
 
@@ -388,6 +389,14 @@ def q_stream_count_window(spark, sf_dir):
     return rounded(spark.read.parquet(f"{path}/windows"), WINDOW_COLUMNS)
 
 
+def q_stream_window_batches(spark, sf_dir):
+    path = new_folder(spark, "stream")
+    count_windows_by_batch(
+        sample_stream(spark, sf_dir), SIZE, f"{path}/windows", f"{path}/state", f"{path}/checkpoint"
+    ).awaitTermination()
+    return rounded(spark.read.parquet(f"{path}/windows"), WINDOW_COLUMNS)
+
+
 def q_stream_detect(spark, sf_dir):
     path = new_folder(spark, "stream")
     windows = stream_detect(sample_stream(spark, sf_dir), SIZE, **LIMITS)

@@ -138,3 +138,25 @@ def test_crowded_device_needs_one_shuffle_of_the_rows(spark, sf_dir):
     rows_side = [line for line in plan.splitlines() if "Exchange hashpartitioning(device_id" in line and "block" in line]
     assert len(rows_side) <= 2  # the rows, and the small table of block starts
     assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan
+
+
+def test_crowded_missing_device_is_cut_like_any_other(spark):
+    frame = _uneven(spark).withColumn("device_id", F.expr("nullif(device_id, 'big')"))
+    plain, _, _ = number_rows(frame)
+    blocks, keys, _ = number_rows(frame, block_rows=50)
+    assert rows_of(blocks, "device_id", "seq", "pos") == rows_of(plain, "device_id", "seq", "pos")
+    assert blocks.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 50
+
+
+def test_entries_above_the_broadcast_limit_are_joined_by_shuffle(spark, monkeypatch):
+    monkeypatch.setattr("tremorline.operators.blocks.BROADCAST_ROWS", 0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = _uneven(spark)
+        blocks, _, _ = number_rows(frame, block_rows=50)
+        assert "BroadcastHashJoin" not in blocks._jdf.queryExecution().executedPlan().toString()
+        plain, _, _ = number_rows(frame)
+        assert rows_of(blocks, "device_id", "seq", "pos") == rows_of(plain, "device_id", "seq", "pos")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

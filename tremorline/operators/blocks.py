@@ -46,6 +46,15 @@ def broadcast_if_small(df: DataFrame, n_rows: int) -> DataFrame:
     return F.broadcast(df) if n_rows <= BROADCAST_ROWS else df
 
 
+def join_cells(rows: DataFrame, entries: DataFrame, n_entries: int, keys: list[str]) -> DataFrame:
+    """Left join of rows with entries that are unique per key and cell; a missing key equals itself."""
+    same = [f"rows.`{keys[0]}` <=> entry.`{keys[0]}`", *[f"rows.{k} = entry.{k}" for k in keys[1:]]]
+    joined = rows.alias("rows").join(
+        broadcast_if_small(entries, n_entries).alias("entry"), F.expr(" AND ".join(same)), "left"
+    )
+    return joined.select("rows.*", *[f"entry.{c}" for c in entries.columns if c not in keys])
+
+
 def _axis(df: DataFrame, name: str, descending: bool) -> Column:
     """An order column as a number that grows, never falls, in sort order.
 
@@ -105,7 +114,7 @@ def split_crowded_keys(
             F.coalesce(F.floor(offset / F.col("_width")).cast("bigint"), F.lit(-1).cast("bigint")),
         )
         rows = (
-            rows.join(broadcast_if_small(rule, n_cuts), keys, "left")
+            join_cells(rows, rule, n_cuts, keys)
             .withColumn(name, F.coalesce(cell, F.lit(0).cast("bigint")))
             .withColumn("_crowded", F.col("_by_major").isNotNull() if len(keys) == 1 else F.col("_crowded"))
             .drop("_by_major", "_origin", "_width")
@@ -153,7 +162,7 @@ def number_rows(
     # by the others; rows equal in all columns are interchangeable.
     ordering += [F.col(n) for n in rows.columns if n not in (key, *order)]
     placed = (
-        split.rows.join(broadcast_if_small(placement, n_entries), split.keys, "left")
+        join_cells(split.rows, placement, n_entries, split.keys)
         .drop(*split.keys[1:])
         .withColumn("block", F.coalesce("block", F.lit(0).cast("bigint")))
         .withColumn("_start", F.coalesce("_start", F.lit(0).cast("bigint")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tremorline.functions.spectrum import dominant_bin, magnitude_spectrum
 from tremorline.operators.blocks import BLOCK_ROWS
 from tremorline.operators.windows import assign_count_windows, is_due, time_window
+from tremorline.session import cut_lineage
 
 DEFAULT_RATE_HZ = 1000.0
 FEATURES = ["rms", "mean", "std", "dominant_freq_hz"]
@@ -119,8 +120,10 @@ def time_window_features(samples: DataFrame, duration: str = "1 second") -> Data
 def features_for_devices(devices: DataFrame, features: DataFrame) -> DataFrame:
     """Features, plus a row of zeros for each listed device that has no window.
 
-    Only the distinct device ids of ``features`` are shuffled; the windows themselves are not joined.
+    ``features`` is computed once and kept. Only its distinct device ids are joined, so a device with very
+    many windows is no heavy group.
     """
+    features = cut_lineage(features.select("device_id", *FEATURES))
     seen = features.select("device_id").distinct()
     empty = devices.select("device_id").distinct().join(seen, "device_id", "left_anti")
     zeros = empty.select("device_id", *[F.lit(0.0).alias(name) for name in FEATURES])

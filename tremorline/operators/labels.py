@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import BLOCK_ROWS, CELLS_PER_BLOCK, broadcast_if_small, split_crowded_keys
+from tremorline.operators.blocks import BLOCK_ROWS, CELLS_PER_BLOCK, join_cells, split_crowded_keys
 from tremorline.session import cut_lineage
 
 MAX_PIECES = 200_000
@@ -100,7 +100,7 @@ def _label_by_sweep(samples: DataFrame, faults: DataFrame, block_rows: int) -> D
     if split is not None:
         earlier = W.partitionBy("device_id").orderBy(*keys[1:]).rowsBetween(W.unboundedPreceding, -1)
         carried = split.cells.select(*keys, F.max("_cell_until").over(earlier).alias("_carried"))
-        merged = split.rows.join(broadcast_if_small(carried, split.n_cells), keys, "left")
+        merged = join_cells(split.rows, carried, split.n_cells, keys)
         until = F.greatest(until, F.col("_carried"))
     # Rows of the schedule carry an end; they leave once they have been counted.
     return (
