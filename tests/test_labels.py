@@ -64,3 +64,11 @@ def test_small_schedule_is_broadcast_and_the_samples_stay_put(spark):
     frame = label_faults(samples(spark, range(12)), faults(spark, ("d1", 0.005, 0.008)))
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+
+def test_many_faults_within_an_hour_are_swept(spark):
+    spans = [("d1", 0.1 * i, 0.1 * i + 0.05) for i in range(100)]
+    frame = samples(spark, range(200), times=[0.05 * i + 0.02 for i in range(200)])
+    labelled = label_faults(frame, faults(spark, *spans))
+    assert "Window" in labelled._jdf.queryExecution().executedPlan().toString()
+    assert true_at(labelled) == [i for i in range(200) if i % 2 == 0]

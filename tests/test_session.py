@@ -1,0 +1,33 @@
+from types import SimpleNamespace
+
+import pytest
+
+from tremorline.session import cut_lineage, new_folder, shared_folder
+
+
+def fake(master, folder=None):
+    context = SimpleNamespace(master=master, dir=None)
+    context.getCheckpointDir = lambda: context.dir
+    context.setCheckpointDir = lambda path: setattr(context, "dir", path)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: folder), sparkContext=context)
+
+
+def test_the_named_folder_is_used():
+    assert shared_folder(fake("spark://host:7077", "hdfs:///shared")) == "hdfs:///shared"
+    assert new_folder(fake("local[2]", "/shared/"), "lake").startswith("/shared/lake-")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(fake("yarn"))
+
+
+def test_a_local_session_gets_one_folder_of_its_own():
+    session = fake("local[2]")
+    assert shared_folder(session) == shared_folder(session)
+
+
+def test_cut_lineage_keeps_rows_and_forgets_the_plan(spark):
+    frame = cut_lineage(spark.range(10).selectExpr("id * 2 AS twice").where("twice > 5"))
+    assert sorted(r.twice for r in frame.collect()) == [6, 8, 10, 12, 14, 16, 18]
+    assert "Range" not in frame._jdf.queryExecution().executedPlan().toString()

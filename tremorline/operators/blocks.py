@@ -90,11 +90,14 @@ def split_crowded_keys(
     by_major = F.coalesce(F.col("_hi1") > F.col("_lo1"), F.lit(False))
     by_minor = F.coalesce(F.col("_hi2") > F.col("_lo2"), F.lit(False))
 
+    def crowded(limit: int) -> Column:
+        return (F.col("_n") > limit) & (by_major | by_minor)
+
     def cuts(stats: DataFrame, keys: list[str], limit: int) -> DataFrame:
         # Cells of half the limit on average leave room for an uneven spread.
         parts = F.greatest(F.lit(16), F.ceil(F.col("_n") * 2 / F.lit(cell_limit)))
         span = F.when(by_major, F.col("_hi1") - F.col("_lo1")).otherwise(F.col("_hi2") - F.col("_lo2")) + 1
-        return stats.where((F.col("_n") > limit) & (by_major | by_minor)).select(
+        return stats.where(crowded(limit)).select(
             *keys,
             by_major.alias("_by_major"),
             F.when(by_major, F.col("_lo1")).otherwise(F.col("_lo2")).alias("_origin"),
@@ -122,8 +125,8 @@ def split_crowded_keys(
         keys = [*keys, name]
         cells = cut_lineage(rows.where("_crowded").groupBy(*keys).agg(*counts, *(extra or [])))
         rule = cuts(cells, keys, cell_limit)
-        n_cuts = rule.count()
-    return Cells(rows.drop("_crowded"), keys, cells, cells.count())
+        n_cells, n_cuts = cells.agg(F.count(F.lit(1)), F.count_if(crowded(cell_limit))).first()
+    return Cells(rows.drop("_crowded"), keys, cells, n_cells)
 
 
 def number_rows(

@@ -15,7 +15,10 @@ BUCKET_SECONDS = 3600
 
 
 def merge_intervals(faults: DataFrame) -> DataFrame:
-    """Union of the closed intervals of each device, as intervals that do not touch."""
+    """Union of the closed intervals of each device, as intervals that do not touch.
+
+    Sorts each device's intervals in one task; meant for schedules small enough to broadcast.
+    """
     order = W.partitionBy("device_id").orderBy("start_ts", "end_ts")
     before = order.rowsBetween(W.unboundedPreceding, -1)
     opens = F.coalesce(F.col("start_ts") > F.max("end_ts").over(before), F.lit(True))

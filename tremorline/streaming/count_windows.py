@@ -33,40 +33,46 @@ def cut_windows(
 
     State is the number of samples seen and fewer than ``size + hop`` samples.
     """
-    new = pd.concat(list(batches), ignore_index=True).sort_values(["ts_us", "seq"])
-    seen = 0
-    rows = new[FIELDS]
-    if state.exists:
-        seen, *kept = state.get
-        tail = pd.DataFrame(dict(zip(FIELDS, kept)))
-        rows = pd.concat([tail, rows], ignore_index=True) if len(tail) else rows
-    total = seen + len(new)
-    base = total - len(rows)
+    parts = list(batches)
+    new = {name: np.concatenate([part[name].to_numpy() for part in parts]) for name in FIELDS}
+    in_order = np.lexsort((new["seq"], new["ts_us"]))
+    seen, *kept = state.get if state.exists else (0, *([] for _ in FIELDS))
+    ts_us, seq, x, truth = (
+        np.concatenate([np.asarray(old, dtype=new[name].dtype), new[name][in_order]])
+        for name, old in zip(FIELDS, kept)
+    )
+    total = seen + len(in_order)
+    base = total - len(x)
     due = np.arange(seen // hop + 1, total // hop + 1)
     if len(due):
         last = due * hop - base
         first = np.maximum(due * hop - size, 0) - base
-        x = rows["acceleration"].to_numpy(dtype=float)
-        ts_us = rows["ts_us"].to_numpy()
         n = last - first
-        windows = pd.DataFrame({"device_id": key[0], "window_id": due - 1, "n": n})
+        rms, mean, std, bins = (np.empty(len(due)) for _ in range(4))
         # The first windows may be shorter than the rest; windows of one length are reduced together.
         for length in np.unique(n):
             same = np.flatnonzero(n == length)
             matrix = x[first[same][:, None] + np.arange(length)]
-            windows.loc[same, "rms"] = np.sqrt(np.mean(np.square(matrix), axis=1))
-            windows.loc[same, "mean"] = np.mean(matrix, axis=1)
-            windows.loc[same, "std"] = np.std(matrix, axis=1)
-            windows.loc[same, "dominant_bin"] = dominant_bins(matrix)
-        yield windows.assign(
-            dominant_bin=windows["dominant_bin"].astype("int32"),
-            start_us=ts_us[first],
-            end_us=ts_us[last - 1],
-            ground_truth=rows["ground_truth"].to_numpy(dtype=bool)[last - 1],
+            rms[same] = np.sqrt(np.mean(np.square(matrix), axis=1))
+            mean[same] = np.mean(matrix, axis=1)
+            std[same] = np.std(matrix, axis=1)
+            bins[same] = dominant_bins(matrix)
+        yield pd.DataFrame(
+            {
+                "device_id": key[0],
+                "window_id": due - 1,
+                "n": n,
+                "rms": rms,
+                "mean": mean,
+                "std": std,
+                "dominant_bin": bins.astype("int32"),
+                "start_us": ts_us[first],
+                "end_us": ts_us[last - 1],
+                "ground_truth": truth[last - 1],
+            }
         )
-    next_first = max(0, (total // hop + 1) * hop - size)
-    rest = rows.iloc[max(0, next_first - base):]
-    state.update((total, *(rest[name].tolist() for name in FIELDS)))
+    rest = max(0, max(0, (total // hop + 1) * hop - size) - base)
+    state.update((total, *(column[rest:].tolist() for column in (ts_us, seq, x, truth))))
 
 
 def stream_count_windows(samples: DataFrame, size: int, hop: int | None = None) -> DataFrame:
