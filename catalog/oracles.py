@@ -166,7 +166,8 @@ def all_oracles() -> dict[str, str]:
             round(magnitude, 6) AS magnitude FROM m JOIN rate USING (device_id, window_id)"""),
         "dominant_frequency": sql(FULL, """SELECT device_id, window_id, round(hz, 12) AS sample_rate_hz,
             CAST(k AS INTEGER) AS dominant_bin, round(freq, 12) AS dominant_freq_hz FROM d"""),
-        "device_feature_defaults": sql([*FULL, LISTED, KNOWN], """SELECT device_id, round(coalesce(rms, 0.0), 9) AS rms, round(coalesce(mean, 0.0), 9) AS mean,
+        "device_feature_defaults": sql([*FULL, LISTED, KNOWN], """SELECT device_id,
+              round(coalesce(rms, 0.0), 9) AS rms, round(coalesce(mean, 0.0), 9) AS mean,
               round(coalesce(std, 0.0), 9) AS std, round(coalesce(freq, 0.0), 12) AS dominant_freq_hz
             FROM listed FULL JOIN known USING (device_id)"""),
         "detect_anomalies": DETECTED,

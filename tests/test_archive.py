@@ -1,5 +1,6 @@
 import gzip
 import json
+import os
 
 import pytest
 
@@ -18,12 +19,13 @@ from tremorline.plans.detection import detect
 from tremorline.plans.publishing import archive_batches, backlog, publish
 from tremorline.sources.archive import (
     audit_archive,
+    fill_missing_time,
     missing_batches,
     parse_records,
     read_archive,
     split_quarantine,
 )
-from tremorline.sources.lake import list_lake, read_lake
+from tremorline.sources.lake import list_lake, read_lake, write_lake
 
 TIME = 1785110400.0
 
@@ -113,6 +115,16 @@ def test_broken_batches_are_set_aside_and_the_rest_goes_on(spark, tmp_path):
     assert rows_of(missing_batches(expected, audited), "file_name") == [(batch_name(10),)]
 
 
+def test_undated_records_can_take_the_time_of_their_file(spark, tmp_path):
+    put(tmp_path / "q", batch_name(1), {"features": {"rms": 1.0}})
+    put(tmp_path / "q", batch_name(2), payload())
+    put(tmp_path / "q", batch_name(3), {})
+    os.utime(tmp_path / "q" / batch_name(1), (TIME + 86_400, TIME + 86_400))
+    good, bad = split_quarantine(fill_missing_time(audit_archive(spark, str(tmp_path / "q"))))
+    assert rows_of(good, "batch_id", "timestamp") == [(batch_name(1), TIME + 86_400), (batch_name(2), TIME)]
+    assert rows_of(bad, "file_name", "reason") == [(batch_name(3), "no fields")]
+
+
 def test_many_records_in_one_file(spark, tmp_path):
     lines = "\n".join(json.dumps({**payload(TIME + i), "batch_id": f"b{i}", "device_id": "d"}) for i in range(50))
     put(tmp_path / "q", batch_name(1), gzip.compress((lines + "\n{broken\n").encode()))
@@ -187,6 +199,19 @@ def test_lake_is_gzip_in_dated_folders_and_prunes(spark, tmp_path):
     assert listed.where("month = '07' and n_bytes > 0").count() > 0
 
 
+def test_publishing_again(spark, tmp_path):
+    windows = detect(samples(spark, range(8), times=[i * 43_200.0 for i in range(8)]), 2)
+    path = str(tmp_path / "lake")
+    publish(windows, path)
+    twice = publish(windows, path)
+    assert (twice.count(), dedupe_redelivery(twice).count()) == (8, 4)
+    last_day = windows.where("window_id = 3")
+    write_lake(window_payloads(last_day), path, mode="overwrite")
+    assert rows_of(read_lake(spark, path).groupBy("day").count(), "day", "count") == [
+        ("27", 2), ("28", 2), ("29", 2), ("30", 1)
+    ]
+
+
 def test_backlog_view(spark, tmp_path):
     windows = detect(samples(spark, range(40)), 4)
     archive_batches(windows, str(tmp_path / "archive"))

@@ -1,6 +1,11 @@
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
+import pyspark
 import pytest
+from pyspark import cloudpickle
 
 from tremorline.session import cut_lineage, new_folder, shared_folder
 
@@ -31,3 +36,14 @@ def test_cut_lineage_keeps_rows_and_forgets_the_plan(spark):
     frame = cut_lineage(spark.range(10).selectExpr("id * 2 AS twice").where("twice > 5"))
     assert sorted(r.twice for r in frame.collect()) == [6, 8, 10, 12, 14, 16, 18]
     assert "Range" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_functions_run_where_the_package_is_not_installed(tmp_path):
+    from tremorline.sources.archive import explode_files
+    from tremorline.streaming.count_windows import cut_windows
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps((explode_files, cut_windows)))
+    code = "import pickle, sys; print([f.__name__ for f in pickle.load(open('f.pkl', 'rb'))], 'tremorline' in sys.modules)"
+    env = {**os.environ, "PYTHONPATH": os.path.dirname(os.path.dirname(pyspark.__file__))}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "['explode_files', 'cut_windows'] False", done.stderr

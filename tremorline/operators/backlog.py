@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import BLOCK_ROWS, number_rows
+from tremorline.operators.blocks import number_rows
 
 BATCH_KEY = ["device_id", "batch_id"]
 
@@ -28,7 +28,7 @@ def dedupe_redelivery(batches: DataFrame, delivered: Column | None = None) -> Da
 
 
 def fifo_order(
-    batches: DataFrame, order: tuple[str, str] = ("window_end", "window_id"), block_rows: int = BLOCK_ROWS
+    batches: DataFrame, order: tuple[str, str] = ("window_end", "window_id"), block_rows: int | None = None
 ) -> DataFrame:
     """Add ``queue_position`` (from 1) per device, oldest first.
 

@@ -71,14 +71,15 @@ def split_crowded_keys(
     major: Column,
     minor: Column,
     key_limit: int,
-    cell_limit: int,
+    cell_rows: int,
     extra: list[Column] | None = None,
 ) -> Cells | None:
-    """Cut the keys with more than ``key_limit`` rows into cells of at most ``cell_limit`` rows.
+    """Cut the keys with more than ``key_limit`` rows into cells of about ``cell_rows`` rows.
 
-    ``major`` and ``minor`` are the order columns as doubles; nulls sort first. Returns None when no key is
-    crowded. ``extra`` are aggregates to compute per cell. Only rows equal in both order columns can leave
-    a cell above the limit.
+    A cell of more than twice that is cut again, so sizes hold however unevenly the rows are spread; only
+    rows equal in both order columns can leave a larger one. ``major`` and ``minor`` are the order columns
+    as doubles; nulls sort first. ``extra`` are aggregates to compute per cell. Returns None when no key is
+    crowded.
     """
     counts = [
         F.count(F.lit(1)).alias("_n"),
@@ -94,8 +95,7 @@ def split_crowded_keys(
         return (F.col("_n") > limit) & (by_major | by_minor)
 
     def cuts(stats: DataFrame, keys: list[str], limit: int) -> DataFrame:
-        # Cells of half the limit on average leave room for an uneven spread.
-        parts = F.greatest(F.lit(16), F.ceil(F.col("_n") * 2 / F.lit(cell_limit)))
+        parts = F.greatest(F.lit(16), F.ceil(F.col("_n") / F.lit(cell_rows)))
         span = F.when(by_major, F.col("_hi1") - F.col("_lo1")).otherwise(F.col("_hi2") - F.col("_lo2")) + 1
         return stats.where(crowded(limit)).select(
             *keys,
@@ -124,8 +124,8 @@ def split_crowded_keys(
         )
         keys = [*keys, name]
         cells = cut_lineage(rows.where("_crowded").groupBy(*keys).agg(*counts, *(extra or [])))
-        rule = cuts(cells, keys, cell_limit)
-        n_cells, n_cuts = cells.agg(F.count(F.lit(1)), F.count_if(crowded(cell_limit))).first()
+        rule = cuts(cells, keys, 2 * cell_rows)
+        n_cells, n_cuts = cells.agg(F.count(F.lit(1)), F.count_if(crowded(2 * cell_rows))).first()
     return Cells(rows.drop("_crowded"), keys, cells, n_cells)
 
 
@@ -137,7 +137,7 @@ def number_rows(
     hop: int = 1,
     reach: int = 0,
     first: int | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> tuple[DataFrame, list[str], int]:
     """Add ``pos``, the 0-based position of a row within its key.
 
@@ -145,13 +145,19 @@ def number_rows(
     the block length, a multiple of ``hop``. With ``reach`` > 0 each block also repeats the ``reach``
     positions before it, so that frames ending in a block are complete inside it. ``first`` keeps only the
     first so many positions and skips the blocks beyond them before the shuffle.
+
+    By default blocks hold ``BLOCK_ROWS`` rows, or more in a table so large that their entries would
+    otherwise become too many to broadcast (40 million rows each in a table of 2.5 trillion).
     """
+    total = rows.count()
+    if block_rows is None:
+        block_rows = max(BLOCK_ROWS, -(-total * 2 * CELLS_PER_BLOCK // BROADCAST_ROWS))
     length = -(-block_rows // hop) * hop
     major, minor = (_axis(rows, name, descending) for name in order)
     ordering = [F.col(n).desc_nulls_first() if descending else F.col(n).asc_nulls_first() for n in order]
     # A table that fits one block as a whole cannot have a crowded key; Parquet footers answer this.
     split = None
-    if rows.count() > length:
+    if total > length:
         split = split_crowded_keys(rows, key, major, minor, length, max(1, block_rows // CELLS_PER_BLOCK))
     if split is None:
         position = F.row_number().over(W.partitionBy(key).orderBy(*ordering)).cast("bigint") - 1

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorline.functions.spectrum import dominant_bin, magnitude_spectrum
-from tremorline.operators.blocks import BLOCK_ROWS
 from tremorline.operators.windows import assign_count_windows, is_due, time_window
 from tremorline.session import cut_lineage
 
@@ -58,7 +57,7 @@ def count_window_aggregates(
     size: int,
     hop: int | None = None,
     with_array: bool = True,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """One row per complete count window with its time-domain features and, if asked, its readings."""
     windowed, keys = assign_count_windows(samples, size, hop, block_rows)
@@ -77,7 +76,7 @@ def with_frequencies(windows: DataFrame) -> DataFrame:
 
 
 def extract_features(
-    samples: DataFrame, size: int, hop: int | None = None, block_rows: int = BLOCK_ROWS
+    samples: DataFrame, size: int, hop: int | None = None, block_rows: int | None = None
 ) -> DataFrame:
     """All features of every complete count window: one shuffle, one pass through the transform."""
     windows = count_window_aggregates(samples, size, hop, block_rows=block_rows)
@@ -85,7 +84,7 @@ def extract_features(
 
 
 def window_spectra(
-    samples: DataFrame, size: int, hop: int | None = None, block_rows: int = BLOCK_ROWS
+    samples: DataFrame, size: int, hop: int | None = None, block_rows: int | None = None
 ) -> DataFrame:
     """Magnitude and frequency of every bin of every complete count window."""
     spectra = (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import BLOCK_ROWS, CELLS_PER_BLOCK, join_cells, split_crowded_keys
+from tremorline.operators.blocks import BLOCK_ROWS, join_cells, split_crowded_keys
 from tremorline.session import cut_lineage
 
 MAX_PIECES = 200_000
@@ -93,7 +93,7 @@ def _label_by_sweep(samples: DataFrame, faults: DataFrame, block_rows: int) -> D
         F.unix_micros("ts").cast("double"),
         F.col("seq").cast("double"),
         block_rows,
-        max(1, block_rows // CELLS_PER_BLOCK),
+        max(1, block_rows // 2),
         extra=[F.max("_until").alias("_cell_until")],
     )
     keys = ["device_id"] if split is None else split.keys

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import BLOCK_ROWS, number_rows
+from tremorline.operators.blocks import number_rows
 
 
 def assign_count_windows(
-    samples: DataFrame, size: int, hop: int | None = None, block_rows: int = BLOCK_ROWS
+    samples: DataFrame, size: int, hop: int | None = None, block_rows: int | None = None
 ) -> tuple[DataFrame, list[str]]:
     """Give every sample the count window(s) it belongs to.
 
@@ -51,7 +51,7 @@ def is_full(size: int) -> Column:
     return F.col("n") == size
 
 
-def latest_n(samples: DataFrame, n: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def latest_n(samples: DataFrame, n: int, block_rows: int | None = None) -> DataFrame:
     """The last ``n`` samples of every device: what a buffer of ``n`` slots holds at the end.
 
     For small ``n`` Spark limits each device to ``n`` rows in every map task before the shuffle. Above the

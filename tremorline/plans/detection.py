@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tremorline.operators.blocks import BLOCK_ROWS
 from tremorline.operators.detect import (
     RMS_THRESHOLD,
     STD_THRESHOLD,
@@ -25,7 +24,7 @@ def detect(
     hop: int | None = None,
     rms_threshold: float = RMS_THRESHOLD,
     std_threshold: float = STD_THRESHOLD,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Count windows with all features and the detector's verdict."""
     return flag_anomalies(extract_features(samples, size, hop, block_rows), rms_threshold, std_threshold)
@@ -37,7 +36,7 @@ def evaluate(
     rms_threshold: float = RMS_THRESHOLD,
     std_threshold: float = STD_THRESHOLD,
     by: list[str] | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Confusion counts and metrics of the detector.
 

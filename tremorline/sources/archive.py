@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tremorline.functions.keys import utc_timestamp
+from tremorline.functions.keys import epoch_seconds, utc_timestamp
 from tremorline.functions.payload import CORRUPT, decode_payload
 from tremorline.model import PAYLOAD_SCHEMA
 
@@ -23,8 +23,12 @@ BATCH_FIELDS = T.StructType(
     + PAYLOAD_SCHEMA.fields
 )
 
-LINES = T.StructType([T.StructField(name, T.StringType()) for name in ("file_name", "record", "_reason")])
+LINES = T.StructType(
+    [T.StructField("file_name", T.StringType()), T.StructField("ingested", T.DoubleType())]
+    + [T.StructField(name, T.StringType()) for name in ("record", "_reason")]
+)
 LINES_PER_BATCH = 10_000
+NO_TIMESTAMP = "no timestamp"
 
 
 def read_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN) -> DataFrame:
@@ -59,12 +63,18 @@ def gunzip_lines(body: bytes) -> tuple[list[str | None], str | None]:
 def explode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One output row per line. A file is decoded as a whole first: a damaged end condemns all of it."""
     for batch in batches:
-        for name, body in zip(batch["file_name"], batch["content"]):
+        for name, ingested, body in zip(*(batch[c] for c in ("file_name", "ingested", "content"))):
             lines, reason = gunzip_lines(body.as_py())
             for start in range(0, len(lines), LINES_PER_BATCH):
                 part = lines[start : start + LINES_PER_BATCH]
-                columns = [[name.as_py()] * len(part), part, [reason] * len(part)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=LINES.names)
+                n = len(part)
+                columns = [
+                    pa.array([name.as_py()] * n, pa.string()),
+                    pa.array([ingested.as_py()] * n, pa.float64()),
+                    pa.array(part, pa.string()),
+                    pa.array([reason] * n, pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=LINES.names)
 
 
 def classify_record(text: Column, parsed: Column) -> Column:
@@ -76,17 +86,22 @@ def classify_record(text: Column, parsed: Column) -> Column:
         .when(parsed.isNull(), "not json")
         .when(parsed[CORRUPT].isNotNull(), F.when(is_json, "wrong type").otherwise("not json"))
         .when(F.regexp_like(text, F.lit(r"^\s*\{\s*\}\s*$")), "no fields")
-        .when(parsed["timestamp"].isNull() | F.isnan(parsed["timestamp"]), "no timestamp")
+        .when(parsed["timestamp"].isNull() | F.isnan(parsed["timestamp"]), NO_TIMESTAMP)
     )
 
 
 def decode_files(files: DataFrame) -> DataFrame:
     """Decode ``binaryFile`` rows into one row per JSON line.
 
-    Columns: ``file_name``, ``record`` (the text, null if the body has none), ``reason`` (null for a
-    record that can be published) and the batch fields. Works on static and streaming frames.
+    Columns: ``file_name``, ``ingested`` (Unix seconds at which the file was written), ``record`` (the text,
+    null if the body has none), ``reason`` (null for a record that can be published) and the batch fields.
+    Works on static and streaming frames.
     """
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "content")
+    named = files.select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        epoch_seconds(F.col("modificationTime")).alias("ingested"),
+        "content",
+    )
     return parse_records(named.mapInArrow(explode_files, LINES), F.col("_reason"))
 
 
@@ -114,12 +129,23 @@ def audit_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN)
     sources; ``missing_batches`` finds them by name.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return decode_files(files.select("path", "content"))
+    return decode_files(files.select("path", "modificationTime", "content"))
+
+
+def fill_missing_time(audited: DataFrame) -> DataFrame:
+    """Date records without a timestamp by when their file was written, instead of setting them aside.
+
+    Unlike the time of processing, that is the same however often a file is delivered.
+    """
+    undated = F.coalesce(F.col("reason") == NO_TIMESTAMP, F.lit(False))
+    return audited.withColumn(
+        "timestamp", F.when(undated, F.col("ingested")).otherwise(F.col("timestamp"))
+    ).withColumn("reason", F.when(~undated, F.col("reason")))
 
 
 def split_quarantine(audited: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records that can be published, records or files to set aside with their reason)."""
-    good = audited.where(F.col("reason").isNull()).drop("reason", "record")
+    good = audited.where(F.col("reason").isNull()).drop("reason", "record", "ingested")
     bad = audited.where(F.col("reason").isNotNull()).select("file_name", "record", "reason")
     return good, bad
 

@@ -18,7 +18,7 @@ def to_lake_rows(batches: DataFrame) -> DataFrame:
 
 
 def write_lake(batches: DataFrame, path: str, mode: str = "append", max_records: int = 1_000_000) -> None:
-    """Write batches to the lake.
+    """Write batches to the lake; ``mode="overwrite"`` replaces the folders that ``batches`` has rows for.
 
     ``rebalance`` brings the rows of a folder together so that few files are written, and lets adaptive
     execution split a crowded folder over several tasks.
@@ -30,6 +30,7 @@ def write_lake(batches: DataFrame, path: str, mode: str = "append", max_records:
         .partitionBy(*PARTITION_COLUMNS)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records)
+        .option("partitionOverwriteMode", "dynamic")
         .json(path)
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tremorline.model import SAMPLE_SCHEMA
-from tremorline.operators.blocks import BLOCK_ROWS, number_rows
+from tremorline.operators.blocks import number_rows
 from tremorline.operators.features import extract_features
 
 CARRIED = "device_id string, seen bigint"
@@ -31,7 +31,7 @@ def count_windows_by_batch(
     checkpoint: str,
     hop: int | None = None,
     interval: str | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> StreamingQuery:
     """Write the count windows of a sample stream below ``path``, one ``epoch`` folder per micro-batch.
 

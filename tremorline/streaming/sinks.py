@@ -63,7 +63,7 @@ def stream_archive(
         .option("maxFilesPerTrigger", max_files)
         .load(path)
     )
-    return decode_files(files.select("path", "content"))
+    return decode_files(files.select("path", "modificationTime", "content"))
 
 
 def sync_to_lake(
