@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorline.llm import exact_dedup, sharding
+from tremorline.llm import bpe, exact_dedup, near_dedup, sharding
 from tremorline.llm.common import table
 
 
@@ -19,9 +19,19 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe.vocabulary_path(), digests=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_near_dedup": op4_near_dedup,
     "op5_sharding": op5_sharding,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES: dict[str, str] = {
