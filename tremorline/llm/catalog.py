@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorline.llm import bpe, exact_dedup, near_dedup, sharding
+from tremorline.llm import bpe, decontaminate, exact_dedup, lang_id, near_dedup, quality, sharding
 from tremorline.llm.common import table
 
 
@@ -19,18 +19,34 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rated.drop("text_hash")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe.vocabulary_path(), digests=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op4_near_dedup": op4_near_dedup,
     "op5_sharding": op5_sharding,
+    "op6_lang_id": op6_lang_id,
+    "op7_quality": op7_quality,
     "op10_bpe": op10_bpe,
 }
 

@@ -36,7 +36,12 @@ def text_of(df: DataFrame) -> Column:
 
 
 def keep_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among ``decisions`` (unique, may be null), columns unchanged."""
-    key = unused("kept_id", docs)
-    wanted = decisions.select(F.col("doc_id").alias(key))
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted[key]), "left_semi")
+    """The rows of ``docs`` named by ``decisions`` (doc_id, may be null, and text_hash), columns unchanged.
+
+    The hash of the text tells rows apart that share an id; rows that share both stay or go together.
+    """
+    key = unused("text_hash", docs)
+    wanted = decisions.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    marked = docs.withColumn(key, F.xxhash64(text_of(docs)))
+    same = marked["doc_id"].cast("bigint").eqNullSafe(wanted["kept_id"]) & (marked[key] == wanted["kept_hash"])
+    return marked.join(wanted, same, "left_semi").drop(key)

@@ -32,7 +32,7 @@ MAX_BUCKETS = 1 << 18
 #: A mapper forgets the texts it has seen when they come to so many bytes.
 SEEN_BYTES = 48 << 20
 
-SLIPS = "row_id bigint, doc_id bigint, key bigint, digest binary, points bigint, n_bytes bigint, body binary"
+SLIPS = "row_id bigint, doc_id bigint, text_hash bigint, key bigint, digest binary, points bigint, n_bytes bigint, body binary"
 INDEX = "bucket bigint, key bigint, slot bigint, digest binary"
 
 
@@ -60,9 +60,9 @@ def _slips(key_bits: int, seen_bytes: int):
             rows = np.arange(row, row + batch.num_rows)
             row += batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows), batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(digests, pa.binary()),
+                [pa.array(rows), batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.int64()), pa.array(digests, pa.binary()),
                  points.cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary())],
-                names=["row_id", "doc_id", "key", "digest", "points", "n_bytes", "body"],
+                names=["row_id", "doc_id", "text_hash", "key", "digest", "points", "n_bytes", "body"],
             )
 
     return run
@@ -139,7 +139,9 @@ def exact_groups(
     doc_id (a missing one last); of rows equal in these too, one. Reads the columns doc_id and text, whatever else there is.
     An empty table gives no rows.
     """
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
+    source = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"), text_of(docs).alias("text")
+    )
     slips = stored(source.mapInArrow(_slips(key_bits, seen_bytes), SLIPS), "slips")
     handed = slips.where("body IS NOT NULL")
     starts = grow_directory(
@@ -161,14 +163,16 @@ def exact_groups(
     index = stored(owned.mapInArrow(_own, INDEX), "index")
 
     slim = slips.drop("body")
-    best = F.min(F.struct((-F.col("points")).alias("rank"), F.col("doc_id").isNull().alias("none"), "doc_id", "row_id"))
+    best = F.min(F.struct((-F.col("points")).alias("rank"), F.col("doc_id").isNull().alias("none"), "doc_id", "row_id", "text_hash"))
     counted = slim.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
     placed_counts = counted.join(index, ["key", "digest"])
     groups = placed_counts.groupBy("key", "slot").agg(F.sum("n").alias("group_size"), F.min("best").alias("best"))
     classes = placed_counts.select("key", "digest", "bucket", "slot").join(groups, ["key", "slot"])
     return slim.join(classes, ["key", "digest"]).select(
         "doc_id",
+        "text_hash",
         F.col("best.doc_id").alias("keep_id"),
+        F.col("best.text_hash").alias("keep_hash"),
         "group_size",
         (F.col("row_id") == F.col("best.row_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
@@ -180,22 +184,14 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """The documents without exact copies, columns unchanged; one row of each text stays, repeated ids or not."""
+    """The documents without exact copies, columns unchanged; of rows that agree in id and text any one stays."""
     groups = stored(exact_groups(docs, **options), "exact")
-    kept = groups.where("kept")
-    rows, ids = groups.agg(F.count(F.lit(1)), F.count_distinct(F.coalesce("doc_id", F.lit(-1)))).first()
-    if rows == ids:
-        return keep_rows(docs, kept)
-    sha, points = unused("sha", docs), unused("points", docs)
-    plain = F.translate(text_of(docs), BLANKS.decode(), "")
-    marked = docs.withColumns({sha: F.sha2(plain.cast("binary"), 256), points: F.length(text_of(docs))})
-    wanted = kept.select("keep_id", "text_sha256", F.col("points").alias("n_points"))
-    same = marked["doc_id"].eqNullSafe(wanted["keep_id"]) & (marked[sha] == wanted["text_sha256"])
-    return (
-        marked.join(wanted, same & (marked[points] == wanted["n_points"]), "left_semi")
-        .dropDuplicates([sha])
-        .drop(sha, points)
-    )
+    left = keep_rows(docs, groups.where("kept"))
+    twins = groups.where("NOT kept AND doc_id <=> keep_id AND text_hash = keep_hash")
+    if twins.isEmpty():
+        return left
+    key = unused("text_hash", docs)
+    return left.withColumn(key, F.xxhash64(text_of(left))).dropDuplicates(["doc_id", key]).drop(key)
 
 
 SQL = r"""
