@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremorline.llm import bpe, decontaminate, exact_dedup, lang_id, near_dedup, quality, sharding
+from tremorline.llm import bpe, decontaminate, exact_dedup, lang_id, near_dedup, pii, quality, secrets, sharding
 from tremorline.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -36,17 +40,23 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.drop("text_hash")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe.vocabulary_path(), digests=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_pii": op2_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_near_dedup": op4_near_dedup,
     "op5_sharding": op5_sharding,
     "op6_lang_id": op6_lang_id,
     "op7_quality": op7_quality,
+    "op8_secrets": op8_secrets,
     "op10_bpe": op10_bpe,
 }
 
