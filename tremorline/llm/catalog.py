@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tremorline.llm import bpe, decontaminate, exact_dedup, lang_id, near_dedup, pii, quality, secrets, sharding
+from tremorline.llm import bpe, decontaminate, exact_dedup, lang_id, line_dedup, near_dedup, pii, quality, secrets, sharding
 from tremorline.llm.common import table
 
 
@@ -28,7 +29,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op6_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe.vocabulary_path(), digests=True)
 
@@ -57,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_lang_id": op6_lang_id,
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
+    "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
 }
 

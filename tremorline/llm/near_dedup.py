@@ -80,9 +80,9 @@ def _sketches(words: int):
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 tokens.append(sketch(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
                  pa.array(tokens, pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "set_id", "tokens"],
+                names=["doc_id", "text_hash", "n_shingles", "set_id", "tokens"],
             )
 
     return run
@@ -306,15 +306,16 @@ def _confirm(groups: DataFrame, share: float) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, share: float = 0.85, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, text_hash, n_shingles, component_id, kept.
 
     Words are runs without white space, A-Z in lower case. Two documents are linked when the Jaccard similarity of
     their shingle sets is at least ``share`` (whole percents); component_id is the smallest doc_id reachable. A document
     without words, or with a null text, has no shingles and is linked with nothing. Rows of one set are always
     linked. Reads doc_id and text only; a null doc_id is not a smallest one. An empty table gives no rows.
     """
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
-    schema = "doc_id bigint, n_shingles bigint, set_id binary, tokens array<int>"
+    text = text_of(docs)
+    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, tokens array<int>"
     rows = stored(source.mapInArrow(_sketches(words), schema), "sketches")
     sets = stored(
         rows.where("set_id IS NOT NULL").groupBy("set_id")
@@ -347,14 +348,19 @@ def near_groups(docs: DataFrame, share: float = 0.85, words: int = WORDS) -> Dat
     named = stored(named.select("set_id", "first_id", F.coalesce("class", "set_id").alias("class")), "named")
     least = named.groupBy("class").agg(F.min("first_id").alias("least"))
     labels = named.join(least, "class").select("set_id", F.col("least").alias("label"))
-    joined = rows.select("doc_id", "n_shingles", "set_id").join(labels, "set_id", "left")
+    joined = rows.select("doc_id", "text_hash", "n_shingles", "set_id").join(labels, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("label"))
     return joined.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
 def drop_near_copies(docs: DataFrame, share: float = 0.8, words: int = WORDS) -> DataFrame:
-    """The documents with one of each group, columns unchanged; documents without words stay."""
-    kept = stored(near_groups(docs, share, words).where("kept").select("doc_id").distinct(), "near")
-    return keep_rows(docs, kept)
+    """The documents with one of each group, columns unchanged; documents without words stay.
+
+    Rows that repeat the id of the one that stays, with another text of the group, go too: the smallest hash stays.
+    """
+    groups = stored(near_groups(docs, share, words), "near")
+    kept = groups.where("kept AND n_shingles > 0").groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("text_hash"))
+    alone = groups.where("n_shingles = 0").select("doc_id", "component_id", "text_hash")
+    return keep_rows(docs, kept.unionByName(alone))
