@@ -95,7 +95,8 @@ class Finder:
         self.automaton = ahocorasick.Automaton()
         for word, places in words.items():
             self.automaton.add_word(word, (len(word), places))
-        self.automaton.make_automaton()
+        if words:
+            self.automaton.make_automaton()
 
     def distance(self, number: int, a: int, b: int, text: str, start: int, slack: int) -> tuple[int, int]:
         """Of the item's characters from a to b, around the place where they would stand if the item began at start."""
@@ -121,6 +122,8 @@ class Finder:
 
     def matches(self, text: str) -> list[tuple[int, int, int]]:
         """(item_id, distance, end) of the best stretch for each item within its budget."""
+        if not self.items:
+            return []
         starts: dict[int, dict[int, list[int]]] = {}
         for end, (length, places) in self.automaton.iter(text):
             for number, piece in places:
