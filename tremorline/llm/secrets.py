@@ -22,6 +22,7 @@ SAMPLE_WORD = r"[A-Za-z0-9+/_=-]{6,}"
 SAMPLE_DOCS = 4_000
 SAMPLE_RANDOM = 40_000
 SMOOTHING = 0.5
+LEANING = 4.0
 #: Nats per step.
 THRESHOLD = 0.8
 
@@ -70,14 +71,20 @@ def learn(docs: DataFrame) -> list[float]:
     return ratios(_steps(random), _steps(ordinary))
 
 
-def ratios(random: dict[str, int], ordinary: dict[str, int]) -> list[float]:
-    size, table = len(ALPHABET), []
+def steps_to_chances(counts: dict[str, int]) -> list[list[float]]:
+    """For each character how likely each other one follows; little seen ones lean on how frequent characters are."""
+    ends = {b: sum(counts.get(a + b, 0) for a in ALPHABET) + SMOOTHING for b in ALPHABET}
+    total = sum(ends.values())
+    rows = []
     for a in ALPHABET:
-        sums = [sum(counts.get(a + b, 0) for b in ALPHABET) + SMOOTHING * size for counts in (random, ordinary)]
-        for b in ALPHABET:
-            one, other = ((c.get(a + b, 0) + SMOOTHING) / s for c, s in zip((random, ordinary), sums, strict=True))
-            table.append(math.log(one / other))
-    return table
+        seen = sum(counts.get(a + b, 0) for b in ALPHABET)
+        rows.append([(counts.get(a + b, 0) + LEANING * ends[b] / total) / (seen + LEANING) for b in ALPHABET])
+    return rows
+
+
+def ratios(random: dict[str, int], ordinary: dict[str, int]) -> list[float]:
+    pairs = zip(steps_to_chances(random), steps_to_chances(ordinary), strict=True)
+    return [math.log(x / y) for one, other in pairs for x, y in zip(one, other, strict=True)]
 
 
 def looks_random(word: Column, table: list[float], threshold: float = THRESHOLD) -> Column:
