@@ -126,6 +126,41 @@ DETECTED = sql(FULL, f"SELECT {DETECTED_COLUMNS} FROM f JOIN d USING (device_id,
 ROLLED = sql([SAMPLES, ROLLING], f"SELECT {WINDOW_COLUMNS} FROM w")
 SCORES = sql(SCORED, f"SELECT {METRICS} FROM p")
 
+#: Windows of five days by time, numbered from the epoch; the transform has as many points as the window has readings.
+TIMED = [
+    """
+s AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, epoch_us(ts) // 432000000000 AS window_id, ts, value AS x,
+         event_type = 'error' AS truth,
+         row_number() OVER (PARTITION BY user_id, epoch_us(ts) // 432000000000 ORDER BY ts, event_id) - 1 AS pos
+  FROM events
+)""",
+    f"""
+w AS (SELECT device_id, window_id, {AGGREGATES} FROM s GROUP BY 1, 2)""",
+    """
+m AS (
+  SELECT s.device_id, s.window_id, n, k,
+         sqrt(power(sum(x * cos(2 * pi() * k * pos / n)), 2) + power(sum(x * sin(2 * pi() * k * pos / n)), 2)) AS magnitude
+  FROM s JOIN w USING (device_id, window_id), unnest(range(0, n // 2 + 1)) u(k) GROUP BY ALL
+)""",
+    RATE,
+    """
+d AS (
+  SELECT device_id, window_id, k * (1.0 / (n * (1.0 / hz))) AS freq FROM m JOIN rate USING (device_id, window_id)
+  WHERE k > 0 OR n = 1
+  QUALIFY row_number() OVER (PARTITION BY device_id, window_id ORDER BY round(magnitude, 9) DESC, k) = 1
+)""",
+    FLAGGED,
+]
+
+DAILY = """SELECT CAST(user_id AS VARCHAR) AS device_id,
+            round(epoch_us(date_trunc('day', ts)) / 1e6, 6) AS interval_start, count(*) AS n,
+            round(sqrt(avg(value * value)), 9) AS rms, round(avg(value), 9) AS mean,
+            round(stddev_pop(value), 9) AS std,
+            arg_max(event_type = 'error', struct_pack(ts := ts, e := event_id)) AS ground_truth
+            FROM events GROUP BY user_id, date_trunc('day', ts)
+            HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS"""
+
 LISTED = "listed AS (SELECT CAST(c_custkey AS VARCHAR) AS device_id FROM customer)"
 KNOWN = "known AS (SELECT device_id, rms, mean, std, freq FROM w JOIN d USING (device_id, window_id))"
 
@@ -149,6 +184,26 @@ def all_oracles() -> dict[str, str]:
         "latest_n": """SELECT CAST(user_id AS VARCHAR) AS device_id, round(epoch_us(ts) / 1e6, 6) AS ts,
             event_id AS seq, round(value, 9) AS acceleration FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 10""",
+        "latest_n_large": sql([CROWDED], """SELECT device_id, round(epoch_us(t) / 1e6, 6) AS ts, seq,
+            round(x, 9) AS acceleration FROM (SELECT *, CASE WHEN seq % 7 <> 0 THEN ts END AS t FROM r)
+            QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY t DESC NULLS LAST, seq DESC) <= 1500"""),
+        "missing_features": """SELECT event_id,
+            (event_type NOT IN ('view', 'click') AND value > 80)
+            OR (event_type NOT IN ('signup', 'error') AND value / 2 > 55) AS anomaly_detected FROM events""",
+        "labels_missing_device": """SELECT CASE WHEN event_type <> 'view' THEN CAST(user_id AS VARCHAR) END AS device_id,
+            event_id AS seq, event_type <> 'view' AND EXISTS (
+              SELECT 1 FROM events f WHERE f.event_type = 'error' AND f.user_id = e.user_id
+                AND e.ts >= f.ts AND e.ts <= f.ts + INTERVAL 12 HOURS) AS ground_truth
+            FROM events e""",
+        "detect_time_windows": sql(TIMED, f"SELECT {DETECTED_COLUMNS} FROM f JOIN d USING (device_id, window_id)"),
+        "stream_detect_time_windows": sql(TIMED, f"""SELECT {DETECTED_COLUMNS} FROM f JOIN d USING (device_id, window_id)
+            WHERE make_timestamp((window_id + 1) * 432000000000)
+              <= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS"""),
+        "publish_twice": LAKE,
+        "sync_redelivered": LAKE,
+        "stream_queue": PAYLOADS,
+        "stream_late_data": DAILY.replace("FROM events GROUP", """FROM events
+            WHERE NOT (event_type = 'signup' AND ts < TIMESTAMP '2024-01-06') GROUP"""),
         "buffer_depth": """SELECT CAST(user_id AS VARCHAR) AS device_id, least(count(*), 64) AS depth,
             count(*) >= 64 AS is_full FROM events GROUP BY user_id""",
         "rolling_count_window": ROLLED,
@@ -235,13 +290,7 @@ def all_oracles() -> dict[str, str]:
         "stream_count_window": ROLLED,
         "stream_window_batches": sql(WINDOWED, f"SELECT {WINDOW_COLUMNS} FROM w"),
         "stream_detect": DETECTED,
-        "stream_time_window": """SELECT CAST(user_id AS VARCHAR) AS device_id,
-            round(epoch_us(date_trunc('day', ts)) / 1e6, 6) AS interval_start, count(*) AS n,
-            round(sqrt(avg(value * value)), 9) AS rms, round(avg(value), 9) AS mean,
-            round(stddev_pop(value), 9) AS std,
-            arg_max(event_type = 'error', struct_pack(ts := ts, e := event_id)) AS ground_truth
-            FROM events GROUP BY user_id, date_trunc('day', ts)
-            HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS""",
+        "stream_time_window": DAILY,
         "stream_sync": LAKE,
         "stream_metrics": SCORES,
     }

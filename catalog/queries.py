@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tremorline.functions.keys import epoch_seconds, object_key, partition_values
 from tremorline.functions.payload import CORRUPT, decode_payload, encode_payload, window_payloads
@@ -30,7 +31,7 @@ from tremorline.operators.features import (
 )
 from tremorline.operators.labels import label_faults
 from tremorline.operators.windows import buffer_depth, latest_n
-from tremorline.plans.detection import detect, evaluate, report
+from tremorline.plans.detection import detect, detect_time_windows, evaluate, report
 from tremorline.plans.publishing import archive_batches, backlog, publish
 from tremorline.session import new_folder
 from tremorline.sources.archive import audit_archive, parse_records, read_archive, split_quarantine
@@ -39,7 +40,7 @@ from tremorline.sources.samples import read_sample_stream, to_samples
 from tremorline.streaming import sinks
 from tremorline.streaming.batch_windows import count_windows_by_batch
 from tremorline.streaming.count_windows import stream_count_windows, stream_detect
-from tremorline.streaming.time_windows import stream_time_windows
+from tremorline.streaming.time_windows import stream_detect_time_windows, stream_time_windows
 
 SIZE = 16
 RMS_LIMIT = 80.0
@@ -79,9 +80,20 @@ def crowded_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sample_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _as_samples(read_sample_stream(spark, sf_dir, EVENTS_SCHEMA, pattern="events.parquet"))
+def drain(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery], late: Column | None = None) -> None:
+    """Deliver the events in three parts by time; after each, start the stream anew and let it take what has come.
+
+    So every stream runs over several micro-batches and goes on from its checkpoint twice. ``late`` rows come with the
+    last part.
+    """
+    folder, rows = new_folder(spark, "arriving"), events(spark, sf_dir)
+    part = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"), 0).when(
+        F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"), 1
+    ).otherwise(2)
+    part = part if late is None else F.when(late, 2).otherwise(part)
+    for number in range(3):
+        rows.where(part == number).write.mode("append").parquet(folder)
+        start(_as_samples(read_sample_stream(spark, folder, EVENTS_SCHEMA, max_files=10_000))).awaitTermination()
 
 
 def faults(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +154,12 @@ def q_latest_n(spark, sf_dir):
     return rounded(latest_n(samples(spark, sf_dir), 10), ["device_id", "ts", "seq", "acceleration"])
 
 
+def q_latest_n_large(spark, sf_dir):
+    """Above the size that Spark limits by itself, with readings whose time is missing."""
+    rows = crowded_samples(spark, sf_dir).withColumn("ts", F.when(F.col("seq") % 7 != 0, F.col("ts")))
+    return rounded(latest_n(rows, 1500, block_rows=1024), ["device_id", "ts", "seq", "acceleration"])
+
+
 def q_buffer_depth(spark, sf_dir):
     return buffer_depth(samples(spark, sf_dir), 64)
 
@@ -184,9 +202,24 @@ def q_device_feature_defaults(spark, sf_dir):
     return rounded(features_for_devices(devices, features), ["device_id", "rms", "mean", "std", "dominant_freq_hz"])
 
 
+def q_detect_time_windows(spark, sf_dir):
+    return rounded(detect_time_windows(samples(spark, sf_dir), "5 days", RMS_LIMIT, STD_LIMIT), DETECTED)
+
+
 # Detection and scoring
 
 
+def q_missing_features(spark, sf_dir):
+    """Features that are missing or not a number breach nothing."""
+    kind, nan = F.col("event_type"), F.lit(float("nan"))
+    rows = events(spark, sf_dir).select(
+        "event_id",
+        F.when(kind == "view", None).when(kind == "click", nan).otherwise(F.col("value")).alias("rms"),
+        F.when(kind == "signup", None).when(kind == "error", nan).otherwise(F.col("value") / 2).alias("std"),
+    )
+    return flag_anomalies(rows, **LIMITS).select("event_id", "anomaly_detected")
+
+
 def q_detect_anomalies(spark, sf_dir):
     return rounded(detected(spark, sf_dir), DETECTED)
 
@@ -227,6 +260,19 @@ def q_labelled_evaluation(spark, sf_dir):
     return evaluate(labelled, SIZE, RMS_LIMIT, STD_LIMIT).select(*METRICS)
 
 
+def q_labels_missing_device(spark, sf_dir):
+    """A missing device has no faults, in the schedule or among the samples, whatever the schedule's size."""
+    device = F.when(F.col("event_type") != "view", F.col("user_id"))
+    rows = to_samples(events(spark, sf_dir), device, "ts", "value", "event_id", F.col("event_type").isin("error", "view"))
+    schedule = rows.where("ground_truth").select(
+        "device_id", F.col("ts").alias("start_ts"), (F.col("ts") + F.expr("interval 12 hours")).alias("end_ts")
+    )
+    halves = [
+        label_faults(rows.where(F.col("seq") % 2 == odd), schedule, max_pieces=limit) for odd, limit in ((0, 0), (1, 10**9))
+    ]
+    return halves[0].unionByName(halves[1]).select("device_id", "seq", "ground_truth")
+
+
 # The same operators with two fifths of the rows on one device, cut into blocks
 
 
@@ -303,7 +349,7 @@ def q_archive_quarantine(spark, sf_dir):
 def q_archive_scan(spark, sf_dir):
     path = new_folder(spark, "archive")
     archive_batches(detected(spark, sf_dir), path)
-    rows = read_archive(spark, path, "part-*.json.gz").where(F.col(CORRUPT).isNull())
+    rows = read_archive(spark, path).where(F.col(CORRUPT).isNull())
     return rounded(rows.select("device_id", "batch_id", "timestamp", "features.*", "anomaly_detected", "ground_truth"),
                    ["device_id", "batch_id", "timestamp", "rms", "mean", "std", "dominant_freq_hz",
                     "anomaly_detected", "ground_truth"])
@@ -312,7 +358,7 @@ def q_archive_scan(spark, sf_dir):
 def q_archive_audit(spark, sf_dir):
     path = new_folder(spark, "archive")
     archive_batches(detected(spark, sf_dir), path)
-    good, _ = split_quarantine(audit_archive(spark, path, "part-*.json.gz"))
+    good, _ = split_quarantine(audit_archive(spark, path))
     return rounded(good.select("device_id", "batch_id", "timestamp", "features.*", "anomaly_detected", "ground_truth"),
                    ["device_id", "batch_id", "timestamp", "rms", "mean", "std", "dominant_freq_hz",
                     "anomaly_detected", "ground_truth"])
@@ -350,7 +396,7 @@ def q_backlog_view(spark, sf_dir):
     queued = batches(spark, sf_dir)
     queued.drop("window_id", "window_end").write.option("compression", "gzip").json(archive)
     write_lake(queued.where(_is_synced()), lake)
-    waiting, _ = backlog(spark, archive, read_lake(spark, lake), "part-*.json.gz")
+    waiting, _ = backlog(spark, archive, read_lake(spark, lake))
     return waiting.select("device_id", "batch_id", "queue_position")
 
 
@@ -364,6 +410,17 @@ def q_lake_roundtrip(spark, sf_dir):
                     "dominant_freq_hz", "anomaly_detected", "ground_truth"])
 
 
+def q_publish_twice(spark, sf_dir):
+    """A retry leaves the lake as it was, and so does writing a part of a folder again."""
+    path, windows = new_folder(spark, "lake"), detected(spark, sf_dir)
+    publish(windows, path)
+    publish(windows.where("window_id % 3 = 0"), path)
+    lake = publish(windows, path)
+    return rounded(lake.select("*", "features.*"),
+                   ["year", "month", "day", "device_id", "batch_id", "timestamp", "rms", "mean", "std",
+                    "dominant_freq_hz", "anomaly_detected", "ground_truth"])
+
+
 def q_pruned_read(spark, sf_dir):
     path = new_folder(spark, "lake")
     write_lake(batches(spark, sf_dir), path)
@@ -382,53 +439,84 @@ def q_lake_listing(spark, sf_dir):
 # Streams
 
 
-def q_stream_count_window(spark, sf_dir):
+LAKE_COLUMNS = ["year", "month", "day", "device_id", "batch_id", "timestamp", "rms", "mean", "std", "dominant_freq_hz",
+                "anomaly_detected", "ground_truth"]
+
+
+def _drained(spark, sf_dir, windows: Callable[[DataFrame], DataFrame], late: Column | None = None) -> DataFrame:
+    """The table of windows that a stream leaves."""
     path = new_folder(spark, "stream")
-    windows = stream_count_windows(sample_stream(spark, sf_dir), 32, hop=8)
-    sinks.write_windows(windows, f"{path}/windows", f"{path}/checkpoint").awaitTermination()
-    return rounded(spark.read.parquet(f"{path}/windows"), WINDOW_COLUMNS)
+    drain(spark, sf_dir, lambda rows: sinks.write_windows(windows(rows), f"{path}/windows", f"{path}/checkpoint"), late)
+    return spark.read.parquet(f"{path}/windows")
+
+
+def q_stream_count_window(spark, sf_dir):
+    return rounded(_drained(spark, sf_dir, lambda rows: stream_count_windows(rows, 32, hop=8)), WINDOW_COLUMNS)
 
 
 def q_stream_window_batches(spark, sf_dir):
     path = new_folder(spark, "stream")
-    count_windows_by_batch(
-        sample_stream(spark, sf_dir), SIZE, f"{path}/windows", f"{path}/state", f"{path}/checkpoint"
-    ).awaitTermination()
+    drain(spark, sf_dir, lambda rows: count_windows_by_batch(rows, SIZE, f"{path}/windows", f"{path}/state", f"{path}/checkpoint"))
     return rounded(spark.read.parquet(f"{path}/windows"), WINDOW_COLUMNS)
 
 
 def q_stream_detect(spark, sf_dir):
-    path = new_folder(spark, "stream")
-    windows = stream_detect(sample_stream(spark, sf_dir), SIZE, **LIMITS)
-    sinks.write_windows(windows, f"{path}/windows", f"{path}/checkpoint").awaitTermination()
-    return rounded(spark.read.parquet(f"{path}/windows"), DETECTED)
+    return rounded(_drained(spark, sf_dir, lambda rows: stream_detect(rows, SIZE, **LIMITS)), DETECTED)
+
+
+TIMED = ["device_id", "interval_start", "n", "rms", "mean", "std", "ground_truth"]
 
 
 def q_stream_time_window(spark, sf_dir):
+    return rounded(_drained(spark, sf_dir, lambda rows: stream_time_windows(rows, "1 day", "2 days")), TIMED)
+
+
+def q_stream_late_data(spark, sf_dir):
+    """Early signups come when their windows have long been emitted, and are left out."""
+    late = (F.col("event_type") == "signup") & (F.col("ts") < F.lit("2024-01-06").cast("timestamp_ntz"))
+    return rounded(_drained(spark, sf_dir, lambda rows: stream_time_windows(rows, "1 day", "2 days"), late), TIMED)
+
+
+def q_stream_detect_time_windows(spark, sf_dir):
+    windows = _drained(spark, sf_dir, lambda rows: stream_detect_time_windows(rows, "5 days", "2 days", RMS_LIMIT, STD_LIMIT))
+    return rounded(windows, DETECTED)
+
+
+def q_stream_queue(spark, sf_dir):
     path = new_folder(spark, "stream")
-    windows = stream_time_windows(sample_stream(spark, sf_dir), "1 day", "2 days")
-    sinks.write_windows(windows, f"{path}/windows", f"{path}/checkpoint").awaitTermination()
-    return rounded(spark.read.parquet(f"{path}/windows"),
-                   ["device_id", "interval_start", "n", "rms", "mean", "std", "ground_truth"])
+    drain(spark, sf_dir, lambda rows: sinks.queue_windows(stream_detect(rows, SIZE, **LIMITS), f"{path}/queue", f"{path}/checkpoint"))
+    rows = read_archive(spark, f"{path}/queue").where(F.col(CORRUPT).isNull())
+    return rounded(rows.select("device_id", "batch_id", "timestamp", "features.*", "anomaly_detected", "ground_truth"), LAKE_COLUMNS[3:])
 
 
 def q_stream_sync(spark, sf_dir):
     path = new_folder(spark, "stream")
     archive_batches(detected(spark, sf_dir), f"{path}/archive")
-    archive = sinks.stream_archive(spark, f"{path}/archive", "part-*.json.gz")
+    archive = sinks.stream_archive(spark, f"{path}/archive")
     sinks.sync_to_lake(archive, f"{path}/lake", f"{path}/checkpoint").awaitTermination()
-    return rounded(read_lake(spark, f"{path}/lake").select("*", "features.*"),
-                   ["year", "month", "day", "device_id", "batch_id", "timestamp", "rms", "mean", "std",
-                    "dominant_freq_hz", "anomaly_detected", "ground_truth"])
+    return rounded(read_lake(spark, f"{path}/lake").select("*", "features.*"), LAKE_COLUMNS)
+
+
+def q_sync_redelivered(spark, sf_dir):
+    """Batches that arrive again, in another file and another micro-batch, and once more from a batch job."""
+    path, windows = new_folder(spark, "stream"), detected(spark, sf_dir)
+    for again in (windows, windows.where("window_id % 2 = 0")):
+        archive_batches(again, f"{path}/archive")
+        archive = sinks.stream_archive(spark, f"{path}/archive")
+        sinks.sync_to_lake(archive, f"{path}/lake", f"{path}/checkpoint").awaitTermination()
+    return rounded(publish(windows.where("window_id < 2"), f"{path}/lake").select("*", "features.*"), LAKE_COLUMNS)
 
 
 def q_stream_metrics(spark, sf_dir):
     path = new_folder(spark, "stream")
-    windows = stream_detect(sample_stream(spark, sf_dir), SIZE, **LIMITS)
-    sinks.write_windows(windows, f"{path}/windows", f"{path}/c1").awaitTermination()
-    table = spark.read.parquet(f"{path}/windows")
-    finished = spark.readStream.schema(table.schema).parquet(f"{path}/windows")
-    sinks.running_metrics(finished, f"{path}/metrics", f"{path}/c2").awaitTermination()
+
+    def start(rows: DataFrame) -> StreamingQuery:
+        windows = stream_detect(rows, SIZE, **LIMITS)
+        sinks.write_windows(windows, f"{path}/windows", f"{path}/c1").awaitTermination()
+        finished = spark.readStream.schema(windows.schema).parquet(f"{path}/windows")
+        return sinks.running_metrics(finished, f"{path}/metrics", f"{path}/c2")
+
+    drain(spark, sf_dir, start)
     return spark.read.parquet(f"{path}/metrics").select(*METRICS)
 
 

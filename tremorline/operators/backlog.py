@@ -11,8 +11,13 @@ BATCH_KEY = ["device_id", "batch_id"]
 
 
 def pending_batches(queued: DataFrame, synced: DataFrame) -> DataFrame:
-    """Queued batches that are not among the synced ones; unknown synced ids have no effect."""
-    return queued.join(synced.select(*BATCH_KEY), BATCH_KEY, "left_anti")
+    """Queued batches that are not among the synced ones; unknown synced ids have no effect.
+
+    A missing device equals itself.
+    """
+    done = synced.select(*BATCH_KEY)
+    same = [queued[c].eqNullSafe(done[c]) for c in BATCH_KEY]
+    return queued.join(done, same[0] & same[1], "left_anti")
 
 
 def dedupe_redelivery(batches: DataFrame, delivered: Column | None = None) -> DataFrame:
@@ -32,9 +37,10 @@ def fifo_order(
 ) -> DataFrame:
     """Add ``queue_position`` (from 1) per device, oldest first.
 
-    ``order`` are the time and number a batch id is made of, so this is the order of the ids as text.
+    ``order`` are the time and number a batch id is made of, so this is the order of the ids as text; the id itself
+    decides where they are equal.
     """
-    numbered, _, _ = number_rows(batches, order=order, block_rows=block_rows)
+    numbered, _, _ = number_rows(batches, order=order, block_rows=block_rows, ties=("batch_id",))
     return numbered.select(*batches.columns, (F.col("pos") + 1).alias("queue_position"))
 
 

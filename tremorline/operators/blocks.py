@@ -30,6 +30,7 @@ from tremorline.session import cut_lineage
 BLOCK_ROWS = 4_000_000
 CELLS_PER_BLOCK = 8
 BROADCAST_ROWS = 1_000_000
+LAST_CELL = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -73,12 +74,13 @@ def split_crowded_keys(
     key_limit: int,
     cell_rows: int,
     extra: list[Column] | None = None,
+    nulls_last: bool = False,
 ) -> Cells | None:
     """Cut the keys with more than ``key_limit`` rows into cells of about ``cell_rows`` rows.
 
     A cell of more than twice that is cut again, so sizes hold however unevenly the rows are spread; only
     rows equal in both order columns can leave a larger one. ``major`` and ``minor`` are the order columns
-    as doubles; nulls sort first. ``extra`` are aggregates to compute per cell. Returns None when no key is
+    as doubles; nulls sort first, or last if told so. ``extra`` are aggregates to compute per cell. Returns None when no key is
     crowded.
     """
     counts = [
@@ -114,7 +116,7 @@ def split_crowded_keys(
         offset = F.when(F.col("_by_major"), major).otherwise(minor) - F.col("_origin")
         cell = F.when(
             F.col("_by_major").isNotNull(),
-            F.coalesce(F.floor(offset / F.col("_width")).cast("bigint"), F.lit(-1).cast("bigint")),
+            F.coalesce(F.floor(offset / F.col("_width")).cast("bigint"), F.lit(LAST_CELL if nulls_last else -1).cast("bigint")),
         )
         rows = (
             join_cells(rows, rule, n_cuts, keys)
@@ -138,13 +140,15 @@ def number_rows(
     reach: int = 0,
     first: int | None = None,
     block_rows: int | None = None,
+    ties: tuple[str, ...] = (),
 ) -> tuple[DataFrame, list[str], int]:
     """Add ``pos``, the 0-based position of a row within its key.
 
     Returns the rows, the columns they are partitioned by (the key, and ``block`` if any key was cut) and
     the block length, a multiple of ``hop``. With ``reach`` > 0 each block also repeats the ``reach``
     positions before it, so that frames ending in a block are complete inside it. ``first`` keeps only the
-    first so many positions and skips the blocks beyond them before the shuffle.
+    first so many positions and skips the blocks beyond them before the shuffle. ``ties`` order rows that are equal in
+    ``order``. Descending order is the exact reverse of ascending: missing values come last.
 
     By default blocks hold ``BLOCK_ROWS`` rows, or more in a table so large that their entries would
     otherwise become too many to broadcast (40 million rows each in a table of 2.5 trillion).
@@ -154,11 +158,12 @@ def number_rows(
         block_rows = max(BLOCK_ROWS, -(-total * 2 * CELLS_PER_BLOCK // BROADCAST_ROWS))
     length = -(-block_rows // hop) * hop
     major, minor = (_axis(rows, name, descending) for name in order)
-    ordering = [F.col(n).desc_nulls_first() if descending else F.col(n).asc_nulls_first() for n in order]
+    ordering = [F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_first() for n in order]
+    ordering += [F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_first() for n in ties]
     # A table that fits one block as a whole cannot have a crowded key; Parquet footers answer this.
     split = None
     if total > length:
-        split = split_crowded_keys(rows, key, major, minor, length, max(1, block_rows // CELLS_PER_BLOCK))
+        split = split_crowded_keys(rows, key, major, minor, length, max(1, block_rows // CELLS_PER_BLOCK), nulls_last=descending)
     if split is None:
         position = F.row_number().over(W.partitionBy(key).orderBy(*ordering)).cast("bigint") - 1
         numbered = rows.withColumn("pos", position)

@@ -116,6 +116,26 @@ def time_window_features(samples: DataFrame, duration: str = "1 second") -> Data
     )
 
 
+def time_window_spectral_features(samples: DataFrame, duration: str = "1 second") -> DataFrame:
+    """All features per device and event-time window, numbered from the epoch; batch or streaming.
+
+    The readings of a window are brought together for its transform, so a window has to fit a task: choose ``duration`` by
+    the sampling rate. Readings of equal time are ordered by ``seq``.
+    """
+    newest = "cast(unix_micros(ts) AS decimal(20, 0)) * 18446744073709551616BD + seq"
+    in_order = "sort_array(collect_list(struct(ts, seq, acceleration))).acceleration AS readings"
+    windows = (
+        samples.groupBy("device_id", time_window(duration).alias("_window"))
+        .agg(*time_domain_features(newest), F.expr(in_order))
+        .withColumn("interval_start", F.col("_window.start"))
+        .withColumn("interval_end", F.col("_window.end"))
+        .drop("_window")
+    )
+    length = F.unix_micros("interval_end") - F.unix_micros("interval_start")
+    numbered = windows.withColumn("window_id", F.floor(F.unix_micros("interval_start") / length))
+    return with_frequencies(numbered.withColumn("dominant_bin", dominant_bin("readings")).drop("readings"))
+
+
 def features_for_devices(devices: DataFrame, features: DataFrame) -> DataFrame:
     """Features, plus a row of zeros for each listed device that has no window.
 

@@ -38,12 +38,12 @@ def label_faults(
 ) -> DataFrame:
     """Set ``ground_truth``: true iff ``start_ts <= ts <= end_ts`` for some fault of the device.
 
-    Intervals may overlap; one with a missing bound labels nothing. A schedule that stays below
+    Intervals may overlap; one with a missing bound or device labels nothing. A schedule that stays below
     ``max_pieces`` once cut into hours, with few pieces in any hour, is broadcast and the samples are not
     shuffled. Any other schedule is laid over the samples in time order (see ``_label_by_sweep``).
     """
     valid = (
-        faults.where("start_ts <= end_ts")
+        faults.where("start_ts <= end_ts AND device_id IS NOT NULL")
         .groupBy(F.col("device_id").cast("string").alias("device_id"), "start_ts")
         .agg(F.max("end_ts").alias("end_ts"))
     )

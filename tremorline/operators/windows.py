@@ -46,11 +46,6 @@ def is_due(size: int, hop: int | None = None) -> Column:
     return F.col("last_pos") + 1 == (F.col("window_id") + 1) * hop
 
 
-def is_full(size: int) -> Column:
-    """Whether a window holds its full number of samples."""
-    return F.col("n") == size
-
-
 def latest_n(samples: DataFrame, n: int, block_rows: int | None = None) -> DataFrame:
     """The last ``n`` samples of every device: what a buffer of ``n`` slots holds at the end.
 
@@ -59,7 +54,7 @@ def latest_n(samples: DataFrame, n: int, block_rows: int | None = None) -> DataF
     """
     limit = int(samples.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
-        newest_first = W.partitionBy("device_id").orderBy(F.desc("ts"), F.desc("seq"))
+        newest_first = W.partitionBy("device_id").orderBy(F.desc_nulls_last("ts"), F.desc_nulls_last("seq"))
         ranked = samples.withColumn("_rank", F.row_number().over(newest_first))
         return ranked.where(F.col("_rank") <= n).drop("_rank")
     numbered, _, _ = number_rows(samples, descending=True, first=n, block_rows=block_rows)

@@ -12,7 +12,11 @@ from tremorline.operators.detect import (
     flag_anomalies,
     metrics_report,
 )
-from tremorline.operators.features import count_window_aggregates, extract_features
+from tremorline.operators.features import (
+    count_window_aggregates,
+    extract_features,
+    time_window_spectral_features,
+)
 
 # Fixed value: samples per window, one second at 1 kHz.
 WINDOW_SIZE = 1000
@@ -30,6 +34,16 @@ def detect(
     return flag_anomalies(extract_features(samples, size, hop, block_rows), rms_threshold, std_threshold)
 
 
+def detect_time_windows(
+    samples: DataFrame,
+    duration: str = "1 second",
+    rms_threshold: float = RMS_THRESHOLD,
+    std_threshold: float = STD_THRESHOLD,
+) -> DataFrame:
+    """Event-time windows with all features and the detector's verdict; they go on to payloads like count windows."""
+    return flag_anomalies(time_window_spectral_features(samples, duration), rms_threshold, std_threshold)
+
+
 def evaluate(
     samples: DataFrame,
     size: int = WINDOW_SIZE,

@@ -16,7 +16,9 @@ from tremorline.functions.payload import CORRUPT, decode_payload
 from tremorline.model import PAYLOAD_SCHEMA
 
 # Fixed value: the name pattern of finished batches. Files still being written end in ".tmp".
-BATCH_PATTERN = "batch_*.json.gz"
+SINGLE_PATTERN = "batch_*.json.gz"
+# Those, and the files of many batches that ``archive_batches`` and ``queue_windows`` write.
+BATCH_PATTERN = "{batch_,part-}*.json.gz"
 
 BATCH_FIELDS = T.StructType(
     [T.StructField("device_id", T.StringType()), T.StructField("batch_id", T.StringType())]
@@ -31,8 +33,12 @@ LINES_PER_BATCH = 10_000
 NO_TIMESTAMP = "no timestamp"
 
 
-def read_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN) -> DataFrame:
-    """Scan the finished batches of an archive whose files are known to be readable.
+def read_archive(
+    spark: SparkSession, path: str, pattern: str = BATCH_PATTERN, device_id: str | None = None
+) -> DataFrame:
+    """Scan the finished batches of an archive whose files are known to be readable, but for subfolders.
+
+    ``device_id`` names the device of records that carry none.
 
     ``_corrupt_record`` holds text that is not JSON. The batch id is the one in the record, else the name
     of the file. A file that is not gzip fails the job; use ``audit_archive`` where that may happen.
@@ -42,10 +48,17 @@ def read_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN) -
         spark.read.schema(schema)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
         .json(path)
     )
-    return rows.withColumn("batch_id", F.coalesce("batch_id", F.col("_metadata.file_name")))
+    named = rows.withColumn("batch_id", F.coalesce("batch_id", F.col("_metadata.file_name")))
+    return with_device(named, device_id)
+
+
+def with_device(batches: DataFrame, device_id: str | None) -> DataFrame:
+    """Name the device of records that carry none."""
+    if device_id is None:
+        return batches
+    return batches.withColumn("device_id", F.coalesce("device_id", F.lit(device_id)))
 
 
 def gunzip_lines(body: bytes) -> tuple[list[str | None], str | None]:
@@ -102,7 +115,10 @@ def decode_files(files: DataFrame) -> DataFrame:
         epoch_seconds(F.col("modificationTime")).alias("ingested"),
         "content",
     )
-    return parse_records(named.mapInArrow(explode_files, LINES), F.col("_reason"))
+    lines = named.mapInArrow(explode_files, LINES)
+    # A part without rows is how Spark's own writer leaves an empty partition; a batch without rows is broken.
+    own = (F.col("_reason") == "empty") & F.col("file_name").startswith("part-")
+    return parse_records(lines.where(~F.coalesce(own, F.lit(False))), F.col("_reason"))
 
 
 def parse_records(lines: DataFrame, body_reason: Column | None = None) -> DataFrame:

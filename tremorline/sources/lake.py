@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tremorline.functions.keys import partition_values, utc_timestamp
 from tremorline.model import LAKE_SCHEMA, PARTITION_COLUMNS, PAYLOAD_SCHEMA
+from tremorline.session import cut_lineage
 
 
 def to_lake_rows(batches: DataFrame) -> DataFrame:
@@ -17,16 +23,33 @@ def to_lake_rows(batches: DataFrame) -> DataFrame:
     )
 
 
-def write_lake(batches: DataFrame, path: str, mode: str = "append", max_records: int = 1_000_000) -> None:
-    """Write batches to the lake; ``mode="overwrite"`` replaces the folders that ``batches`` has rows for.
+BINARY_FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+LAKE_KEY = [*PARTITION_COLUMNS, "batch_id"]
+
+
+def write_lake(batches: DataFrame, path: str, mode: str = "merge", max_records: int = 1_000_000) -> None:
+    """Write batches to the lake; each (day, device, batch) is there once, however often it is written.
 
+    ``merge`` reads the folders that ``batches`` has rows for, drops the rows it brings anew, and replaces the folders;
+    what a folder held besides stays. ``append`` does not look at what is there, for batches known to be new.
     ``rebalance`` brings the rows of a folder together so that few files are written, and lets adaptive
     execution split a crowded folder over several tasks.
     """
+    if mode not in ("merge", "append"):
+        raise ValueError(f"unknown mode {mode!r}")
+    rows = to_lake_rows(batches)
+    if mode == "merge":
+        rows = merged_rows(rows, path)
     (
-        to_lake_rows(batches)
-        .hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode(mode)
+        rows.hint("rebalance", *PARTITION_COLUMNS)
+        .write.mode("overwrite" if mode == "merge" else "append")
         .partitionBy(*PARTITION_COLUMNS)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records)
@@ -35,6 +58,31 @@ def write_lake(batches: DataFrame, path: str, mode: str = "append", max_records:
     )
 
 
+def merged_rows(rows: DataFrame, path: str) -> DataFrame:
+    """The rows of the folders that ``rows`` touches: the new ones, and those there that they do not replace.
+
+    Kept on reliable storage, as the folders read are about to be replaced. Copies are reduced in the map tasks.
+    """
+    spark = rows.sparkSession
+    fresh = cut_lineage(rows.dropDuplicates(LAKE_KEY))
+    try:
+        lake = read_lake(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return fresh
+        raise
+    days = fresh.select(*PARTITION_COLUMNS[:3]).distinct()
+    touched = lake.join(F.broadcast(days), PARTITION_COLUMNS[:3], "left_semi")
+    folders, known = fresh.select(*PARTITION_COLUMNS).distinct(), fresh.select(*LAKE_KEY)
+
+    def same(other: DataFrame, names: list[str]):
+        tests = [touched[c].eqNullSafe(other[c]) for c in names]
+        return reduce(and_, tests)
+
+    kept = touched.join(folders, same(folders, PARTITION_COLUMNS), "left_semi").join(known, same(known, LAKE_KEY), "left_anti")
+    return cut_lineage(fresh.unionByName(kept.select(*fresh.columns)))
+
+
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """Read the lake; filters on the partition columns prune folders.
 
@@ -45,10 +93,8 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
 
 def list_lake(spark: SparkSession, path: str) -> DataFrame:
     """Number and total size of the files in every folder, without reading them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json.gz").load(path)
-    texts = [F.regexp_extract("path", rf"/{name}=([^/]*)", 1).alias(name) for name in PARTITION_COLUMNS]
-    return (
-        files.select(*texts, "length")
-        .groupBy(*PARTITION_COLUMNS)
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    schema = T.StructType(
+        BINARY_FILE_SCHEMA.fields + [T.StructField(name, T.StringType()) for name in PARTITION_COLUMNS]
     )
+    files = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.json.gz").load(path)
+    return files.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))

@@ -64,21 +64,24 @@ def count_windows_by_batch(
         here = rows.groupBy("device_id").agg(F.count(F.lit(1)).alias("_rows"))
         before, n_rows = F.coalesce("seen", F.lit(0)), F.coalesce("_rows", F.lit(0))
         base = kept_from(before)
-        seen.join(here, "device_id", "full").select(
-            "device_id",
+        same = seen["device_id"].eqNullSafe(here["device_id"])
+        seen.join(here, same, "full").select(
+            F.coalesce(seen["device_id"], here["device_id"]).alias("device_id"),
             before.alias("_before"),
             base.alias("_base"),
             F.greatest(before, base + n_rows).alias("seen"),
         ).write.mode("overwrite").parquet(_slot(state, epoch, "seen"))
         counts = spark.read.parquet(_slot(state, epoch, "seen"))
 
-        local = extract_features(rows, size, hop, block_rows).join(counts, "device_id")
+        counts = counts.withColumnRenamed("device_id", "_device")
+        of_device = F.col("device_id").eqNullSafe(F.col("_device"))
+        local = extract_features(rows, size, hop, block_rows).join(counts, of_device).drop("_device")
         windows = local.withColumn("window_id", F.expr(f"window_id + _base div {hop}"))
         fresh = windows.where((F.col("window_id") + 1) * hop > F.col("_before"))
         fresh.drop("_before", "_base", "seen").write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
         newest, _, _ = number_rows(rows, descending=True, first=overlap + hop, block_rows=block_rows)
-        rest = newest.join(counts, "device_id").where(F.col("pos") < F.col("seen") - kept_from(F.col("seen")))
+        rest = newest.join(counts, of_device).where(F.col("pos") < F.col("seen") - kept_from(F.col("seen")))
         rest.select(*SAMPLE_SCHEMA.fieldNames()).write.mode("overwrite").parquet(_slot(state, epoch, "tail"))
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}

@@ -1,31 +1,20 @@
 """Streaming hand-off: windows to an archive, archive to lake and quarantine, running metrics.
 
 Each query names a checkpoint folder. File sinks commit every micro-batch to a log in the output folder, so
-a restart neither loses nor repeats a batch for readers that go through Spark.
+a restart neither loses nor repeats a batch for readers that go through Spark. Folders that batch jobs write as well, the
+archive and the lake, are written micro-batch by micro-batch without such a log, which would hide their files.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tremorline.functions.payload import window_payloads
-from tremorline.model import PARTITION_COLUMNS
 from tremorline.operators.detect import classification_metrics, confusion_counts
-from tremorline.sources.archive import BATCH_PATTERN, decode_files, split_quarantine
-from tremorline.sources.lake import to_lake_rows
-
-BINARY_FILE_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
+from tremorline.plans.publishing import archive_batches
+from tremorline.sources.archive import BATCH_PATTERN, decode_files, fill_missing_time, split_quarantine, with_device
+from tremorline.sources.lake import BINARY_FILE_SCHEMA, write_lake
 
 def _start(df: DataFrame, fmt: str, path: str, checkpoint: str, interval: str | None, **options) -> StreamingQuery:
     """Drain what is there and stop, or with ``interval`` keep polling."""
@@ -46,10 +35,23 @@ def write_windows(windows: DataFrame, path: str, checkpoint: str, interval: str
     return _start(windows, "parquet", path, checkpoint, interval)
 
 
+def _each_batch(df: DataFrame, write, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Hand every micro-batch to ``write``; drain what is there and stop, or with ``interval`` keep polling."""
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def queue_windows(windows: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Append a stream of detected windows to an archive of gzip JSON batches."""
-    batches = window_payloads(windows).drop("window_id", "window_end")
-    return _start(batches, "json", path, checkpoint, interval, compression="gzip", maxRecordsPerFile=100_000)
+    """Append a stream of detected windows to an archive of gzip JSON batches.
+
+    The folder may be shared with ``archive_batches``. A micro-batch that is repeated after a failure queues its batches
+    twice; their ids are the same, and publishing takes each once.
+    """
+
+    def append(batch: DataFrame, _: int) -> None:
+        archive_batches(batch, path)
+
+    return _each_batch(windows, append, checkpoint, interval)
 
 
 def stream_archive(
@@ -67,30 +69,24 @@ def stream_archive(
 
 
 def sync_to_lake(
-    archive: DataFrame, path: str, checkpoint: str, device_id: str | None = None, interval: str | None = None
+    archive: DataFrame,
+    path: str,
+    checkpoint: str,
+    device_id: str | None = None,
+    interval: str | None = None,
+    date_undated: bool = False,
 ) -> StreamingQuery:
-    """Publish the readable records of an archive stream to the lake.
+    """Publish the readable records of an archive stream to the lake, each batch once however often it is delivered.
 
-    ``device_id`` names the device of records that carry none. Rows of a folder meet in one task per hour
-    of data, which keeps files few without making a busy device-day a single task.
+    ``device_id`` names the device of records that carry none, ``date_undated`` dates records without a time by when their
+    file was written. Micro-batches are merged into the lake (see ``write_lake``), which batch jobs may write as well.
     """
-    good, _ = split_quarantine(archive)
-    if device_id is not None:
-        good = good.withColumn("device_id", F.coalesce("device_id", F.lit(device_id)))
-    rows = to_lake_rows(good)
-    hour = F.floor(F.col("timestamp") / 3600)
-    rows = rows.repartition(*PARTITION_COLUMNS, hour)
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (
-        rows.writeStream.format("json")
-        .partitionBy(*PARTITION_COLUMNS)
-        .option("compression", "gzip")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
+    good, _ = split_quarantine(fill_missing_time(archive) if date_undated else archive)
+
+    def merge(batch: DataFrame, _: int) -> None:
+        write_lake(batch, path)
+
+    return _each_batch(with_device(good, device_id), merge, checkpoint, interval)
 
 
 def quarantine(archive: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
@@ -118,7 +114,8 @@ def running_metrics(
     """
 
     def replace(metrics: DataFrame, _: int) -> None:
-        metrics.coalesce(1).write.mode("overwrite").parquet(path)
+        # One row without keys; with keys as many files as the aggregation has partitions.
+        (metrics if by else metrics.coalesce(1)).write.mode("overwrite").parquet(path)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
