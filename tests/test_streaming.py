@@ -15,7 +15,7 @@ from tremorline.plans.detection import detect
 from tremorline.sources.archive import with_event_time
 from tremorline.sources.lake import read_lake
 from tremorline.sources.samples import read_sample_stream
-from tremorline.streaming import sinks
+from tremorline.streaming import batch_windows, sinks
 from tremorline.streaming.batch_windows import count_windows_by_batch
 from tremorline.streaming.count_windows import cut_windows, stream_count_windows, stream_detect
 from tremorline.streaming.time_windows import stream_time_windows
@@ -75,6 +75,47 @@ def test_micro_batches_through_the_batch_operators(spark, tmp_path, size, hop, b
     assert rows_of(spark.read.parquet(out), *COLUMNS) == expected
 
 
+def test_null_devices_and_times_in_micro_batches(spark, tmp_path, monkeypatch):
+    """Readings without a device have windows too; readings without a time come first in both forms."""
+    monkeypatch.setattr(batch_windows, "COMPACT_EVERY", 2)
+    frame = samples(spark, [float(i) for i in range(40)])
+    frame = frame.withColumn("device_id", F.when(F.col("seq") % 2 == 0, F.col("device_id")))
+    (tmp_path / "in").mkdir()
+    for low in range(0, 40, 8):
+        frame.where((F.col("seq") >= low) & (F.col("seq") < low + 8)).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = read_sample_stream(spark, str(tmp_path / "in"), SAMPLE_SCHEMA, max_files=1000)
+        out, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "c"))
+        count_windows_by_batch(stream, 6, out, state, checkpoint, 3).awaitTermination()
+    assert rows_of(spark.read.parquet(out), *COLUMNS) == rows_of(extract_features(frame, 6, 3), *COLUMNS)
+
+    untimed = samples(spark, [float(i) for i in range(20)], device="u").withColumn("ts", F.when(F.col("seq") > 2, F.col("ts")))
+    untimed.write.parquet(str(tmp_path / "in2"))
+    stream = read_sample_stream(spark, str(tmp_path / "in2"), SAMPLE_SCHEMA)
+    count_windows_by_batch(stream, 8, f"{out}2", f"{state}2", f"{checkpoint}2").awaitTermination()
+    expected = {r.window_id: r["mean"] for r in extract_features(untimed, 8).collect()}
+    assert {r.window_id: r["mean"] for r in spark.read.parquet(f"{out}2").collect()} == expected == {0: 3.5, 1: 11.5}
+
+
+def test_micro_batch_touches_its_own_devices(spark, tmp_path):
+    many = samples(spark, [float(i) for i in range(600)]).withColumn("device_id", F.format_string("d%d", F.col("seq") % 200))
+    (tmp_path / "in").mkdir()
+    out, state, checkpoint = (str(tmp_path / n) for n in ("out", "state", "c"))
+
+    def run():
+        stream = read_sample_stream(spark, str(tmp_path / "in"), SAMPLE_SCHEMA, max_files=1000)
+        count_windows_by_batch(stream, 4, out, state, checkpoint).awaitTermination()
+
+    many.write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    one = samples(spark, [1.0], times=[5000.0]).withColumns({"device_id": F.lit("d7"), "seq": F.lit(9999).cast("bigint")})
+    one.write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    schemas = {"seen": batch_windows.SEEN, "tail": batch_windows.TAIL}
+    written = {n: spark.read.schema(s).parquet(f"{state}/kept/{n}/added=1") for n, s in schemas.items()}
+    assert {name: [r.device_id for r in rows.collect()] for name, rows in written.items()} == {"seen": ["d7"], "tail": []}
+    assert [(r.device_id, r.window_id) for r in spark.read.parquet(out).collect()] == [("d7", 0)]
+
+
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     frame = signal(spark)
     (tmp_path / "in").mkdir()
