@@ -33,7 +33,7 @@ from tremorline.operators.labels import label_faults
 from tremorline.operators.windows import buffer_depth, latest_n
 from tremorline.plans.detection import detect, detect_time_windows, evaluate, report
 from tremorline.plans.publishing import archive_batches, backlog, publish
-from tremorline.session import new_folder
+from tremorline.session import cut_lineage, new_folder
 from tremorline.sources.archive import audit_archive, parse_records, read_archive, split_quarantine
 from tremorline.sources.lake import list_lake, read_lake, write_lake
 from tremorline.sources.samples import read_sample_stream, to_samples
@@ -256,7 +256,7 @@ def q_fault_labels(spark, sf_dir):
 
 
 def q_labelled_evaluation(spark, sf_dir):
-    labelled = label_faults(samples(spark, sf_dir), faults(spark, sf_dir))
+    labelled = cut_lineage(label_faults(samples(spark, sf_dir), faults(spark, sf_dir)))
     return evaluate(labelled, SIZE, RMS_LIMIT, STD_LIMIT).select(*METRICS)
 
 

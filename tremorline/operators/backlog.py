@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorline.operators.blocks import number_rows
+from tremorline.session import cut_lineage
 
 BATCH_KEY = ["device_id", "batch_id"]
 
@@ -38,8 +39,9 @@ def fifo_order(
     """Add ``queue_position`` (from 1) per device, oldest first.
 
     ``order`` are the time and number a batch id is made of, so this is the order of the ids as text; the id itself
-    decides where they are equal.
+    decides where they are equal. The batches are computed once and kept, as numbering looks at them before it begins.
     """
+    batches = cut_lineage(batches)
     numbered, _, _ = number_rows(batches, order=order, block_rows=block_rows, ties=("batch_id",))
     return numbered.select(*batches.columns, (F.col("pos") + 1).alias("queue_position"))
 

@@ -75,12 +75,13 @@ def split_crowded_keys(
     cell_rows: int,
     extra: list[Column] | None = None,
     nulls_last: bool = False,
+    tie: Column | None = None,
 ) -> Cells | None:
     """Cut the keys with more than ``key_limit`` rows into cells of about ``cell_rows`` rows.
 
     A cell of more than twice that is cut again, so sizes hold however unevenly the rows are spread; only
-    rows equal in both order columns can leave a larger one. ``major`` and ``minor`` are the order columns
-    as doubles; nulls sort first, or last if told so. ``extra`` are aggregates to compute per cell. Returns None when no key is
+    rows equal in both order columns, and in ``tie`` where given, can leave a larger one. ``major`` and ``minor`` are the
+    order columns as doubles; nulls sort first, or last if told so. ``extra`` are aggregates to compute per cell. Returns None when no key is
     crowded.
     """
     counts = [
@@ -89,20 +90,29 @@ def split_crowded_keys(
         F.max(major).alias("_hi1"),
         F.min(minor).alias("_lo2"),
         F.max(minor).alias("_hi2"),
+        F.min(tie if tie is not None else F.lit(0.0)).alias("_lo3"),
+        F.max(tie if tie is not None else F.lit(0.0)).alias("_hi3"),
     ]
     by_major = F.coalesce(F.col("_hi1") > F.col("_lo1"), F.lit(False))
     by_minor = F.coalesce(F.col("_hi2") > F.col("_lo2"), F.lit(False))
+    by_tie = F.coalesce(F.col("_hi3") > F.col("_lo3"), F.lit(False))
+    #: The first axis on which the rows of a cell differ.
+    axis = F.when(by_major, 1).when(by_minor, 2).otherwise(3)
+
+    def on_axis(axis: Column, one: Column, two: Column, three: Column) -> Column:
+        return F.when(axis == 1, one).when(axis == 2, two).otherwise(three)
 
     def crowded(limit: int) -> Column:
-        return (F.col("_n") > limit) & (by_major | by_minor)
+        return (F.col("_n") > limit) & (by_major | by_minor | by_tie)
 
     def cuts(stats: DataFrame, keys: list[str], limit: int) -> DataFrame:
         parts = F.greatest(F.lit(16), F.ceil(F.col("_n") / F.lit(cell_rows)))
-        span = F.when(by_major, F.col("_hi1") - F.col("_lo1")).otherwise(F.col("_hi2") - F.col("_lo2")) + 1
+        spans = [F.col(f"_hi{i}") - F.col(f"_lo{i}") for i in (1, 2, 3)]
+        span = on_axis(axis, *spans) + 1
         return stats.where(crowded(limit)).select(
             *keys,
-            by_major.alias("_by_major"),
-            F.when(by_major, F.col("_lo1")).otherwise(F.col("_lo2")).alias("_origin"),
+            axis.alias("_axis"),
+            on_axis(axis, *[F.col(f"_lo{i}") for i in (1, 2, 3)]).alias("_origin"),
             F.ceil(span / parts).cast("double").alias("_width"),
         )
 
@@ -113,16 +123,16 @@ def split_crowded_keys(
         return None
     while n_cuts:
         name = f"_cell{len(keys)}"
-        offset = F.when(F.col("_by_major"), major).otherwise(minor) - F.col("_origin")
+        offset = on_axis(F.col("_axis"), major, minor, tie if tie is not None else F.lit(0.0)) - F.col("_origin")
         cell = F.when(
-            F.col("_by_major").isNotNull(),
+            F.col("_axis").isNotNull(),
             F.coalesce(F.floor(offset / F.col("_width")).cast("bigint"), F.lit(LAST_CELL if nulls_last else -1).cast("bigint")),
         )
         rows = (
             join_cells(rows, rule, n_cuts, keys)
             .withColumn(name, F.coalesce(cell, F.lit(0).cast("bigint")))
-            .withColumn("_crowded", F.col("_by_major").isNotNull() if len(keys) == 1 else F.col("_crowded"))
-            .drop("_by_major", "_origin", "_width")
+            .withColumn("_crowded", F.col("_axis").isNotNull() if len(keys) == 1 else F.col("_crowded"))
+            .drop("_axis", "_origin", "_width")
         )
         keys = [*keys, name]
         cells = cut_lineage(rows.where("_crowded").groupBy(*keys).agg(*counts, *(extra or [])))
@@ -163,7 +173,13 @@ def number_rows(
     # A table that fits one block as a whole cannot have a crowded key; Parquet footers answer this.
     split = None
     if total > length:
-        split = split_crowded_keys(rows, key, major, minor, length, max(1, block_rows // CELLS_PER_BLOCK), nulls_last=descending)
+        rest = [F.col(n) for n in rows.columns if n not in (key, *order, *ties)]
+        # Rows equal so far are told apart by a hash of the other columns, so that many of them make several cells;
+        # not where ``ties`` order them, which a hash would not follow.
+        hashed = F.xxhash64(*rest) if rest and not ties else None
+        tie = None if hashed is None else hashed.cast("double")
+        cell_rows = max(1, block_rows // CELLS_PER_BLOCK)
+        split = split_crowded_keys(rows, key, major, minor, length, cell_rows, nulls_last=descending, tie=tie)
     if split is None:
         position = F.row_number().over(W.partitionBy(key).orderBy(*ordering)).cast("bigint") - 1
         numbered = rows.withColumn("pos", position)
@@ -174,7 +190,7 @@ def number_rows(
     placement = _blocks_of_cells(split, key, length, reach)
     # Blocks that share a cell must agree on its order, so rows equal in the order columns are told apart
     # by the others; rows equal in all columns are interchangeable.
-    ordering += [F.col(n) for n in rows.columns if n not in (key, *order)]
+    ordering += ([] if hashed is None else [hashed]) + rest
     placed = (
         join_cells(split.rows, placement, n_entries, split.keys)
         .drop(*split.keys[1:])

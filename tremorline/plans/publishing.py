@@ -56,9 +56,8 @@ def backlog(
     days = to_lake_rows(good).agg(*[f(F.concat("year", "month", "day")) for f in (F.min, F.max)]).first()
     if days[0] is not None:
         lake = lake.where(F.concat("year", "month", "day").between(days[0], days[1]))
-    waiting = cut_lineage(pending_batches(dedupe_redelivery(good), lake))
-    own = F.col("batch_id").rlike(OWN_ID)
-    if waiting.where(~own).isEmpty():
+    waiting = pending_batches(dedupe_redelivery(good), lake)
+    if good.where(~F.col("batch_id").rlike(OWN_ID)).isEmpty():
         parts = F.regexp_extract_all("batch_id", F.lit(r"(\d+)"), F.lit(1))
         ordered = waiting.withColumn("_ns", F.try_element_at(parts, F.lit(1)).cast("bigint")).withColumn(
             "_window", F.try_element_at(parts, F.lit(2)).cast("bigint")
