@@ -23,20 +23,17 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"
     )
     state = _state(found)
-    while True:
-        both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    while state[0]:
+        both = found.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+        both = both.select("e.a", "e.b")
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(least, "a")
-            .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-            .select("e.a", "e.b")
-            .where("a <> b")
-            .distinct()
-        )
+        hooks = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = large.join(least, "a").select(F.explode(hooks).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         found, before = stored(small, "edges"), state
         state = _state(found)
         if state == before:
-            roots = found.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            return found.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+            break
+    roots = found.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return found.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

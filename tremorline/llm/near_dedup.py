@@ -2,18 +2,20 @@
 
 Documents are sets of word shingles. Equal sets are merged first, so copies cost one row per mapper. A set's
 sketch is ``TOKENS`` minwise tokens. Every tree starts with one node for each value of one token; a node with
-more than ``SMALL`` sets branches on tokens chosen by a hash of its path, one or, so that the expected number
-of branches is one over the similarity, sometimes two. Small nodes compare their sketches exhaustively, and the
+more than ``SMALL`` sets branches on tokens in which a few of its sets differ, chosen by a hash of its path: one or, so
+that the expected number of branches is one over the similarity, sometimes two. Small nodes compare their sketches exhaustively, and the
 trees are independent, which gives two similar sets many chances to meet: at the threshold itself a pair misses
-all trees with probability (1 - t) ** TREES where nodes are small.
+all trees with probability (1 - t) ** TREES where nodes are small. A large node whose sets nearly all resemble one
+of them branches no further: it is a group of near copies.
 
 Sketches only say which sets may be linked. Sets that may be, directly or through others, form a candidate
-group; the full sets of a group are fetched once and links confirmed on them. Nodes that stay large at the
-deepest level become one candidate group: that adds work, never a link. Large groups are confirmed in blocks:
+group; the full sets of a group are fetched once and links confirmed on them. Groups of near copies, and nodes that stay
+large at the deepest level, are candidate groups as a whole: that adds work, never a link. Large groups are confirmed in
+blocks:
 
-1. inside each block of ``BLOCK`` sets;
-2. between one set of each block and all sets;
-3. between all sets outside of the largest class found so far and all sets.
+1. inside each block of ``BLOCK`` sets, which yields classes;
+2. between one set of the largest class and all sets: classes that it reaches join it;
+3. between all sets outside of that class and all sets.
 
 After that any two sets in different classes have been compared. Searches stop at links that join classes, so no
 group emits its pairs.
@@ -37,10 +39,15 @@ WORDS = 5
 TOKENS = 64
 TREES = 10
 SMALL = 64
-DEPTH = 6
+DEPTH = 5
+#: A large node looks at so many of its sets to choose what it branches on.
+MEMBERS = 6
 BLOCK = 128
+#: A large node is a group of near copies if so many of its sets resemble the first of them.
+ALIKE = 0.9
 #: Candidates are sent to all tasks up to so many ids; beyond it they are joined by a shuffle.
-IDS_TO_SEND = 4_000_000
+IDS_TO_SEND = 1_000_000
+GROUPS_TO_SEND = 500_000
 
 _NUMBERS = np.random.default_rng(4).integers(0, 1 << 64, (TOKENS, 2), dtype=np.uint64)
 _FACTORS, _SHIFTS = _NUMBERS[:, 0] | np.uint64(1), _NUMBERS[:, 1]
@@ -126,7 +133,7 @@ def _find(parents: list[int], i: int) -> int:
 
 
 def _compare_sketches(agree: int):
-    """In each node the links of a spanning forest over sketches that agree in enough tokens."""
+    """In each node links of the sets that hang together over sketches with enough equal tokens, to their smallest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["node"]):
@@ -134,13 +141,16 @@ def _compare_sketches(agree: int):
             left, out = list(range(len(tokens))), []
             while left:
                 queue = [left.pop()]
+                linked = list(queue)
                 while queue and left:
                     i = queue.pop()
                     near = (tokens[left] == tokens[i]).sum(axis=1) >= agree
                     reached = [j for j, hit in zip(left, near, strict=True) if hit]
                     left = [j for j, hit in zip(left, near, strict=True) if not hit]
-                    out += [(group["set_id"][i], group["set_id"][j]) for j in reached]
+                    linked += reached
                     queue += reached
+                first = min(group["set_id"][j] for j in linked)
+                out += [(group["set_id"][j], first) for j in linked if group["set_id"][j] != first]
             if out:
                 yield _edges(out)
 
@@ -158,14 +168,15 @@ def _similar(one: np.ndarray, others: list[np.ndarray], share: float) -> np.ndar
 
 
 def _confirm_inside(share: float):
-    """In each block the links of a spanning forest, confirmed on full sets."""
+    """Each block's sets with their class, named by its smallest set; the sets themselves where more is to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["root", "block"]):
             sets = [np.frombuffer(x, np.uint64) for x in group["members"]]
-            left, out = list(range(len(sets))), []
+            left, classes = list(range(len(sets))), [b""] * len(sets)
             while left:
                 queue = [left.pop()]
+                linked = list(queue)
                 while queue and left:
                     i = queue.pop()
                     n = len(sets[i])
@@ -175,16 +186,23 @@ def _confirm_inside(share: float):
                     hits = _similar(sets[i], [sets[j] for j in close], share)
                     reached = {j for j, hit in zip(close, hits, strict=True) if hit}
                     left = [j for j in left if j not in reached]
-                    out += [(group["set_id"][i], group["set_id"][j]) for j in reached]
+                    linked += reached
                     queue += reached
-            if out:
-                yield _edges(out)
+                name = min(group["set_id"][j] for j in linked)
+                for j in linked:
+                    classes[j] = name
+            more = [x if n > BLOCK else None for x, n in zip(group["members"], group["n"], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(group["root"], pa.binary()), pa.array(group["n"], pa.int64()), pa.array(group["set_id"], pa.binary()),
+                 pa.array(classes, pa.binary()), pa.array(more, pa.binary())],
+                names=["root", "n", "set_id", "class", "members"],
+            )
 
     return run
 
 
 def _confirm_across(share: float):
-    """In each cell links between asking sets and others, until they are of one class."""
+    """In each cell links between the classes of asking sets and of others, until they are one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["root", "asking", "block"]):
@@ -206,7 +224,7 @@ def _confirm_across(share: float):
                     a, b = _find(parents, classes[i]), _find(parents, classes[j])
                     if hit and a != b:
                         parents[a] = b
-                        out.append((group["set_id"][i], group["set_id"][j]))
+                        out.append((group["class"][i], group["class"][j]))
             if out:
                 yield _edges(out)
 
@@ -216,18 +234,37 @@ def _confirm_across(share: float):
 EDGES = "a binary, b binary"
 
 
+def _member(k: int) -> Column:
+    """The tokens of one set of a group, chosen by a hash."""
+    return F.min(F.struct(F.xxhash64("set_id", F.lit(k)).alias("h"), "tokens"))["tokens"].alias(f"member{k}")
+
+
+def _best_tokens(members: Column, share: float) -> Column:
+    """The tokens a node branches on: those in which some of its sets differ most, then by a hash of the path.
+
+    One token, or sometimes two, so that there are one over the similarity of them on average.
+    """
+    def rank(i: Column) -> Column:
+        values = F.transform(members, lambda tokens: F.get(tokens, i))
+        return F.struct((-F.size(F.array_distinct(values))).alias("rank"), F.xxhash64("node", i).alias("h"), i.alias("i"))
+
+    ranked = F.transform(F.sort_array(F.transform(F.sequence(F.lit(0), F.lit(TOKENS - 1)), rank)), lambda x: x["i"])
+    twice = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(1000)) < round(1000 * (1 / share - 1))
+    return F.slice(ranked, F.lit(1), F.when(twice, 2).otherwise(1))
+
+
 def _candidates(sets: DataFrame, share: float) -> DataFrame:
     """Links between sets that may be similar."""
     agree = max(1, math.floor(TOKENS * (share - 6 * math.sqrt(share * (1 - share) / TOKENS))))
     rows = sets.select("set_id", F.posexplode(F.slice("tokens", 1, TREES)).alias("tree", "value")).select(
         "set_id", F.xxhash64("tree", "value").alias("node")
     )
-    found, with_tokens = [], False
+    found = []
     for depth in range(1, DEPTH + 1):
         counts = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("set_id").alias("least")).where("n > 1")
         rows = rows.join(counts, "node")
-        if not with_tokens:
-            rows, with_tokens = rows.join(sets.select("set_id", "tokens"), "set_id"), True
+        if depth == 1:
+            rows = rows.join(sets.select("set_id", "tokens"), "set_id")
         rows = stored(rows, "nodes")
         small = rows.where(F.col("n") <= SMALL).select("node", "set_id", "tokens")
         grouped = small.repartition("node").sortWithinPartitions("node")
@@ -235,15 +272,19 @@ def _candidates(sets: DataFrame, share: float) -> DataFrame:
         large = rows.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
-        if depth == DEPTH:
-            found.append(large.select(F.col("set_id").alias("a"), F.col("least").alias("b")))
+        shape = large.groupBy("node").agg(*[_member(k) for k in range(MEMBERS)])
+        members = F.array(*[f"member{k}" for k in range(MEMBERS)])
+        shape = shape.select("node", F.col("member0").alias("first"), _best_tokens(members, share).alias("chosen"))
+        same = F.size(F.filter(F.zip_with("tokens", "first", lambda a, b: a == b), lambda x: x))
+        judged = large.join(shape, "node").select("node", "set_id", "least", "tokens", "chosen", (same >= agree).alias("like"))
+        shares = judged.groupBy("node").agg(F.avg(F.col("like").cast("int")).alias("alike"))
+        judged = stored(judged.join(shares, "node").drop("like"), "judged")
+        whole = F.lit(True) if depth == DEPTH else F.col("alike") >= ALIKE
+        found.append(judged.where(whole).select(F.col("set_id").alias("a"), F.col("least").alias("b")))
+        loose = judged.where(~whole)
+        if loose.isEmpty():
             break
-        first = F.pmod("node", F.lit(TOKENS)).cast("int")
-        second = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(1000))
-        twice = second < round(1000 * (1 / share - 1))
-        other = F.pmod(first + 1 + F.pmod(second, F.lit(TOKENS - 1)), F.lit(TOKENS)).cast("int")
-        chosen = F.explode(F.when(twice, F.array(first, other)).otherwise(F.array(first))).alias("token")
-        rows = large.select("node", "set_id", "tokens", chosen).select(
+        rows = loose.select("node", "set_id", "tokens", F.explode("chosen").alias("token")).select(
             "set_id", "tokens", F.xxhash64("node", "token", F.get("tokens", "token")).alias("node")
         )
     links = found[0]
@@ -256,16 +297,12 @@ def _block(n: str) -> Column:
     return F.pmod(F.xxhash64("set_id"), F.ceil(F.col(n) / BLOCK))
 
 
-def _largest(members: DataFrame, keys: list[str]) -> DataFrame:
-    """The class with most members among those with the same keys; a class is named by one of its members."""
-    sizes = members.groupBy(*keys, "class").agg(F.count(F.lit(1)).alias("size"))
-    return sizes.groupBy(*keys).agg(F.max(F.struct("size", "class"))["class"].alias("largest"))
-
-
 def _across(marked: DataFrame, share: float) -> DataFrame:
-    """Links between the members of each group that ask and all its members, in cells of two blocks."""
-    sizes = marked.groupBy("root").agg(F.count_if("asks").alias("n_asking"), F.count(F.lit(1)).alias("n_all"))
-    marked = marked.join(F.broadcast(sizes) if sizes.count() < 100_000 else sizes, "root").where("n_asking > 0")
+    """Links between classes, of the members of each group that ask and all its members, in cells of two blocks."""
+    sizes = stored(
+        marked.groupBy("root").agg(F.count_if("asks").alias("n_asking"), F.count(F.lit(1)).alias("n_all")).where("n_asking > 0"), "sizes"
+    )
+    marked = marked.join(F.broadcast(sizes) if sizes.count() <= GROUPS_TO_SEND else sizes, "root")
     asking = marked.where("asks").select(
         "root", "set_id", "members", "class", "asks", _block("n_asking").alias("asking"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n_all") / BLOCK) - 1)).alias("block"),
@@ -279,30 +316,30 @@ def _across(marked: DataFrame, share: float) -> DataFrame:
     return cells.sortWithinPartitions("root", "asking", "block").mapInArrow(_confirm_across(share), EDGES)
 
 
-def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members with the class that the links put them in; their own id if none does."""
-    roots = components(links).withColumnsRenamed({"node": "set_id", "root": "class"})
-    joined = members.drop("class").join(roots, "set_id", "left")
-    return joined.withColumn("class", F.coalesce("class", "set_id"))
-
-
 def _confirm(groups: DataFrame, share: float) -> DataFrame:
     """(set_id, class) of sets (root, n, set_id, members) in candidate groups."""
     parts = F.when(F.col("n") > BLOCK, F.ceil(F.col("n") / BLOCK)).otherwise(F.lit(1))
     blocks = groups.withColumn("block", F.pmod(F.xxhash64("set_id"), parts))
     inside = blocks.repartition("root", "block").sortWithinPartitions("root", "block")
-    links = stored(inside.mapInArrow(_confirm_inside(share), EDGES), "links")
-    large = blocks.where(F.col("n") > BLOCK)
-    if not large.isEmpty():
-        first = stored(_classes(large, links), "classes")
-        leader = F.col("set_id") == F.col("largest")
-        asking = first.join(_largest(first, ["root", "block"]), ["root", "block"]).withColumn("asks", leader)
-        links = stored(links.unionByName(_across(asking, share)), "links")
-        second = stored(_classes(first, links), "classes")
-        outside = F.col("class") != F.col("largest")
-        rest = second.join(_largest(second, ["root"]), "root").withColumn("asks", outside)
-        links = stored(links.unionByName(_across(rest, share)), "links")
-    return _classes(groups.select("set_id"), links)
+    schema = "root binary, n bigint, set_id binary, class binary, members binary"
+    labelled = stored(inside.mapInArrow(_confirm_inside(share), schema), "classes")
+    large = labelled.where(F.col("n") > BLOCK)
+    if large.isEmpty():
+        return labelled.select("set_id", "class")
+    sizes = large.groupBy("root", "class").agg(F.count(F.lit(1)).alias("size"))
+    largest = stored(sizes.groupBy("root").agg(F.max(F.struct("size", "class"))["class"].alias("largest")), "largest")
+    few = largest.count() <= GROUPS_TO_SEND
+    known = large.join(F.broadcast(largest) if few else largest, "root")
+    reached = stored(_across(known.withColumn("asks", F.col("set_id") == F.col("largest")), share).distinct(), "reached")
+    joined = reached.select(F.col("b").alias("class"), F.col("a").alias("into"))
+    few = joined.count() <= GROUPS_TO_SEND
+    known = known.join(F.broadcast(joined) if few else joined, "class", "left")
+    known = known.withColumn("class", F.coalesce("into", "class")).drop("into")
+    rest = stored(_across(known.withColumn("asks", F.col("class") != F.col("largest")), share), "rest")
+    names = components(reached.unionByName(rest)).withColumnsRenamed({"node": "class", "root": "name"})
+    return labelled.select("set_id", "class").join(names, "class", "left").select(
+        "set_id", F.coalesce("name", "class").alias("class")
+    )
 
 
 def near_groups(docs: DataFrame, share: float = 0.85, words: int = WORDS) -> DataFrame:
