@@ -27,7 +27,7 @@ DEPTH = 4
 MIN_DOCS = 5
 STABLE = 0.7
 #: Leaves are sent to all tasks up to so many; beyond it lines are joined with them.
-LEAVES_TO_SEND = 2_000_000
+LEAVES_TO_SEND = 500_000
 
 _DIGITS = b"0123456789"
 FIELD = b"<*>"
@@ -112,12 +112,14 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, stable: float = S
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line")).alias("first")
     in_docs = fitted.groupBy("template", "row").agg(first)
     recurring = in_docs.groupBy("template").agg(F.count(F.lit(1)).alias("n_docs"), F.min("first").alias("first"))
+    # Stored, so that lines of a very frequent template can be split when they are joined with it.
+    recurring = stored(recurring.where(F.col("n_docs") >= min_docs), "recurring")
     stays = (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("text_hash") == F.col("first.text_hash"))
         & (F.col("line") == F.col("first.line"))
     )
-    return fitted.join(recurring.where(F.col("n_docs") >= min_docs), "template").select(
+    return fitted.join(recurring, "template").select(
         "doc_id", "text_hash", "line", "template", "n_docs", stays.alias("stays")
     )
 
