@@ -82,6 +82,18 @@ def test_stage_keeps_one_of_each_group(spark):
     assert {1, 3, 4, 5, 6, 9, 10} <= set(ids) and ids.count(0) == 2
 
 
+def test_stage_keeps_groups_that_share_an_id(spark):
+    """Unrelated texts under one id, or without an id, are groups of their own; a near copy of one of them goes."""
+    rnd = random.Random(9)
+    one, other, *loose = (" ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(80)) for _ in range(6))
+    rows = [(5, one), (5, other), (9, f"{other} end"), *((None, t) for t in loose), (None, f"{loose[0]} end")]
+    left = {(r["doc_id"], r["text"]) for r in drop_near_copies(data.plain(spark, rows)).collect()}
+    assert {(5, one), (5, other), *((None, t) for t in loose[1:])} <= left
+    assert left - set(rows[:2]) - {(None, t) for t in loose[1:]} in ({(None, loose[0])}, {(None, f"{loose[0]} end")})
+    kept = [(r["doc_id"], r["text"]) for r in drop_near_copies(data.odd(spark)).collect()]
+    assert {(8, "two words"), (8, "another text under the same id")} <= set(kept)
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -342,14 +342,8 @@ def _confirm(groups: DataFrame, share: float) -> DataFrame:
     )
 
 
-def near_groups(docs: DataFrame, share: float = 0.85, words: int = WORDS) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_shingles, component_id, kept.
-
-    Words are runs without white space, A-Z in lower case. Two documents are linked when the Jaccard similarity of
-    their shingle sets is at least ``share`` (whole percents); component_id is the smallest doc_id reachable. A document
-    without words, or with a null text, has no shingles and is linked with nothing. Rows of one set are always
-    linked. Reads doc_id and text only; a null doc_id is not a smallest one. An empty table gives no rows.
-    """
+def _classified(docs: DataFrame, share: float, words: int) -> DataFrame:
+    """The rows of ``near_groups`` and their class, which tells groups apart that share a smallest id; null without words."""
     text = text_of(docs)
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     schema = "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, tokens array<int>"
@@ -384,20 +378,32 @@ def near_groups(docs: DataFrame, share: float = 0.85, words: int = WORDS) -> Dat
     named = sets.select("set_id", "first_id").join(classes, "set_id", "left")
     named = stored(named.select("set_id", "first_id", F.coalesce("class", "set_id").alias("class")), "named")
     least = named.groupBy("class").agg(F.min("first_id").alias("least"))
-    labels = named.join(least, "class").select("set_id", F.col("least").alias("label"))
+    labels = named.join(least, "class").select("set_id", "class", F.col("least").alias("label"))
     joined = rows.select("doc_id", "text_hash", "n_shingles", "set_id").join(labels, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("label"))
     return joined.select(
-        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "class"
     )
 
 
+def near_groups(docs: DataFrame, share: float = 0.85, words: int = WORDS) -> DataFrame:
+    """One row per document: doc_id, text_hash, n_shingles, component_id, kept.
+
+    Words are runs without white space, A-Z in lower case. Two documents are linked when the Jaccard similarity of
+    their shingle sets is at least ``share`` (whole percents); component_id is the smallest doc_id reachable. A document
+    without words, or with a null text, has no shingles and is linked with nothing. Rows of one set are always
+    linked. Reads doc_id and text only; a null doc_id is not a smallest one. An empty table gives no rows.
+    """
+    return _classified(docs, share, words).drop("class")
+
+
 def drop_near_copies(docs: DataFrame, share: float = 0.8, words: int = WORDS) -> DataFrame:
     """The documents with one of each group, columns unchanged; documents without words stay.
 
     Rows that repeat the id of the one that stays, with another text of the group, go too: the smallest hash stays.
+    Groups that share a smallest id, or have none, are different groups.
     """
-    groups = stored(near_groups(docs, share, words), "near")
-    kept = groups.where("kept AND n_shingles > 0").groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("text_hash"))
-    alone = groups.where("n_shingles = 0").select("doc_id", "component_id", "text_hash")
+    groups = stored(_classified(docs, share, words), "near")
+    kept = groups.where("kept AND n_shingles > 0").groupBy("doc_id", "class").agg(F.min("text_hash").alias("text_hash"))
+    alone = groups.where("n_shingles = 0").select("doc_id", "class", "text_hash")
     return keep_rows(docs, kept.unionByName(alone))
