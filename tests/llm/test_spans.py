@@ -80,6 +80,15 @@ def test_terms_that_disclose(spark):
     assert clean[100] == dict(rows)[100]
 
 
+def test_terms_that_disclose_an_entity_of_one_document(spark, monkeypatch):
+    rows = [(0, "the project kestrel is run by ann.lee@corp.org and the team since then")]
+    rows += [(100 + i, "the team of the project is run by someone else and since then") for i in range(60)]
+    for bound in (pii.TERMS_TO_SEND, 0):
+        monkeypatch.setattr(pii, "TERMS_TO_SEND", bound)
+        clean = {r["doc_id"]: r["text"] for r in pii.sanitise(data.plain(spark, rows)).collect()}
+        assert clean[0] == "the project  is run by [email] and the team since then" and clean[100] == rows[1][1]
+
+
 def test_odd_tables(spark):
     assert len(pii.report(pii.find_personal_data(data.odd(spark))).collect()) == len(data.TEXTS)
     assert len(secrets.report(secrets.scan(data.odd(spark))).collect()) == len(data.TEXTS)

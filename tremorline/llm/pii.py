@@ -6,8 +6,10 @@ entity e. A term t near an occurrence of e discloses it as far as knowing t tell
     PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t)))    against    IC(e) = log2(N / n(e)),
 
 with N the number of documents, n(e) and n(t) of those that hold e and t, n(e, t) of those with t near e. A term that
-stands nowhere else has PMI = IC: it identifies e as well as e itself. Terms with PMI of at least ``DISCLOSURE`` * IC,
-seen near e in ``SUPPORT`` documents, are generalised like the entity wherever that document uses them.
+stands nowhere else has PMI = IC: it identifies e as well as e itself. Terms with PMI of at least ``DISCLOSURE`` * IC
+are generalised like the entity wherever that document uses them, however few documents hold the entity: what guards
+against noise is how rare the term is. Near an entity of one document only terms of at most N ** (1 - ``DISCLOSURE``)
+documents pass.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from tremorline.llm.spans import digest, places, written
 
 #: Code points on each side of an entity in which terms count as near it.
 REACH = 100
-SUPPORT = 3
 DISCLOSURE = 0.8
 TERM = r"\p{L}{3,}"
 TERMS_TO_SEND = 1_000_000
@@ -107,18 +108,17 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, Data
     pairs = stored(held.select("doc_id", "text_hash", F.explode(F.array_distinct(near)).alias("pair")), "pairs")
     entities = held.select(F.explode(F.array_distinct(F.transform("spans", lambda s: _entity(s, F.col("text"))))).alias("entity"))
     n_entity = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    together = pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= SUPPORT)
+    together = pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n_et"))
     together = stored(
         together.select("pair", "n_et", F.substring_index("pair", " ", 1).alias("entity"), F.substring_index("pair", " ", -1).alias("term")),
         "together",
     )
     terms = together.select("term").distinct()
-    few = terms.count() <= TERMS_TO_SEND
-    words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_of(docs)), F.lit(TERM), F.lit(0))))
-    n_term = (
-        docs.select(words.alias("term")).join(F.broadcast(terms) if few else terms, "term", "left_semi")
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    )
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_of(docs)), F.lit(TERM), F.lit(0)))).alias("term"))
+    # Beyond the bound all words are counted in the map tasks; the join with the pairs leaves those that are asked for.
+    if terms.count() <= TERMS_TO_SEND:
+        words = words.join(F.broadcast(terms), "term", "left_semi")
+    n_term = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = found.count()
     pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
     content = F.log2(F.lit(n) / F.col("n_e"))
