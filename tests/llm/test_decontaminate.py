@@ -1,6 +1,8 @@
 import random
 
+import corpus_pipeline
 from tests.llm import data
+from tremorline.llm import catalog
 from tremorline.llm import decontaminate as dc
 
 
@@ -71,3 +73,14 @@ def test_odd_rows_and_stage(spark):
     assert left.columns == docs.columns and left.count() == len(data.TEXTS)
     assert dc.drop_leaks(data.empty(spark), asked).count() == 0
     assert dc.drop_leaks(docs, asked.limit(0)).count() == len(texts)
+
+
+def test_short_items_and_items_without_an_id(spark, tmp_path):
+    item = "quite a long question that nobody gave an id, but that stands in texts"
+    docs = data.plain(spark, [(1, f"so: {item.upper()}!"), (2, "What  is\na Monad? A"), (3, "what is a monadic thing"), (4, "他说中文话"), (5, "")])
+    asked = spark.createDataFrame([(None, item), (7, "what is a monad"), (None, "中文"), (8, " "), (9, "?")], "item_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    asked.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {tuple(r) for r in catalog.op3_decontaminate(spark, str(tmp_path)).collect()}
+    assert got == {(1, None, 0, 4 + len(item)), (2, 7, 0, 15), (2, 9, 0, 16), (4, None, 0, 4)}
+    assert sorted(r["doc_id"] for r in corpus_pipeline.leaks(spark, docs, str(tmp_path)).collect()) == [3, 5]

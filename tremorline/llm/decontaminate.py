@@ -6,11 +6,14 @@ each text by an automaton; around each hit Myers' bit-parallel algorithm compute
 between the item and any stretch of the text. Before that a hit has to hold for its neighbours: of two groups
 of p and q pieces with fewer than p + q edits together, one has fewer edits than pieces, so at least one hit stays
 within its budget for two pieces, four, eight, and so on up to the item.
+
+Short items, where a few edits make another text of them, have no budget: they are found as whole words only.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -22,8 +25,11 @@ from tremorline.llm.common import text_of, unused
 
 #: Edits per character of an item that still count as the item.
 ERROR_RATE = 0.1
-#: Items with fewer characters match nothing: they stand in texts by chance.
+#: Items with fewer characters are found without edits, between word boundaries, and only where short ones are asked for.
 SHORTEST_ITEM = 40
+#: Two characters between which a word goes on; scripts that are written without spaces have a boundary anywhere.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+INSIDE_WORD = re.compile(f"[^\\W{_UNSPACED}]{{2}}")
 #: Characters of items that are searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
 
@@ -36,7 +42,7 @@ def plain(text: str) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(rate * len(item))
+    return int(rate * len(item)) if len(item) >= SHORTEST_ITEM else 0
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -79,10 +85,15 @@ def nearest(item_masks: dict[str, int], length: int, text: str, errors: int) ->
     return best, place
 
 
+def bounded(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on across either end of the stretch."""
+    return not any(at and INSIDE_WORD.match(text, at - 1) for at in (start, end))
+
+
 class Finder:
     """Searches the texts of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int | None, str]], rate: float):
         self.items = []
         words: dict[str, list[tuple[int, int]]] = {}
         for number, (item_id, item) in enumerate(items):
@@ -120,16 +131,21 @@ class Finder:
             size *= 2
         return True
 
-    def matches(self, text: str) -> list[tuple[int, int, int]]:
+    def matches(self, text: str) -> list[tuple[int | None, int, int]]:
         """(item_id, distance, end) of the best stretch for each item within its budget."""
         if not self.items:
             return []
         starts: dict[int, dict[int, list[int]]] = {}
+        short: dict[int, int] = {}
         for end, (length, places) in self.automaton.iter(text):
             for number, piece in places:
+                if len(self.items[number][1]) < SHORTEST_ITEM:
+                    if number not in short and bounded(text, end + 1 - length, end + 1):
+                        short[number] = end + 1
+                    continue
                 start = end + 1 - length - self.items[number][3][piece]
                 starts.setdefault(number, {}).setdefault(start, []).append(piece)
-        found = []
+        found = [(self.items[number][0], 0, end) for number, end in short.items()]
         for number, places in starts.items():
             item_id, item, errors, _ = self.items[number]
             best = errors + 1, -1
@@ -141,7 +157,7 @@ class Finder:
         return found
 
 
-def _search(items: list[tuple[int, str]], rate: float):
+def _search(items: list[tuple[int | None, str]], rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(items, rate)
         for batch in batches:
@@ -158,33 +174,37 @@ def _search(items: list[tuple[int, str]], rate: float):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, short: bool = False) -> DataFrame:
     """One row per document and item it holds: doc_id, text_hash, item_id, distance, ends_at.
 
     Both sides are compared in lower case with white space runs as one space; ``ends_at`` counts in that text. Of several
-    stretches the one with the smallest distance counts, then the first. Null and empty texts hold nothing, items of
-    fewer than ``SHORTEST_ITEM`` characters are not searched. Rows with repeated ids are judged one by one. Items are taken
-    in blocks of ``BLOCK_CHARS`` characters, so the benchmark may be of any size. Only doc_id, item_id and text are read.
+    stretches the one with the smallest distance counts, then the first. Null and empty texts hold nothing. Items of
+    fewer than ``SHORTEST_ITEM`` characters are found as whole words without edits if ``short``, else not searched. An item
+    without an id is reported with a null item_id, unless its text has an id in another row. Rows with repeated ids are
+    judged one by one. Items are taken in blocks of ``BLOCK_CHARS`` characters, so the benchmark may be of any size. Only
+    doc_id, item_id and text are read.
     """
     source = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text_hash"), text_of(docs).alias("text")
     )
     asked = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    named = asked.where("item_id IS NOT NULL")
+    asked = named.unionByName(asked.where("item_id IS NULL").join(named.select("text"), "text", "left_anti").select("item_id", "text"))
     chars = asked.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
     found = None
     for block in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
-        items = sorted((r["item_id"], plain(r["text"])) for r in rows if r["item_id"] is not None)
-        items = [(i, text) for i, text in items if len(text) >= SHORTEST_ITEM]
+        items = sorted(((r["item_id"], plain(r["text"])) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        items = [(i, text) for i, text in items if len(text) >= (1 if short else SHORTEST_ITEM)]
         part = source.mapInArrow(_search(items, rate), MATCHES)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, short: bool = False) -> DataFrame:
     """The documents that hold no item, columns unchanged."""
-    leaks = find_leaks(docs, benchmark, rate).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
+    leaks = find_leaks(docs, benchmark, rate, short).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
     key = unused("text_hash", docs)
     marked = docs.withColumn(key, F.xxhash64(text_of(docs)))
     same = marked["doc_id"].cast("bigint").eqNullSafe(leaks["leak_id"]) & (marked[key] == leaks["leak_hash"])
