@@ -40,14 +40,15 @@ def test_every_query_has_a_twin():
     assert set(all_queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_the_corpus_queries_may_be_left_out(tmp_path):
-    """A copy without them still has all the others."""
+@pytest.mark.parametrize("also", [[], ["corpus_pipeline.py"]])
+def test_the_corpus_queries_may_be_left_out(tmp_path, also):
+    """The repository without the two folders, and without the pipeline beside them, still has all other queries."""
     root = os.path.dirname(os.path.abspath(entry.__file__))
-    for name in ("catalog", "tremorline"):
-        shutil.copytree(f"{root}/{name}", tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", *also))
+    assert (copy / "corpus_pipeline.py").exists() == (not also and os.path.exists(f"{root}/corpus_pipeline.py"))
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
-    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120,
                           env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert done.stdout.split() == [str(len(all_queries()))] * 2, done.stderr
 
