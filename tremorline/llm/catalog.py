@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tremorline.llm import bpe, decontaminate, exact_dedup, lang_id, line_dedup, near_dedup, pii, quality, secrets, sharding
+from tremorline.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    lang_id,
+    lexical_search,
+    line_dedup,
+    near_dedup,
+    pii,
+    quality,
+    secrets,
+    sharding,
+)
 from tremorline.llm.common import table
 
 
@@ -55,6 +67,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe.vocabulary_path(), digests=True)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_pii": op2_pii,
@@ -66,9 +82,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
+    "op11_lexical_search": op11_lexical_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_sharding": sharding.SQL,
+    "op11_lexical_search": lexical_search.SQL,
 }
