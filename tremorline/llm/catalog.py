@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tremorline.llm import (
     bpe,
+    conversation_trie,
     decontaminate,
     exact_dedup,
     lang_id,
@@ -71,6 +72,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_pii": op2_pii,
@@ -83,10 +88,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
     "op11_lexical_search": op11_lexical_search,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_sharding": sharding.SQL,
     "op11_lexical_search": lexical_search.SQL,
+    "op13_conversation_trie": conversation_trie.SQL,
 }
