@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tremorline.llm import conversation_trie
@@ -110,3 +111,20 @@ def test_odd_rows(spark, limits):
     assert found(table(spark, rows)) == plain(rows)
     assert prefix_trie(table(spark, [(None, 1, "a", "b")])).collect() == []
     assert prefix_trie(table(spark, [])).collect() == []
+
+
+def test_ids_are_hashed_in_pieces(monkeypatch):
+    """Lists cut into pieces, over several batches, have the hash of the whole."""
+    monkeypatch.setattr(conversation_trie, "IDS", 3)
+    rows = sorted((bytes([k % 4]) * 16, k * 7) for k in range(50))
+
+    def batches(columns, rows, types, size=7):
+        for at in range(0, len(rows), size):
+            part = list(zip(*rows[at : at + size], strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, types, strict=True)], names=columns)
+
+    pieces = [r for b in conversation_trie._join_ids(batches(["tip", "conv_id"], rows, [pa.binary(), pa.int64()])) for r in b.to_pylist()]
+    assert max(p["ids"].count(",") for p in pieces) == 2
+    again = batches(["tip", "first", "ids"], [(p["tip"], p["first"], p["ids"]) for p in pieces], [pa.binary(), pa.int64(), pa.string()])
+    got = {r["tip"]: r["ends_sha256"] for b in conversation_trie._hash_ids(again) for r in b.to_pylist()}
+    assert got == {bytes([k]) * 16: hashlib.sha256(",".join(str(i) for t, i in rows if t[0] == k).encode()).hexdigest() for k in range(4)}

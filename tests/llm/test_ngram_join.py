@@ -1,0 +1,101 @@
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+from tests.llm import data
+from tremorline.llm import ngram_join
+from tremorline.llm.ngram_join import ngram_groups, overlaps
+
+
+def shingles(text):
+    words = "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+    return {tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+
+
+def expected(rows, percent=90):
+    """All pairs of sets."""
+    sets, parents = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while parents[i] != i:
+            i = parents[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)):
+                common = len(a & b)
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    parents[find(i)] = find(j)
+    least = {}
+    for i, (doc_id, _) in enumerate(rows):
+        known = least.get(find(i))
+        least[find(i)] = doc_id if known is None else known if doc_id is None else min(known, doc_id)
+    return sorted(((d, len(s), least[find(i)]) for i, ((d, _), s) in enumerate(zip(rows, sets, strict=True))), key=repr)
+
+
+def found(frame, **options):
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_groups(frame, **options).collect()), key=repr)
+
+
+def test_overlaps_of_all_pairs(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COLUMNS", 7)
+    rnd = np.random.default_rng(2)
+    sets = [np.unique(rnd.integers(0, 60, n).astype(np.uint64)) for n in (1, 5, 40, 40, 80, 3)]
+    got = overlaps(sets)
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+
+
+def test_against_all_pairs_and_sql(spark, sf_dir):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    assert found(data.plain(spark, rows)) == expected(rows)
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    assert sorted(db.execute(ngram_join.SQL).fetchall(), key=repr) == expected(rows)
+
+
+def copies(rnd, n, length, edits, start=0):
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(length)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for at in rnd.sample(range(length), rnd.randint(0, edits)):
+            words[at] = f"e{rnd.randint(0, 10**6)}"
+        out.append((start + i, " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_groups_of_copies_and_shared_passages(spark, monkeypatch, small):
+    """Chains of near copies over several groups; documents that share most of a passage but are below the similarity."""
+    if small:
+        for name, value in (("GROUP", 8), ("COMMON", 4), ("ASKING", 5), ("COMMON_TO_SEND", 300), ("COUNTED", 2000), ("IDS_TO_SEND", 10)):
+            monkeypatch.setattr(ngram_join, name, value)
+    rnd = random.Random(7)
+    rows = copies(rnd, 120, 150, 3) + copies(rnd, 30, 60, 1, 300) + copies(rnd, 40, 200, 6, 400)
+    passage = " ".join(f"p{i}" for i in range(120))
+    rows += [(600 + i, f"{passage} {' '.join(f'u{rnd.randint(0, 10**6)}' for _ in range(rnd.choice([4, 12, 60])))}") for i in range(80)]
+    rows += [(800 + i, " ".join(f"z{rnd.randint(0, 3)}" for _ in range(rnd.randint(1, 6)))) for i in range(60)]
+    rnd.shuffle(rows)
+    assert found(data.plain(spark, rows)) == expected(rows)
+
+
+@pytest.mark.parametrize("share", [0.8, 0.95])
+def test_other_similarities(spark, share):
+    rnd = random.Random(11)
+    rows = copies(rnd, 40, 100, 5) + copies(rnd, 20, 30, 2, 100)
+    assert found(data.plain(spark, rows), share=share) == expected(rows, round(100 * share))
+
+
+def test_odd_rows(spark):
+    assert found(data.odd(spark)) == expected([(i, t) for i, t in data.TEXTS])
+    assert ngram_groups(data.empty(spark)).count() == 0
+
+
+def test_one_id_for_all(spark):
+    """Texts under one id are told apart."""
+    rnd = random.Random(3)
+    rows = [(1, t) for _, t in copies(rnd, 12, 80, 2)] + [(2, " ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(50))) for _ in range(12)]
+    assert found(data.plain(spark, rows)) == expected(rows)

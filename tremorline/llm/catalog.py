@@ -16,6 +16,7 @@ from tremorline.llm import (
     lexical_search,
     line_dedup,
     near_dedup,
+    ngram_join,
     pii,
     quality,
     secrets,
@@ -72,6 +73,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_bpe": op10_bpe,
     "op11_lexical_search": op11_lexical_search,
+    "op12_ngram_join": op12_ngram_join,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
@@ -95,5 +101,6 @@ ORACLES: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op5_sharding": sharding.SQL,
     "op11_lexical_search": lexical_search.SQL,
+    "op12_ngram_join": ngram_join.SQL,
     "op13_conversation_trie": conversation_trie.SQL,
 }
