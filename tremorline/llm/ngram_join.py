@@ -1,13 +1,13 @@
 """Jaccard similarity join on word n-grams with a token-group matrix.
 
-Two sets of similarity ``t`` share at least ``t`` of either. So whatever order all tokens are put in, both have ``NEEDED``
-tokens in common among the first ``n - ceil(t n) + NEEDED`` of theirs. The order used here puts tokens that very many documents
-hold last (counted over all documents), so that shared passages bring documents together only where these have little else.
-A set whose first tokens no other set has among its own has no partner.
+Two sets of similarity ``t`` share at least ``t`` of either. So whatever order all tokens are put in, both have ``k``
+tokens in common among the first ``n - ceil(t n) + k`` of theirs. The order used here puts tokens that very many documents
+hold last (counted over all documents), and ``k`` grows with the set, so that shared passages bring documents together only where
+these have little else. A set that has not so many first tokens in common with any other has no partner.
 
 The others are put into groups of similar sets, by their smallest token, in blocks where one token is crowded. A group stores
 the union of its members' tokens, its column of the token-group matrix, and the classes that its members form among themselves. A
-set asks a group if they have ``NEEDED`` first tokens in common and are not one class yet. The overlap with the union
+set asks a group if they have so many first tokens in common and are not one class yet. The overlap with the union
 bounds the overlap with any member; only groups that can reach the similarity are opened, and links are confirmed on whole sets.
 
 First one set of every class asks one group of the largest class that shares a first token with it, which makes one class of most
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tremorline.llm.common import stored, text_of
@@ -32,8 +32,9 @@ from tremorline.llm.near_dedup import shingles
 
 WORDS = 3
 SHARE = 0.9
-#: First tokens that two similar sets have in common.
+#: First tokens that two similar sets have in common: so many, and one more for every so many tokens.
 NEEDED = 3
+EVERY = 50
 #: Tokens that more documents hold come last; the limit is doubled until there are at most so many of them.
 COMMON = 32
 COMMON_TO_SEND = 2_000_000
@@ -126,6 +127,12 @@ def _common_tokens(source: DataFrame, n_tokens: int, words: int) -> tuple[np.nda
     return np.sort(tokens.astype(np.uint64)), shift
 
 
+def _needed(n: str, percent: int) -> Column:
+    """First tokens that a set of ``n`` tokens has in common with any similar one, which may be smaller."""
+    least = F.ceil(F.col(n) * percent / 100)
+    return F.least(F.lit(NEEDED) + F.floor(least / EVERY), least)
+
+
 def _first_tokens(words: int, percent: int, common: np.ndarray, shift: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +148,7 @@ def _first_tokens(words: int, percent: int, common: np.ndarray, shift: int):
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sizes.append(n)
                 least.append(found[0].view(np.int64))
-                first.append(ordered[: n + (-percent * n) // 100 + NEEDED].view(np.int64))
+                first.append(ordered[: n + (-percent * n) // 100 + NEEDED + n // EVERY].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(least, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
                 names=["set_id", "n", "smallest", "first"],
@@ -194,11 +201,11 @@ def _similar(common: np.ndarray, n: int | np.ndarray, sizes: np.ndarray, percent
 
 
 def _fill_groups(percent: int):
-    """Each set of a group with its class, named by its smallest set; on one row the group's union and smallest size."""
+    """Each set of a group, once, with its class, named by its smallest set; on one row the group's union and smallest size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (group,), found in _runs(batches, ["grp"]):
-            rows = list(found)
+            rows = list({r["set_id"]: r for r in found}.values())
             sets = [np.frombuffer(r["members"], np.uint64) for r in rows]
             sizes = np.array([len(x) for x in sets])
             near = _similar(overlaps(sets), sizes[:, None], sizes[None, :], percent)
@@ -218,8 +225,9 @@ def _fill_groups(percent: int):
             n = len(rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([group] * n, pa.int64()), pa.array([r["set_id"] for r in rows], pa.binary()), pa.array(classes, pa.binary()),
+                 pa.array([r["members"] for r in rows], pa.binary()), pa.array(sizes, pa.int64()),
                  pa.array([union, *[None] * (n - 1)], pa.binary()), pa.array([int(sizes.min())] * n, pa.int64())],
-                names=["grp", "set_id", "class", "tokens", "smallest"],
+                names=["grp", "set_id", "class", "members", "n", "tokens", "smallest"],
             )
 
     return run
@@ -278,25 +286,45 @@ def _open(percent: int):
     return run
 
 
-def _asked(questions: DataFrame, targets: DataFrame, full: DataFrame) -> DataFrame:
-    """Rows of targets (grp, class, members, n), then of the sets that ask them, dealt by group and, where many ask, in parts."""
-    parts = questions.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("parts"))
-    wanted = targets.join(parts, "grp").select(
-        "grp", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("salt"), F.lit(False).alias("asks"),
-        F.lit(None).cast("binary").alias("set_id"), "class", "members", "n",
-    )
-    asking = questions.join(parts, "grp").join(full.select("set_id", "class", "members", "n"), "set_id").select(
-        "grp", F.pmod(F.xxhash64("set_id"), F.col("parts")).alias("salt"), F.lit(True).alias("asks"), "set_id", "class", "members", "n"
-    )
-    return wanted.unionByName(asking).repartition("grp", "salt").sortWithinPartitions("grp", "salt", "asks")
+def _with_bodies(wanted: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Rows of wanted with the members of their set; only of these sets members are sent anywhere."""
+    wanted = stored(wanted, "wanted")
+    few = wanted.count() <= IDS_TO_SEND
+    return bodies.select("set_id", "members", "n").join(F.broadcast(wanted) if few else wanted, "set_id")
+
+
+def _dealt(questions: DataFrame, targets: DataFrame) -> DataFrame:
+    """Rows of targets (grp, class, members, n), then the sets that ask them, by group and, where many ask, in parts."""
+    columns = ["grp", "salt", "asks", "set_id", "class", "members", "n"]
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    targets = targets.select("*", copies.alias("salt"), F.lit(False).alias("asks"))
+    asking = questions.select("*", F.pmod(F.xxhash64("set_id"), F.col("parts")).alias("salt"), F.lit(True).alias("asks"))
+    rows = targets.select(*columns).unionByName(asking.select(*columns))
+    return rows.repartition("grp", "salt").sortWithinPartitions("grp", "salt", "asks")
+
 
+def _parts(questions: DataFrame) -> DataFrame:
+    """The groups asked, and into how many parts those that ask them are dealt."""
+    return questions.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / ASKING).alias("parts"))
 
-def _links(questions: DataFrame, full: DataFrame, unions: DataFrame, percent: int) -> DataFrame:
+
+def _links(questions: DataFrame, classes: DataFrame, bodies: DataFrame, unions: DataFrame, percent: int) -> DataFrame:
     """Links between classes (a, b) that the questions (set_id, grp) find."""
-    column = unions.select("grp", F.lit(None).cast("binary").alias("class"), F.col("tokens").alias("members"), F.col("smallest").alias("n"))
-    passed = stored(_asked(questions, column, full).mapInArrow(_bound(percent), "set_id binary, grp bigint"), "passed")
-    opened = full.select("grp", "class", "members", "n")
-    return stored(_asked(passed, opened, full).mapInArrow(_open(percent), "a binary, b binary").distinct(), "links")
+    named = classes.select("set_id", "class")
+
+    def asking(questions: DataFrame, parts: DataFrame) -> DataFrame:
+        return _with_bodies(questions.join(parts, "grp").join(named, "set_id"), bodies)
+
+    parts = stored(_parts(questions), "parts")
+    columns = unions.join(parts, "grp").select(
+        "grp", "parts", F.lit(None).cast("binary").alias("set_id"), F.lit(None).cast("binary").alias("class"),
+        F.col("tokens").alias("members"), F.col("smallest").alias("n"),
+    )
+    bound = _dealt(asking(questions, parts), columns).mapInArrow(_bound(percent), "set_id binary, grp bigint")
+    passed = stored(bound, "passed")
+    parts = stored(_parts(passed), "parts")
+    opened = _with_bodies(classes.join(parts, "grp"), bodies)
+    return stored(_dealt(asking(passed, parts), opened).mapInArrow(_open(percent), "a binary, b binary").distinct(), "links")
 
 
 def _renamed(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -315,13 +343,20 @@ def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, wo
     )
     prefixes = stored(prefixes, "first-tokens")
     tokens = prefixes.select("set_id", "n", F.explode("first").alias("token"))
-    several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("token")
-    shared = stored(tokens.join(several, "token"), "shared")
-
-    # A set needs NEEDED first tokens that others have too, or all of its tokens.
-    wanted = shared.groupBy("set_id").agg(F.count(F.lit(1)).alias("several"), F.first("n").alias("n"))
-    wanted = wanted.where(F.col("several") >= F.least(F.lit(NEEDED), "n")).select("set_id")
-    wanted = prefixes.select("set_id", "smallest").join(wanted, "set_id")
+    several = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    shared = stored(tokens.join(several.select("token"), "token"), "shared")
+
+    # What a set has in common with any other: exactly where few sets hold a token, at most all of the others.
+    sized = stored(shared.join(several, "token"), "sized")
+    crowded = sized.groupBy("set_id").agg(F.count_if(F.col("held") > COMMON).alias("crowded"), F.first("n").alias("n"))
+    few = sized.where(F.col("held") <= COMMON)
+    pairs = few.select("token", "set_id").join(few.select("token", F.xxhash64("set_id").alias("other")), "token")
+    pairs = pairs.where(F.xxhash64("set_id") != F.col("other")).groupBy("set_id", "other").agg(F.count(F.lit(1)).alias("met"))
+    met = pairs.groupBy("set_id").agg(F.max("met").alias("met"))
+    enough = F.col("crowded") + F.coalesce("met", F.lit(0)) >= _needed("n", percent)
+    wanted = crowded.join(met, "set_id", "left").where(enough).select("set_id")
+    wanted = stored(prefixes.select("set_id", "smallest").join(wanted, "set_id"), "candidates")
+    shared = stored(shared.join(wanted.select("set_id"), "set_id", "left_semi"), "shared")
     crowd = wanted.groupBy("smallest").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("blocks"))
     grouped = wanted.join(crowd, "smallest").select(
         "set_id", F.xxhash64("smallest", F.pmod(F.xxhash64("set_id"), F.col("blocks"))).alias("grp")
@@ -341,15 +376,18 @@ def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, wo
     asked = F.broadcast(asked) if grouped.count() <= IDS_TO_SEND else asked
     same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
     bodies = source.join(asked, same).select("set_id", "grp", "text").mapInArrow(whole_sets, "set_id binary, grp bigint, members binary")
-    bodies = stored(bodies.where("members IS NOT NULL").dropDuplicates(["set_id"]), "sets")
-
-    filled = bodies.repartition("grp").sortWithinPartitions("grp").mapInArrow(
-        _fill_groups(percent), "grp bigint, set_id binary, class binary, tokens binary, smallest bigint"
+    filled = bodies.where("members IS NOT NULL").repartition("grp").sortWithinPartitions("grp").mapInArrow(
+        _fill_groups(percent),
+        "grp bigint, set_id binary, class binary, members binary, n bigint, tokens binary, smallest bigint",
     )
     filled = stored(filled, "filled")
+    bodies = filled.select("set_id", "members", "n")
     unions = filled.where("tokens IS NOT NULL").select("grp", "tokens", "smallest")
     classes = filled.select("set_id", "grp", "class")
+    joined = True
     for turn in range(STARS + 1):
+        if not joined and turn < STARS:
+            continue
         # Of two classes the smaller one asks, by the same rule wherever they meet.
         rank = classes.groupBy("class").agg(F.count(F.lit(1)).alias("size")).select("class", F.struct("size", "class").alias("rank"))
         seen = stored(shared.join(classes.join(rank, "class").drop("class"), "set_id"), "seen")
@@ -359,7 +397,10 @@ def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, wo
             met = seen.groupBy("token", "rank").agg(one)
             top = met.groupBy("token").agg(F.max(F.struct("rank", "one.grp")).alias("top"), F.count(F.lit(1)).alias("classes"))
             asks = met.join(top.where("classes > 1"), "token").where(F.col("rank") < F.col("top.rank"))
-            questions = asks.select("one.set_id", "top.grp").distinct()
+            asks = asks.groupBy("rank", F.col("top.rank").alias("other")).agg(
+                F.count(F.lit(1)).alias("met"), F.min(F.struct("one.h", "one.set_id", "top.grp")).alias("one")
+            )
+            questions = asks.where(F.col("met") >= NEEDED).select("one.set_id", "one.grp").distinct()
         else:
             several = seen.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
             left = seen.join(several.where("low < high").select("token"), "token")
@@ -367,13 +408,13 @@ def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, wo
             pairs = left.select("token", "set_id", "n", "rank").join(others, "token").where(F.col("rank") < F.col("other"))
             # A token counts once for a group, whichever of its classes hold it.
             pairs = pairs.groupBy("set_id", "grp").agg(F.count_distinct("token").alias("met"), F.first("n").alias("n"))
-            questions = pairs.where(F.col("met") >= F.least(F.lit(NEEDED), "n")).select("set_id", "grp")
+            questions = pairs.where(F.col("met") >= _needed("n", percent)).select("set_id", "grp")
         questions = stored(questions, "questions")
         if questions.isEmpty():
             break
-        full = classes.join(bodies.select("set_id", "members"), "set_id").withColumn("n", F.length("members") / 8)
-        full = full.withColumn("n", F.col("n").cast("bigint"))
-        classes = _renamed(classes, _links(questions, full, unions, percent))
+        links = _links(questions, classes, bodies, unions, percent)
+        joined = not links.isEmpty()
+        classes = _renamed(classes, links) if joined else classes
     return classes.select("set_id", "class")
 
 
