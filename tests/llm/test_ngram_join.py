@@ -6,7 +6,7 @@ import pytest
 
 from tests.llm import data
 from tremorline.llm import ngram_join
-from tremorline.llm.ngram_join import ngram_groups, overlaps
+from tremorline.llm.ngram_join import ngram_groups, overlaps, token_sets
 
 
 def shingles(text):
@@ -40,6 +40,20 @@ def found(frame, **options):
     return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_groups(frame, **options).collect()), key=repr)
 
 
+@pytest.mark.parametrize("piece", [1 << 20, 16])
+def test_tokens_stand_for_runs_of_words(monkeypatch, piece):
+    """Whatever is hashed at once: as many tokens as runs, and equal runs have equal tokens in any text."""
+    monkeypatch.setattr(ngram_join, "PIECE", piece)
+    texts = [t or "" for _, t in data.TEXTS] + ["A b\tC\n d", "a b c", "a b c d e", "b c d", "x" * 300 + " a b c", "", "a\x85b c d"]
+    names = {}
+    for text, tokens in zip(texts, token_sets([t.encode() for t in texts], 3), strict=True):
+        assert len(tokens) == len(shingles(text)) and (np.diff(tokens) > np.uint64(0)).all()
+        names[frozenset(shingles(text))] = tokens
+    every = {run for runs in names for run in runs}
+    assert len(np.unique(np.concatenate(list(names.values())))) == len(every)
+    assert set(names[frozenset(shingles("a b c"))].tolist()) < set(names[frozenset(shingles("a b c d e"))].tolist())
+
+
 def test_overlaps_of_all_pairs(monkeypatch):
     monkeypatch.setattr(ngram_join, "COLUMNS", 7)
     rnd = np.random.default_rng(2)

@@ -5,7 +5,8 @@ tokens in common among the first ``n - ceil(t n) + k`` of theirs. The order used
 hold last (counted over all documents), and ``k`` grows with the set, so that shared passages bring documents together only where
 these have little else. A set that has not so many first tokens in common with any other has no partner.
 
-The others are put into groups of similar sets, by their smallest token, in blocks where one token is crowded. A group stores
+The others are put into groups of similar sets, by the first token they share with very many, or else with any; in blocks where
+that makes large groups. A group stores
 the union of its members' tokens, its column of the token-group matrix, and the classes that its members form among themselves. A
 set asks a group if they have so many first tokens in common and are not one class yet. The overlap with the union
 bounds the overlap with any member; only groups that can reach the similarity are opened, and links are confirmed on whole sets.
@@ -18,6 +19,7 @@ have then been compared or are in one class.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +28,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import stored, text_of
+from tremorline.llm.common import BLANKS, stored, text_of
 from tremorline.llm.components import components
-from tremorline.llm.near_dedup import shingles
 
 WORDS = 3
 SHARE = 0.9
@@ -51,12 +52,83 @@ IDS_TO_SEND = 500_000
 COLUMNS = 1 << 16
 
 
+#: Bytes whose words are hashed at once.
+PIECE = 1 << 20
+
+_BLANK = np.isin(np.arange(256), np.frombuffer(BLANKS, np.uint8))
+_BLANKS = re.compile(b"[" + re.escape(BLANKS) + b"]")
+_BASE, _STEP = np.uint64(0x2127599BF4325C37), np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, np.uint64)
+    powers[0] = 1
+    return np.cumprod(powers, out=powers)
+
+
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin, and their hashes. The text ends with a blank.
+
+    A word's hash is a polynomial in its bytes, mixed: the difference of two running sums, brought down by the power at which it begins.
+    """
+    starts, hashes, at = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+    up = down = np.empty(0, np.uint64)
+    while at < len(raw):
+        cut = _BLANKS.search(raw, at + PIECE) if len(raw) - at > PIECE else None
+        end = cut.end() if cut else len(raw)
+        piece = np.frombuffer(raw, np.uint8, end - at, at)
+        if len(up) < len(piece):
+            up, down = (_powers(x, len(piece)) for x in (int(_BASE), pow(int(_BASE), -1, 1 << 64)))
+        edges = np.flatnonzero(np.diff(_BLANK[piece].astype(np.int8), prepend=1))
+        first, after = edges[::2], edges[1::2]
+        sums = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum((piece + np.uint64(1)) * up[: len(piece)], out=sums[1:])
+        hashes.append(_mixed((sums[after] - sums[first]) * down[first] + (after - first).astype(np.uint64) * _STEP))
+        starts.append(first + at)
+        at = end
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def token_sets(texts: list[bytes], words: int) -> Iterator[np.ndarray]:
+    """For each text the sorted 64-bit hashes of its distinct runs of ``words`` words; of all words if there are fewer."""
+    at = 0
+    while at < len(texts):
+        some, size = [], 0
+        while at < len(texts) and (not some or size + len(texts[at]) < PIECE):
+            some.append(texts[at])
+            size, at = size + len(texts[at]), at + 1
+        starts, hashes = word_hashes(b"\n".join([*some, b""]).lower())
+        bounds = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in some)]))
+
+        def runs(part: np.ndarray, span: int) -> np.ndarray:
+            total = np.full(len(part) - span + 1, span, np.uint64)
+            for k in range(span):
+                total = total * _STEP + part[k : len(part) - span + 1 + k]
+            return _mixed(total)
+
+        every = runs(hashes, words) if len(hashes) >= words else hashes
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            if b - a >= words:
+                yield np.unique(every[a : b - words + 1])
+            else:
+                yield runs(hashes[a:b], b - a) if b > a else hashes[:0]
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return batch.column("text").cast(pa.binary()).to_pylist()
+
+
 def _describe(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, ids = [], []
-            for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                found = shingles(raw, words)
+            for found in token_sets(_texts(batch), words):
                 sizes.append(len(found))
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
@@ -85,9 +157,9 @@ def _count_tokens(words: int, shift: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                held.append(shingles(raw, words))
-                n += len(held[-1])
+            for found in token_sets(_texts(batch), words):
+                held.append(found)
+                n += len(found)
                 if n >= COUNTED // 2:
                     yield count(held)
                     held, n = [], 0
@@ -136,9 +208,8 @@ def _needed(n: str, percent: int) -> Column:
 def _first_tokens(words: int, percent: int, common: np.ndarray, shift: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, least, first = [], [], [], []
-            for raw in batch.column("text").cast(pa.binary()).to_pylist():
-                found = shingles(raw, words)
+            ids, sizes, first = [], [], []
+            for found in token_sets(_texts(batch), words):
                 n = len(found)
                 if not n:
                     continue
@@ -147,11 +218,10 @@ def _first_tokens(words: int, percent: int, common: np.ndarray, shift: int):
                 ordered = np.concatenate([found[~many], found[many]])
                 ids.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sizes.append(n)
-                least.append(found[0].view(np.int64))
                 first.append(ordered[: n + (-percent * n) // 100 + NEEDED + n // EVERY].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(least, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
-                names=["set_id", "n", "smallest", "first"],
+                [pa.array(ids, pa.binary()), pa.array(sizes, pa.int64()), pa.array(first, pa.list_(pa.int64()))],
+                names=["set_id", "n", "first"],
             )
 
     return run
@@ -337,9 +407,9 @@ def _renamed(classes: DataFrame, links: DataFrame) -> DataFrame:
 def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, words: int) -> DataFrame:
     """(set_id, class) of the sets that may have partners."""
     common, shift = _common_tokens(source, n_tokens, words)
-    schema = "set_id binary, n bigint, smallest bigint, first array<bigint>"
+    schema = "set_id binary, n bigint, first array<bigint>"
     prefixes = source.mapInArrow(_first_tokens(words, percent, common, shift), schema).groupBy("set_id").agg(
-        *[F.first(c).alias(c) for c in ("n", "smallest", "first")]
+        *[F.first(c).alias(c) for c in ("n", "first")]
     )
     prefixes = stored(prefixes, "first-tokens")
     tokens = prefixes.select("set_id", "n", F.explode("first").alias("token"))
@@ -348,24 +418,25 @@ def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, wo
 
     # What a set has in common with any other: exactly where few sets hold a token, at most all of the others.
     sized = stored(shared.join(several, "token"), "sized")
-    crowded = sized.groupBy("set_id").agg(F.count_if(F.col("held") > COMMON).alias("crowded"), F.first("n").alias("n"))
+    alike = F.min(F.struct((F.col("held") <= COMMON).alias("few"), "token"))["token"].alias("alike")
+    crowded = sized.groupBy("set_id").agg(F.count_if(F.col("held") > COMMON).alias("crowded"), F.first("n").alias("n"), alike)
     few = sized.where(F.col("held") <= COMMON)
     pairs = few.select("token", "set_id").join(few.select("token", F.xxhash64("set_id").alias("other")), "token")
     pairs = pairs.where(F.xxhash64("set_id") != F.col("other")).groupBy("set_id", "other").agg(F.count(F.lit(1)).alias("met"))
     met = pairs.groupBy("set_id").agg(F.max("met").alias("met"))
     enough = F.col("crowded") + F.coalesce("met", F.lit(0)) >= _needed("n", percent)
-    wanted = crowded.join(met, "set_id", "left").where(enough).select("set_id")
-    wanted = stored(prefixes.select("set_id", "smallest").join(wanted, "set_id"), "candidates")
+    wanted = crowded.join(met, "set_id", "left").where(enough)
+    wanted = stored(wanted.select("set_id", "alike"), "candidates")
     shared = stored(shared.join(wanted.select("set_id"), "set_id", "left_semi"), "shared")
-    crowd = wanted.groupBy("smallest").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("blocks"))
-    grouped = wanted.join(crowd, "smallest").select(
-        "set_id", F.xxhash64("smallest", F.pmod(F.xxhash64("set_id"), F.col("blocks"))).alias("grp")
+    crowd = wanted.groupBy("alike").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("blocks"))
+    grouped = wanted.join(crowd, "alike").select(
+        "set_id", F.xxhash64("alike", F.pmod(F.xxhash64("set_id"), F.col("blocks"))).alias("grp")
     )
     grouped = stored(grouped.join(sets, "set_id"), "groups")
 
     def whole_sets(batches):
         for batch in batches:
-            found = [shingles(raw, words).tobytes() for raw in batch.column("text").cast(pa.binary()).to_pylist()]
+            found = [x.tobytes() for x in token_sets(_texts(batch), words)]
             same = [xxhash.xxh3_128_digest(x) == i for x, i in zip(found, batch.column("set_id").to_pylist(), strict=True)]
             bodies = [x if ok else None for x, ok in zip(found, same, strict=True)]
             yield pa.RecordBatch.from_arrays(
