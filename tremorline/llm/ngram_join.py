@@ -475,10 +475,10 @@ def _classes(source: DataFrame, sets: DataFrame, n_tokens: int, percent: int, wo
         else:
             several = seen.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
             left = seen.join(several.where("low < high").select("token"), "token")
-            others = left.select("token", "grp", F.col("rank").alias("other")).distinct()
+            # A group is asked if its largest class there is larger, whichever of its classes are.
+            others = left.groupBy("token", "grp").agg(F.max("rank").alias("other"))
             pairs = left.select("token", "set_id", "n", "rank").join(others, "token").where(F.col("rank") < F.col("other"))
-            # A token counts once for a group, whichever of its classes hold it.
-            pairs = pairs.groupBy("set_id", "grp").agg(F.count_distinct("token").alias("met"), F.first("n").alias("n"))
+            pairs = pairs.groupBy("set_id", "grp").agg(F.count(F.lit(1)).alias("met"), F.first("n").alias("n"))
             questions = pairs.where(F.col("met") >= _needed("n", percent)).select("set_id", "grp")
         questions = stored(questions, "questions")
         if questions.isEmpty():
