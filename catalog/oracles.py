@@ -286,7 +286,8 @@ def all_oracles() -> dict[str, str]:
         "pruned_read": sql(QUEUED, f"""SELECT * FROM (SELECT {PARTITIONS}, count(*) AS n_windows,
             count(*) FILTER (flag) AS n_anomalies FROM b GROUP BY ALL) WHERE day BETWEEN '10' AND '20'
             AND month = '01' AND year = '2024'"""),
-        "lake_listing": sql(QUEUED, f"SELECT DISTINCT {PARTITIONS}, device_id, CAST(1 AS BIGINT) AS n_files FROM b"),
+        "lake_listing": sql(QUEUED, f"""SELECT {PARTITIONS}, device_id, CAST(ceil(count(*) / 3) AS BIGINT) AS n_files,
+            TRUE AS sizes_agree FROM b GROUP BY ALL"""),
         "stream_count_window": ROLLED,
         "stream_window_batches": sql(WINDOWED, f"SELECT {WINDOW_COLUMNS} FROM w"),
         "stream_detect": DETECTED,

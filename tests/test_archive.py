@@ -82,7 +82,7 @@ def test_archive_scan_sees_finished_batches_only(spark, tmp_path):
 
 def test_broken_batches_are_set_aside_and_the_rest_goes_on(spark, tmp_path):
     folder = tmp_path / "q"
-    put(folder, batch_name(0), b"NOT_A_VALID_GZIP_OR_JSON_CONTENT")
+    put(folder, batch_name(0), b"\x00 neither zipped nor JSON")
     put(folder, batch_name(1), payload())
     put(folder, batch_name(2), gzip.compress(b'{"timestamp": 1785'))
     put(folder, batch_name(3), {})

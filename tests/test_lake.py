@@ -1,0 +1,139 @@
+"""Writes to the lake: once each batch, in proportion to what is new, one writer at a time, and after a crash."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import rows_of, samples
+from tremorline.functions.payload import window_payloads
+from tremorline.plans.detection import detect
+from tremorline.plans.publishing import publish
+from tremorline.session import shared_folder
+from tremorline.sources import lake as lakes
+from tremorline.sources import lake_index
+from tremorline.sources.lake import LakeBusy, compact_lake, list_lake, read_lake, release_lake, write_lake
+from tremorline.sources.lake_index import LakeIndex
+
+
+def windows_of(spark, n, device="d"):
+    return detect(samples(spark, [float(i) for i in range(4 * n)], device=device), 4).cache()
+
+
+def sizes(folder, pattern):
+    return {p: p.stat().st_size for p in folder.rglob(pattern) if p.is_file()}
+
+
+def test_a_write_adds_what_is_new_and_touches_nothing_else(spark, tmp_path, monkeypatch):
+    """Writes of one batch leave all files before them alone and add as many bytes each, however full the folder is."""
+    monkeypatch.setattr(lake_index, "FAN", 4)
+    windows, path = windows_of(spark, 24), tmp_path / "lake"
+    publish(windows.where("window_id < 10"), str(path))
+    added = []
+    for number in range(10, 22):
+        before = {p: p.stat().st_mtime_ns for p in path.rglob("*.json.gz")}
+        write_lake(window_payloads(windows.where(f"window_id between {number - 3} and {number}")), str(path))
+        after = sizes(path, "*.json.gz")
+        assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+        added.append(sum(size for p, size in after.items() if p not in before))
+    assert read_lake(spark, str(path)).count() == 22 and max(added) <= 1.2 * min(added)
+    # Tables of keys were put together, none was lost, and no key is asked for in vain.
+    index = LakeIndex(spark, str(path))
+    assert index.entries().count() == 22 and len(index._tables()) <= 2 * 4
+    publish(windows, str(path))
+    assert rows_of(read_lake(spark, str(path)), "batch_id") == rows_of(window_payloads(windows), "batch_id")
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    from pathlib import Path
+
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    windows = windows_of(spark, 3)
+    for _ in range(2):
+        write_lake(window_payloads(windows), str(tmp_path / "lake"))
+    write_lake(window_payloads(windows.withColumn("rms", F.lit(5.0))), str(tmp_path / "lake"))
+    assert set(shared.iterdir()) == before and not LakeIndex(spark, str(tmp_path / "lake")).folder.names("pending")
+
+
+def test_many_keys_are_joined_and_few_are_filtered(spark, tmp_path, monkeypatch):
+    windows = windows_of(spark, 8).unionByName(windows_of(spark, 8, "e/f")).unionByName(windows_of(spark, 8).withColumn("device_id", F.lit(None).cast("string")))
+    for limit in (0, 1000):
+        monkeypatch.setattr(lake_index, "KEYS_IN_FILTER", limit)
+        path = str(tmp_path / f"lake{limit}")
+        for part in ("window_id % 2 = 0", "window_id < 5", "true"):
+            write_lake(window_payloads(windows.where(part)), path)
+        assert read_lake(spark, path).count() == 24
+    entries = LakeIndex(spark, path).entries().where(F.col("key").isin(["x", "y"]))
+    assert "PushedFilters: [In(key" in entries._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_changed_batch_replaces_the_old_one(spark, tmp_path):
+    windows, path = windows_of(spark, 6), str(tmp_path / "lake")
+    publish(windows.where("window_id < 4"), path)
+    mixed = windows.withColumn("rms", F.when(F.col("window_id") == 2, F.lit(-1.0)).otherwise(F.col("rms"))).where("window_id >= 2")
+    for _ in range(2):
+        lake = publish(mixed, path)
+        assert lake.count() == 6 and lake.where("features.rms = -1").count() == 1
+    # And back again: the index has the latest content.
+    assert publish(windows, path).where("features.rms = -1").count() == 0
+
+
+def test_one_writer_at_a_time(spark, tmp_path):
+    windows, path = windows_of(spark, 2), str(tmp_path / "lake")
+    index = LakeIndex(spark, path)
+    with index.held("sync", 0):
+        with pytest.raises(LakeBusy, match="sync"):
+            write_lake(window_payloads(windows), path, wait=0.5)
+        with pytest.raises(LakeBusy):
+            compact_lake(spark, path, wait=0)
+    write_lake(window_payloads(windows), path, wait=0)
+    # A writer that died finds its own lock; for others it has to be freed.
+    index.folder.create("lock", "sync")
+    write_lake(window_payloads(windows_of(spark, 3)), path, owner="sync", wait=0)
+    index.folder.create("lock", "gone")
+    release_lake(spark, path)
+    assert publish(windows_of(spark, 4), path).count() == 4
+
+
+@pytest.mark.parametrize("when", ["before the batches", "after the batches", "while stating"])
+def test_after_a_crash(spark, tmp_path, monkeypatch, when):
+    """A write that ends anywhere is taken up by the next one."""
+    windows, path = windows_of(spark, 6), str(tmp_path / "lake")
+    publish(windows.where("window_id < 2"), path)
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if when == "before the batches":
+            patch.setattr(lakes, "_write_rows", crash)
+        elif when == "after the batches":
+            patch.setattr(LakeIndex, "confirm", crash)
+        else:
+            patch.setattr(LakeIndex, "state", lambda self, added: (self.folder.make("pending/7"), crash()))
+        with pytest.raises(RuntimeError, match="lost"):
+            write_lake(window_payloads(windows.where("window_id < 4")), path)
+    arrived = 4 if when == "after the batches" else 2
+    assert read_lake(spark, path).count() == arrived
+    assert publish(windows, path).count() == 6
+    assert LakeIndex(spark, path).entries().select("key").distinct().count() == 6
+
+
+def test_a_lake_from_before_the_index(spark, tmp_path):
+    windows, path = windows_of(spark, 4), str(tmp_path / "lake")
+    publish(windows, path)
+    LakeIndex(spark, path).folder.delete()
+    assert publish(windows, path).count() == 4
+
+
+def test_files_are_put_together(spark, tmp_path):
+    windows, path = windows_of(spark, 5), str(tmp_path / "lake")
+    for number in range(5):
+        write_lake(window_payloads(windows.where(f"window_id = {number}")), path, mode="append")
+    assert list_lake(spark, path).first().n_files == 5
+    before = rows_of(read_lake(spark, path), "batch_id", "features.rms")
+    compact_lake(spark, path, min_files=6)
+    assert list_lake(spark, path).first().n_files == 5
+    compact_lake(spark, path, min_files=5)
+    assert list_lake(spark, path).first().n_files == 1
+    assert rows_of(read_lake(spark, path), "batch_id", "features.rms") == before
+    assert publish(windows, path).count() == 5

@@ -184,7 +184,7 @@ def test_archive_to_lake_and_quarantine(spark, tmp_path):
         sinks.sync_to_lake(archive, str(tmp_path / "lake"), str(tmp_path / "c1"), "edge-01").awaitTermination()
         sinks.quarantine(archive, str(tmp_path / "bad"), str(tmp_path / "c2")).awaitTermination()
 
-    put(0, b"NOT_A_VALID_GZIP_OR_JSON_CONTENT")
+    put(0, b"\x00 neither zipped nor JSON")
     for number in (1, 2, 3):
         good(number)
     sync()
@@ -199,6 +199,13 @@ def test_archive_to_lake_and_quarantine(spark, tmp_path):
     assert rows_of(spark.read.parquet(str(tmp_path / "bad")), "file_name", "reason") == [
         (f"batch_{0:019d}.json.gz", "not gzip"), (f"batch_{5:019d}.json.gz", "no fields")
     ]
+    # One query for both, that puts files together after every micro-batch.
+    archive = sinks.stream_archive(spark, str(queue), max_files=2)
+    sinks.sync_to_lake(archive, str(tmp_path / "lake2"), str(tmp_path / "c3"), "edge-01", compact_every=1,
+                       quarantine_path=str(tmp_path / "bad2")).awaitTermination()
+    assert rows_of(read_lake(spark, str(tmp_path / "lake2")), "*") == rows_of(lake, "*")
+    both = [rows_of(spark.read.parquet(str(tmp_path / name)), "file_name", "reason") for name in ("bad", "bad2")]
+    assert both[0] == both[1]
 
 
 def test_queue_then_sync(spark, tmp_path):

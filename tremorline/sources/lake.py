@@ -5,14 +5,16 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tremorline.functions.keys import partition_values, utc_timestamp
 from tremorline.model import LAKE_SCHEMA, PARTITION_COLUMNS, PAYLOAD_SCHEMA
-from tremorline.session import cut_lineage
+from tremorline.session import new_folder
+from tremorline.sources.lake_index import LAKE_KEY, Folder, LakeBusy, LakeIndex, batch_key, content_hash
+
+__all__ = ["LakeBusy", "compact_lake", "list_lake", "read_lake", "release_lake", "to_lake_rows", "write_lake"]
 
 
 def to_lake_rows(batches: DataFrame) -> DataFrame:
@@ -31,25 +33,103 @@ BINARY_FILE_SCHEMA = T.StructType(
         T.StructField("content", T.BinaryType()),
     ]
 )
-LAKE_KEY = [*PARTITION_COLUMNS, "batch_id"]
-
-
-def write_lake(batches: DataFrame, path: str, mode: str = "merge", max_records: int = 1_000_000) -> None:
+#: A folder of so many files is put together when a stream comes to it.
+MANY_FILES = 64
+
+
+def write_lake(
+    batches: DataFrame,
+    path: str,
+    mode: str = "merge",
+    max_records: int = 1_000_000,
+    owner: str | None = None,
+    wait: float = 60.0,
+) -> None:
     """Write batches to the lake; each (day, device, batch) is there once, however often it is written.
 
-    ``merge`` reads the folders that ``batches`` has rows for, drops the rows it brings anew, and replaces the folders;
-    what a folder held besides stays. ``append`` does not look at what is there, for batches known to be new.
-    ``rebalance`` brings the rows of a folder together so that few files are written, and lets adaptive
-    execution split a crowded folder over several tasks.
+    ``merge`` asks the lake's index which batches are there. New ones are appended, equal ones left out; no folder is read, so the
+    cost follows what is new. A batch that is there with another content replaces it, and only for that its folder is read and
+    written anew. ``append`` does not ask, for batches known to be new.
+
+    One writer writes at a time; another one waits ``wait`` seconds and then fails with ``LakeBusy``. A writer that died leaves
+    its lock; it is its own again under the same ``owner`` name, or freed by ``release_lake``. What it had written by then is found
+    by the next writer.
     """
     if mode not in ("merge", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    rows = to_lake_rows(batches)
-    if mode == "merge":
-        rows = merged_rows(rows, path)
+    spark, index = batches.sparkSession, LakeIndex(batches.sparkSession, path)
+    with index.held(owner, wait), _Scratch(spark) as scratch:
+        index.recover(_lake_if_any(spark, path))
+        rows = to_lake_rows(batches)
+        rows = (rows.dropDuplicates(LAKE_KEY) if mode == "merge" else rows).withColumns({"key": batch_key(), "content": content_hash()})
+        fresh = scratch.keep(rows, "fresh")
+        n_fresh = fresh.count()
+        if not n_fresh:
+            return
+        if mode == "merge":
+            judged = fresh.join(index.known(fresh, n_fresh), "key", "left").where("known IS NULL OR known <> content")
+            fresh = scratch.keep(judged, "judged")
+            if fresh.isEmpty():
+                return
+        version = index.state(fresh)
+        if mode == "merge":
+            changed = fresh.where("known IS NOT NULL")
+            if not changed.isEmpty():
+                folders = scratch.keep(_replaced(read_lake(spark, path), changed), "folders")
+                _write_rows(folders, path, "overwrite", max_records)
+            fresh = fresh.where("known IS NULL")
+        _write_rows(fresh.select(*LAKE_SCHEMA.fieldNames()), path, "append", max_records)
+        index.confirm(version)
+
+
+def release_lake(spark: SparkSession, path: str) -> None:
+    """Free a lake whose writer is gone."""
+    LakeIndex(spark, path).folder.delete("lock")
+
+
+def compact_lake(
+    spark: SparkSession,
+    path: str,
+    min_files: int = 2,
+    max_records: int = 1_000_000,
+    owner: str | None = None,
+    wait: float = 60.0,
+) -> None:
+    """Put the files of every folder that has at least ``min_files`` of them together. What the lake holds stays the same."""
+    with LakeIndex(spark, path).held(owner, wait), _Scratch(spark) as scratch:
+        crowded = list_lake(spark, path).where(F.col("n_files") >= min_files).select(*PARTITION_COLUMNS)
+        crowded = scratch.keep(crowded, "crowded")
+        if not crowded.isEmpty():
+            lake = read_lake(spark, path)
+            rows = lake.join(crowded, _same(lake, crowded, PARTITION_COLUMNS), "left_semi")
+            _write_rows(scratch.keep(rows, "folders"), path, "overwrite", max_records)
+
+
+class _Scratch:
+    """Tables in the shared folder that go when the work is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> _Scratch:
+        return self
+
+    def keep(self, df: DataFrame, purpose: str) -> DataFrame:
+        self.paths.append(new_folder(self.spark, purpose))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            Folder(self.spark, path).delete()
+
+
+def _write_rows(rows: DataFrame, path: str, mode: str, max_records: int) -> None:
+    """``rebalance`` brings the rows of a folder together so that few files are written, and lets adaptive
+    execution split a crowded folder over several tasks."""
     (
         rows.hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode("overwrite" if mode == "merge" else "append")
+        .write.mode(mode)
         .partitionBy(*PARTITION_COLUMNS)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records)
@@ -58,29 +138,22 @@ def write_lake(batches: DataFrame, path: str, mode: str = "merge", max_records:
     )
 
 
-def merged_rows(rows: DataFrame, path: str) -> DataFrame:
-    """The rows of the folders that ``rows`` touches: the new ones, and those there that they do not replace.
+def _same(one: DataFrame, other: DataFrame, names: list[str]) -> Column:
+    return reduce(and_, [one[c].eqNullSafe(other[c]) for c in names])
 
-    Kept on reliable storage, as the folders read are about to be replaced. Copies are reduced in the map tasks.
-    """
-    spark = rows.sparkSession
-    fresh = cut_lineage(rows.dropDuplicates(LAKE_KEY))
-    try:
-        lake = read_lake(spark, path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return fresh
-        raise
-    days = fresh.select(*PARTITION_COLUMNS[:3]).distinct()
-    touched = lake.join(F.broadcast(days), PARTITION_COLUMNS[:3], "left_semi")
-    folders, known = fresh.select(*PARTITION_COLUMNS).distinct(), fresh.select(*LAKE_KEY)
-
-    def same(other: DataFrame, names: list[str]):
-        tests = [touched[c].eqNullSafe(other[c]) for c in names]
-        return reduce(and_, tests)
-
-    kept = touched.join(folders, same(folders, PARTITION_COLUMNS), "left_semi").join(known, same(known, LAKE_KEY), "left_anti")
-    return cut_lineage(fresh.unionByName(kept.select(*fresh.columns)))
+
+def _replaced(lake: DataFrame, changed: DataFrame) -> DataFrame:
+    """The rows of the folders that ``changed`` touches, with those of ``changed`` in the place of what they replace."""
+    folders, keys = changed.select(*PARTITION_COLUMNS).distinct(), changed.select(*LAKE_KEY)
+    touched = lake.join(folders, _same(lake, folders, PARTITION_COLUMNS), "left_semi")
+    kept = touched.join(keys, _same(touched, keys, LAKE_KEY), "left_anti")
+    names = LAKE_SCHEMA.fieldNames()
+    return kept.select(*names).unionByName(changed.select(*names))
+
+
+def _lake_if_any(spark: SparkSession, path: str) -> DataFrame | None:
+    """The lake, unless nothing was written to it yet."""
+    return read_lake(spark, path) if any(n.startswith("year=") for n in Folder(spark, path).names()) else None
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

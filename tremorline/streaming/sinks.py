@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tremorline.operators.detect import classification_metrics, confusion_counts
 from tremorline.plans.publishing import archive_batches
 from tremorline.sources.archive import BATCH_PATTERN, decode_files, fill_missing_time, split_quarantine, with_device
-from tremorline.sources.lake import BINARY_FILE_SCHEMA, write_lake
+from tremorline.sources.lake import BINARY_FILE_SCHEMA, MANY_FILES, compact_lake, write_lake
 
 def _start(df: DataFrame, fmt: str, path: str, checkpoint: str, interval: str | None, **options) -> StreamingQuery:
     """Drain what is there and stop, or with ``interval`` keep polling."""
@@ -75,18 +75,29 @@ def sync_to_lake(
     device_id: str | None = None,
     interval: str | None = None,
     date_undated: bool = False,
+    compact_every: int = 64,
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
     """Publish the readable records of an archive stream to the lake, each batch once however often it is delivered.
 
     ``device_id`` names the device of records that carry none, ``date_undated`` dates records without a time by when their
-    file was written. Micro-batches are merged into the lake (see ``write_lake``), which batch jobs may write as well.
+    file was written. Micro-batches are merged into the lake (see ``write_lake``), which batch jobs may write as well: a micro-batch
+    appends what is new. Every ``compact_every`` micro-batches folders of very many files are put together. With
+    ``quarantine_path`` the unreadable records go there, one folder per micro-batch, and the archive is decoded once for both.
     """
-    good, _ = split_quarantine(fill_missing_time(archive) if date_undated else archive)
-
-    def merge(batch: DataFrame, _: int) -> None:
-        write_lake(batch, path)
-
-    return _each_batch(with_device(good, device_id), merge, checkpoint, interval)
+    audited = fill_missing_time(archive) if date_undated else archive
+
+    def merge(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist() if quarantine_path else batch
+        good, bad = split_quarantine(batch)
+        write_lake(with_device(good, device_id), path, owner=checkpoint)
+        if quarantine_path:
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/epoch={epoch}")
+            batch.unpersist()
+        if compact_every and (epoch + 1) % compact_every == 0:
+            compact_lake(batch.sparkSession, path, MANY_FILES, owner=checkpoint)
+
+    return _each_batch(audited, merge, checkpoint, interval)
 
 
 def quarantine(archive: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
