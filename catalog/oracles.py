@@ -153,6 +153,14 @@ d AS (
     FLAGGED,
 ]
 
+CROWDED_TIMED = [
+    TIMED[0].replace("CAST(user_id AS VARCHAR) AS device_id", "g AS device_id").replace("event_type = 'error'", "event_type IN ('error', 'click')")
+    .replace("PARTITION BY user_id", "PARTITION BY g")
+    .replace("FROM events", """FROM (SELECT *,
+    CASE WHEN event_type IN ('view', 'click') THEN 'gateway' ELSE CAST(user_id AS VARCHAR) END AS g FROM events)"""),
+    *TIMED[1:],
+]
+
 DAILY = """SELECT CAST(user_id AS VARCHAR) AS device_id,
             round(epoch_us(date_trunc('day', ts)) / 1e6, 6) AS interval_start, count(*) AS n,
             round(sqrt(avg(value * value)), 9) AS rms, round(avg(value), 9) AS mean,
@@ -196,6 +204,9 @@ def all_oracles() -> dict[str, str]:
                 AND e.ts >= f.ts AND e.ts <= f.ts + INTERVAL 12 HOURS) AS ground_truth
             FROM events e""",
         "detect_time_windows": sql(TIMED, f"SELECT {DETECTED_COLUMNS} FROM f JOIN d USING (device_id, window_id)"),
+        "crowded_time_windows": sql(CROWDED_TIMED, """SELECT device_id, window_id, n, round(rms, 9) AS rms,
+            round(mean, 9) AS mean, round(std, 9) AS std, round(freq, 12) AS dominant_freq_hz, truth AS ground_truth
+            FROM f JOIN d USING (device_id, window_id)"""),
         "stream_detect_time_windows": sql(TIMED, f"""SELECT {DETECTED_COLUMNS} FROM f JOIN d USING (device_id, window_id)
             WHERE make_timestamp((window_id + 1) * 432000000000)
               <= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS"""),
@@ -272,6 +283,9 @@ def all_oracles() -> dict[str, str]:
         "archive_audit": PAYLOADS,
         "fifo_order": sql(QUEUED, """SELECT device_id, batch_id,
             row_number() OVER (PARTITION BY device_id ORDER BY batch_id) AS queue_position FROM b"""),
+        "fifo_foreign_ids": sql([CROWDED], """, b AS (
+              SELECT device_id, strftime(ts, 'batch_%Y-%m-%d') || '_' || seq AS batch_id FROM r)
+            SELECT device_id, batch_id, row_number() OVER (PARTITION BY device_id ORDER BY batch_id) AS queue_position FROM b"""),
         "peek_oldest": sql(QUEUED, """SELECT device_id, batch_id, round(epoch_us(t1) / 1e6, 6) AS "timestamp",
             flag AS anomaly_detected FROM b
             QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY batch_id) = 1"""),

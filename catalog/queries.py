@@ -27,6 +27,7 @@ from tremorline.operators.features import (
     extract_features,
     features_for_devices,
     time_window_features,
+    time_window_spectral_features,
     window_spectra,
 )
 from tremorline.operators.labels import label_faults
@@ -198,14 +199,19 @@ def q_device_feature_defaults(spark, sf_dir):
     devices = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").cast("string").alias("device_id")
     )
-    features = extract_features(samples(spark, sf_dir), SIZE)
-    return rounded(features_for_devices(devices, features), ["device_id", "rms", "mean", "std", "dominant_freq_hz"])
+    return rounded(features_for_devices(devices, samples(spark, sf_dir), SIZE), ["device_id", "rms", "mean", "std", "dominant_freq_hz"])
 
 
 def q_detect_time_windows(spark, sf_dir):
     return rounded(detect_time_windows(samples(spark, sf_dir), "5 days", RMS_LIMIT, STD_LIMIT), DETECTED)
 
 
+def q_crowded_time_windows(spark, sf_dir):
+    """Windows of more readings than a task may hold, which here are 256: their transform is split over tasks."""
+    windows = time_window_spectral_features(crowded_samples(spark, sf_dir), "5 days", window_rows=256)
+    return rounded(windows, ["device_id", "window_id", "n", "rms", "mean", "std", "dominant_freq_hz", "ground_truth"])
+
+
 # Detection and scoring
 
 
@@ -371,6 +377,13 @@ def q_fifo_order(spark, sf_dir):
     return fifo_order(batches(spark, sf_dir)).select("device_id", "batch_id", "queue_position")
 
 
+def q_fifo_foreign_ids(spark, sf_dir):
+    """Ids of another maker that share their first 14 bytes and whose numbers have no fixed width, two fifths on one device."""
+    rows = crowded_samples(spark, sf_dir)
+    ids = F.concat(F.date_format("ts", "'batch_'yyyy-MM-dd"), F.lit("_"), F.col("seq").cast("string"))
+    return fifo_order(rows.select("device_id", ids.alias("batch_id")))
+
+
 def q_peek_oldest(spark, sf_dir):
     return rounded(peek_oldest(batches(spark, sf_dir)), ["device_id", "batch_id", "timestamp", "anomaly_detected"])
 

@@ -154,15 +154,19 @@ def test_fifo_peek_and_depth(spark, tmp_path):
     assert waiting(drained).count() == 0 and peek_oldest(waiting(drained)).count() == 0
 
 
-def test_fifo_order_over_blocks(spark):
-    frame = spark.createDataFrame(
-        [("d", at(i // 3), i, f"b{i:03d}") for i in range(100)],
-        "device_id string, window_end timestamp, window_id bigint, batch_id string",
-    )
-    for block_rows in (4_000_000, 16):
-        rows = fifo_order(frame, block_rows=block_rows).orderBy("queue_position").collect()
-        assert [r.batch_id for r in rows] == [f"b{i:03d}" for i in range(100)]
-        assert [r.queue_position for r in rows] == list(range(1, 101))
+@pytest.mark.parametrize("n_ranges", [None, 1, 7])
+def test_fifo_order_of_any_ids(spark, n_ranges):
+    """Ids that share their beginning, of a crowded device, of a missing one, and a missing id."""
+    rows = [("d", f"batch_2026-0{7 + i % 2}-{i * 7919 % 4001}") for i in range(3000)]
+    rows += [(None, f"x{i}") for i in range(20)] + [("e", None), ("e", ""), ("e", "é"), ("e", "Z"), ("e", "a")]
+    frame = spark.createDataFrame(rows, "device_id string, batch_id string").withColumn("other", F.lit(1))
+    got = fifo_order(frame, n_ranges)
+    assert got.columns == ["device_id", "batch_id", "other", "queue_position"]
+    expected = []
+    for device in ("d", "e", None):
+        ids = sorted((b for d, b in rows if d == device), key=lambda b: (b is not None, (b or "").encode()))
+        expected += [(device, b, k + 1) for k, b in enumerate(ids)]
+    assert rows_of(got, "device_id", "batch_id", "queue_position") == sorted(expected, key=repr)
 
 
 def test_redelivery_keeps_the_last_copy(spark):

@@ -91,7 +91,7 @@ def test_spectrum_lists_every_bin(spark):
 
 def test_devices_without_windows_get_zeros(spark):
     devices = spark.createDataFrame([("d1",), ("d2",), ("d3",)], "device_id string")
-    frame = features_for_devices(devices, extract_features(samples(spark, [3.0] * 4), 4))
+    frame = features_for_devices(devices, samples(spark, [3.0] * 4), 4)
     rows = {r.device_id: r for r in frame.collect()}
     assert rows["d1"].rms == 3.0
     assert tuple(rows["d2"])[1:] == (0.0, 0.0, 0.0, 0.0) == tuple(rows["d3"])[1:]

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import number_rows
+from tremorline.operators.blocks import join_cells
 from tremorline.session import cut_lineage
 
 BATCH_KEY = ["device_id", "batch_id"]
@@ -33,17 +34,23 @@ def dedupe_redelivery(batches: DataFrame, delivered: Column | None = None) -> Da
     return batches.groupBy(*BATCH_KEY).agg(newest).select(*BATCH_KEY, "_newest.*")
 
 
-def fifo_order(
-    batches: DataFrame, order: tuple[str, str] = ("window_end", "window_id"), block_rows: int | None = None
-) -> DataFrame:
-    """Add ``queue_position`` (from 1) per device, oldest first.
+def fifo_order(batches: DataFrame, n_ranges: int | None = None) -> DataFrame:
+    """Add ``queue_position`` (from 1) per device, oldest first: by batch id as text, whoever made the ids.
 
-    ``order`` are the time and number a batch id is made of, so this is the order of the ids as text; the id itself
-    decides where they are equal. The batches are computed once and kept, as numbering looks at them before it begins.
+    A sort by samples: splitters drawn from devices and ids deal the rows into ranges, so that a crowded device is several
+    tasks' work however alike its ids begin. A row's position is the number of rows of its device in the ranges before plus its
+    number in its own. Every row is moved once to its range and kept; a missing id comes first. Copies of one id have
+    positions of their own and stay in one range; ``dedupe_redelivery`` leaves one of them.
     """
-    batches = cut_lineage(batches)
-    numbered, _, _ = number_rows(batches, order=order, block_rows=block_rows, ties=("batch_id",))
-    return numbered.select(*batches.columns, (F.col("pos") + 1).alias("queue_position"))
+    by = [batches[c] for c in BATCH_KEY]
+    ranged = batches.repartitionByRange(*by) if n_ranges is None else batches.repartitionByRange(n_ranges, *by)
+    ranged = cut_lineage(ranged.withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("device_id", "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = W.partitionBy("device_id").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    before = cut_lineage(sizes.select("device_id", "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")))
+    placed = join_cells(ranged, before, before.count(), ["device_id", "_range"])
+    number = F.row_number().over(W.partitionBy("device_id", "_range").orderBy(F.asc_nulls_first("batch_id")))
+    return placed.select(*batches.columns, (F.col("_before") + number).alias("queue_position"))
 
 
 def peek_oldest(batches: DataFrame) -> DataFrame:

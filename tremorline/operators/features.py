@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tremorline.functions.spectrum import dominant_bin, magnitude_spectrum
+from tremorline.operators.blocks import broadcast_if_small, join_cells, number_rows
+from tremorline.operators.long_transform import dominant_bins_of_long_windows
 from tremorline.operators.windows import assign_count_windows, is_due, time_window
 from tremorline.session import cut_lineage
 
 DEFAULT_RATE_HZ = 1000.0
+#: Readings of an event-time window that one task transforms; longer windows are split.
+WINDOW_ROWS = 1 << 20
 FEATURES = ["rms", "mean", "std", "dominant_freq_hz"]
 
 
@@ -116,35 +121,74 @@ def time_window_features(samples: DataFrame, duration: str = "1 second") -> Data
     )
 
 
-def time_window_spectral_features(samples: DataFrame, duration: str = "1 second") -> DataFrame:
+def time_window_spectral_features(
+    samples: DataFrame, duration: str = "1 second", window_rows: int = WINDOW_ROWS
+) -> DataFrame:
     """All features per device and event-time window, numbered from the epoch; batch or streaming.
 
-    The readings of a window are brought together for its transform, so a window has to fit a task: choose ``duration`` by
-    the sampling rate. Readings of equal time are ordered by ``seq``.
+    The readings of a window are brought together for its transform. In batch, windows of more than ``window_rows`` readings are
+    not: their transform is split over tasks that hold arrays of at most so many numbers (see ``long_transform``). On a stream
+    the state holds the readings of open windows, so choose ``duration`` by the sampling rate there. Readings of equal time are
+    ordered by ``seq``.
     """
     newest = "cast(unix_micros(ts) AS decimal(20, 0)) * 18446744073709551616BD + seq"
     in_order = "sort_array(collect_list(struct(ts, seq, acceleration))).acceleration AS readings"
+    timed = samples.withColumn("_window", time_window(duration))
+    crowded = None
+    if not samples.isStreaming:
+        sizes = timed.groupBy("device_id", F.unix_micros("_window.start").alias("window_us")).agg(F.count(F.lit(1)).alias("n"))
+        crowded = cut_lineage(sizes.where(F.col("n") > window_rows))
+        crowded = None if crowded.isEmpty() else crowded
+    small = timed
+    if crowded is not None:
+        timed = timed.withColumn("window_us", F.unix_micros("_window.start"))
+        marks = crowded.select(F.col("device_id").alias("_device"), F.col("window_us").alias("_us"))
+        marks = broadcast_if_small(marks, crowded.count())
+        inside = F.col("device_id").eqNullSafe(F.col("_device")) & (F.col("window_us") == F.col("_us"))
+        small, large = timed.join(marks, inside, "left_anti"), timed.join(marks, inside, "left_semi")
+    windows = small.groupBy("device_id", "_window").agg(*time_domain_features(newest), F.expr(in_order))
+    windows = windows.withColumn("dominant_bin", dominant_bin("readings")).drop("readings")
+    if crowded is not None:
+        windows = windows.unionByName(_long_windows(cut_lineage(large.drop("window_us")), crowded, newest, window_rows))
     windows = (
-        samples.groupBy("device_id", time_window(duration).alias("_window"))
-        .agg(*time_domain_features(newest), F.expr(in_order))
-        .withColumn("interval_start", F.col("_window.start"))
-        .withColumn("interval_end", F.col("_window.end"))
-        .drop("_window")
+        windows.withColumn("interval_start", F.col("_window.start")).withColumn("interval_end", F.col("_window.end")).drop("_window")
     )
     length = F.unix_micros("interval_end") - F.unix_micros("interval_start")
     numbered = windows.withColumn("window_id", F.floor(F.unix_micros("interval_start") / length))
-    return with_frequencies(numbered.withColumn("dominant_bin", dominant_bin("readings")).drop("readings"))
+    return with_frequencies(numbered)
+
+
+def _long_windows(samples: DataFrame, lengths: DataFrame, newest: str, limit: int) -> DataFrame:
+    """Time-domain features and dominant bin of crowded windows; ``samples`` have a ``_window``."""
+    features = cut_lineage(samples.groupBy("device_id", "_window").agg(*time_domain_features(newest)))
+    numbered, _, _ = number_rows(samples.select("device_id", "ts", "seq", "acceleration", "_window"))
+    # Windows follow one another on a device, so a reading's place in its window is off by the readings of those before.
+    earlier = W.partitionBy("device_id").orderBy("window_us").rowsBetween(W.unboundedPreceding, -1)
+    begin = lengths.select("device_id", "window_us", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_begin"))
+    rows = numbered.withColumn("window_us", F.unix_micros("_window.start"))
+    rows = join_cells(rows, begin, lengths.count(), ["device_id", "window_us"])
+    rows = rows.select("device_id", "window_us", (F.col("pos") - F.col("_begin")).alias("pos"), "acceleration")
+    # Where a reading is not a number no bin is, and the first one counts as the largest.
+    plain = features.where(~F.isnan("rms") & (F.col("rms") < float("inf"))).select(
+        "device_id", F.unix_micros("_window.start").alias("window_us"), "n"
+    )
+    found = dominant_bins_of_long_windows(rows, plain, limit).withColumnRenamed("device_id", "_device")
+    same = F.col("device_id").eqNullSafe(F.col("_device")) & (F.unix_micros("_window.start") == F.col("window_us"))
+    joined = features.join(found, same, "left").withColumn("dominant_bin", F.coalesce("dominant_bin", F.lit(1)))
+    return joined.drop("_device", "window_us")
 
 
-def features_for_devices(devices: DataFrame, features: DataFrame) -> DataFrame:
-    """Features, plus a row of zeros for each listed device that has no window.
+def features_for_devices(
+    devices: DataFrame, samples: DataFrame, size: int, hop: int | None = None, block_rows: int | None = None
+) -> DataFrame:
+    """Features of all count windows, plus a row of zeros for each listed device that has no window.
 
-    ``features`` is computed once and kept. Only its distinct device ids are joined, so a device with very
-    many windows is no heavy group.
+    A device has a window iff it has as many samples as the hop. That is counted from the samples, so no feature is kept to
+    learn it, and only distinct devices are joined.
     """
-    features = cut_lineage(features.select("device_id", *FEATURES))
-    seen = features.select("device_id").distinct()
-    empty = devices.select("device_id").distinct().join(seen, "device_id", "left_anti")
+    features = extract_features(samples, size, hop, block_rows)
+    enough = samples.groupBy("device_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= (size if hop is None else hop))
+    empty = devices.select("device_id").distinct().join(enough, "device_id", "left_anti")
     zeros = empty.select("device_id", *[F.lit(0.0).alias(name) for name in FEATURES])
     known = features.select("device_id", *[F.coalesce(name, F.lit(0.0)).alias(name) for name in FEATURES])
     return known.unionByName(zeros)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tremorline.functions.payload import window_payloads
@@ -11,9 +11,6 @@ from tremorline.session import cut_lineage
 from tremorline.sources.archive import BATCH_PATTERN, audit_archive, fill_missing_time, split_quarantine, with_device
 from tremorline.sources.lake import read_lake, to_lake_rows, write_lake
 
-#: Ids that ``batch_id`` makes: numbers of fixed width, so that they sort as text.
-OWN_ID = r"^batch_\d{19}_\d{10}\.json\.gz$"
-
 
 def publish(windows: DataFrame, path: str) -> DataFrame:
     """Write detected windows to the lake, once however often it is done; returns the lake as readers see it."""
@@ -48,7 +45,7 @@ def backlog(
 
     ``device_id`` names the device of records that carry none, ``date_undated`` dates records without a time by when their
     file was written. The archive is decoded once and kept; of the lake only the days of the archive are read. Positions
-    follow the ids as text, like ``peek_oldest``; the numbers in ids of this package agree with that.
+    follow the ids as text, like ``peek_oldest``, whoever made them.
     """
     audited = audit_archive(spark, archive_path, pattern)
     audited = cut_lineage(with_device(fill_missing_time(audited) if date_undated else audited, device_id))
@@ -57,17 +54,4 @@ def backlog(
     if days[0] is not None:
         lake = lake.where(F.concat("year", "month", "day").between(days[0], days[1]))
     waiting = pending_batches(dedupe_redelivery(good), lake)
-    if good.where(~F.col("batch_id").rlike(OWN_ID)).isEmpty():
-        parts = F.regexp_extract_all("batch_id", F.lit(r"(\d+)"), F.lit(1))
-        ordered = waiting.withColumn("_ns", F.try_element_at(parts, F.lit(1)).cast("bigint")).withColumn(
-            "_window", F.try_element_at(parts, F.lit(2)).cast("bigint")
-        )
-    else:
-        # Foreign ids: the leading characters as numbers, then the text.
-        ordered = waiting.withColumn("_ns", _leading(1)).withColumn("_window", _leading(8))
-    return fifo_order(ordered, order=("_ns", "_window")).drop("_ns", "_window"), bad
-
-
-def _leading(start: int) -> Column:
-    """Seven bytes of the id from ``start`` as a number that grows with the text."""
-    return F.conv(F.rpad(F.hex(F.substring(F.col("batch_id").cast("binary"), start, 7)), 14, "0"), 16, 10).cast("bigint")
+    return fifo_order(waiting), bad
