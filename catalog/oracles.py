@@ -169,6 +169,25 @@ DAILY = """SELECT CAST(user_id AS VARCHAR) AS device_id,
             FROM events GROUP BY user_id, date_trunc('day', ts)
             HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAYS"""
 
+#: Samples by the part of the stream they come with, and those that are late: three days older than the newest before.
+ARRIVED = """
+a AS (
+  SELECT CAST(user_id AS VARCHAR) AS device_id, ts, event_id AS seq, value AS x, event_type = 'error' AS truth,
+         CASE WHEN event_type = 'signup' AND ts < TIMESTAMP '2024-01-06' THEN 2
+              WHEN ts + to_days(CAST(event_id % 3 AS INTEGER)) < TIMESTAMP '2024-01-11' THEN 0
+              WHEN ts + to_days(CAST(event_id % 3 AS INTEGER)) < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS part
+  FROM events
+),
+o AS (
+  SELECT a.*, coalesce(ts <= (SELECT max(b.ts) FROM a b WHERE b.device_id = a.device_id AND b.part < a.part) - INTERVAL 3 DAYS, FALSE) AS late
+  FROM a
+),
+s AS (
+  SELECT *, row_number() OVER (PARTITION BY device_id ORDER BY ts, seq) - 1 AS pos,
+         max(ts) OVER (PARTITION BY device_id) - INTERVAL 3 DAYS AS horizon
+  FROM o WHERE NOT late
+)"""
+
 LISTED = "listed AS (SELECT CAST(c_custkey AS VARCHAR) AS device_id FROM customer)"
 KNOWN = "known AS (SELECT device_id, rms, mean, std, freq FROM w JOIN d USING (device_id, window_id))"
 
@@ -303,6 +322,17 @@ def all_oracles() -> dict[str, str]:
         "lake_listing": sql(QUEUED, f"""SELECT {PARTITIONS}, device_id, CAST(ceil(count(*) / 3) AS BIGINT) AS n_files,
             TRUE AS sizes_agree FROM b GROUP BY ALL"""),
         "stream_count_window": ROLLED,
+        "stream_count_window_unordered": sql([ARRIVED, """
+            e AS (SELECT s.*, k FROM s, unnest(range(pos // 8 + 1, (pos + 16) // 8 + 1)) u(k)),
+            w AS (SELECT device_id, k - 1 AS window_id, any_value(horizon) AS horizon, """ + AGGREGATES + """
+              FROM e GROUP BY device_id, k HAVING max(pos) + 1 = k * 8)"""],
+            f"SELECT {WINDOW_COLUMNS} FROM w WHERE t1 <= horizon"),
+        "stream_late_samples": sql([ARRIVED], """SELECT device_id, round(epoch_us(ts) / 1e6, 6) AS ts, seq,
+            round(x, 9) AS acceleration, truth AS ground_truth FROM o WHERE late"""),
+        "stream_fault_labels": """SELECT CAST(user_id AS VARCHAR) AS device_id, event_id AS seq, EXISTS (
+              SELECT 1 FROM events f WHERE f.event_type = 'error' AND f.user_id = e.user_id
+                AND e.ts >= f.ts AND e.ts <= f.ts + INTERVAL 12 HOURS) AS ground_truth
+            FROM events e WHERE ts < TIMESTAMP '2024-01-26'""",
         "stream_window_batches": sql(WINDOWED, f"SELECT {WINDOW_COLUMNS} FROM w"),
         "stream_detect": DETECTED,
         "stream_time_window": DAILY,

@@ -30,7 +30,7 @@ from tremorline.operators.features import (
     time_window_spectral_features,
     window_spectra,
 )
-from tremorline.operators.labels import label_faults
+from tremorline.operators.labels import label_fault_stream, label_faults
 from tremorline.operators.windows import buffer_depth, latest_n
 from tremorline.plans.detection import detect, detect_time_windows, evaluate, report
 from tremorline.plans.publishing import archive_batches, backlog, publish
@@ -40,7 +40,7 @@ from tremorline.sources.lake import list_lake, read_lake, write_lake
 from tremorline.sources.samples import read_sample_stream, to_samples
 from tremorline.streaming import sinks
 from tremorline.streaming.batch_windows import count_windows_by_batch
-from tremorline.streaming.count_windows import stream_count_windows, stream_detect
+from tremorline.streaming.count_windows import stream_count_windows, stream_count_windows_in_order, stream_detect
 from tremorline.streaming.time_windows import stream_detect_time_windows, stream_time_windows
 
 SIZE = 16
@@ -471,6 +471,50 @@ def q_stream_count_window(spark, sf_dir):
     return rounded(_drained(spark, sf_dir, lambda rows: stream_count_windows(rows, 32, hop=8)), WINDOW_COLUMNS)
 
 
+def _unordered(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Windows and late samples of a stream that brings every third event up to two days late, and early signups much later."""
+    path = new_folder(spark, "stream")
+    folder, rows = new_folder(spark, "arriving"), events(spark, sf_dir)
+    came = F.col("ts") + F.make_dt_interval((F.col("event_id") % 3).cast("int"))
+    early = (F.col("event_type") == "signup") & (F.col("ts") < F.lit("2024-01-06").cast("timestamp_ntz"))
+    part = F.when(early, 2).when(came < F.lit("2024-01-11").cast("timestamp_ntz"), 0).when(
+        came < F.lit("2024-01-21").cast("timestamp_ntz"), 1
+    ).otherwise(2)
+    for number in range(3):
+        rows.where(part == number).write.mode("append").parquet(folder)
+        stream = _as_samples(read_sample_stream(spark, folder, EVENTS_SCHEMA, max_files=10_000))
+        windows = stream_count_windows_in_order(stream, SIZE, "3 days", hop=8)
+        sinks.write_ordered_windows(windows, f"{path}/windows", f"{path}/late", f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/windows"), spark.read.parquet(f"{path}/late")
+
+
+def q_stream_count_window_unordered(spark, sf_dir):
+    return rounded(_unordered(spark, sf_dir)[0], WINDOW_COLUMNS)
+
+
+def q_stream_late_samples(spark, sf_dir):
+    return rounded(_unordered(spark, sf_dir)[1], ["device_id", "ts", "seq", "acceleration", "ground_truth"])
+
+
+def q_stream_fault_labels(spark, sf_dir):
+    """Samples and faults come in three parts; samples of the last days wait for faults that may still come."""
+    path, folder = new_folder(spark, "stream"), new_folder(spark, "arriving")
+    rows = events(spark, sf_dir)
+    part = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"), 0).when(
+        F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"), 1
+    ).otherwise(2)
+    for number in range(3):
+        rows.where(part == number).write.mode("append").parquet(folder)
+        arriving, errors = (_as_samples(read_sample_stream(spark, folder, EVENTS_SCHEMA, max_files=10_000)) for _ in range(2))
+        schedule = errors.where("ground_truth").select(
+            "device_id", F.col("ts").alias("start_ts"), (F.col("ts") + F.expr("interval 12 hours")).alias("end_ts")
+        )
+        labelled = label_fault_stream(arriving, schedule, "1 day", "12 hours")
+        sinks.write_windows(labelled, f"{path}/labelled", f"{path}/checkpoint").awaitTermination()
+    settled = spark.read.parquet(f"{path}/labelled").where(F.col("ts") < F.lit("2024-01-26").cast("timestamp"))
+    return settled.select("device_id", "seq", "ground_truth")
+
+
 def q_stream_window_batches(spark, sf_dir):
     path = new_folder(spark, "stream")
     drain(spark, sf_dir, lambda rows: count_windows_by_batch(rows, SIZE, f"{path}/windows", f"{path}/state", f"{path}/checkpoint"))

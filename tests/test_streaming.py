@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 import shutil
 
 import numpy as np
@@ -8,16 +9,17 @@ import pytest
 
 from pyspark.sql import functions as F
 from tests.helpers import at, rows_of, samples
-from tremorline.model import SAMPLE_SCHEMA
+from tremorline.model import FAULT_SCHEMA, SAMPLE_SCHEMA
 from tremorline.operators.detect import classification_metrics, confusion_counts
 from tremorline.operators.features import extract_features
+from tremorline.operators.labels import label_fault_stream, label_faults
 from tremorline.plans.detection import detect
 from tremorline.sources.archive import with_event_time
 from tremorline.sources.lake import read_lake
 from tremorline.sources.samples import read_sample_stream
-from tremorline.streaming import batch_windows, sinks
+from tremorline.streaming import batch_windows, count_windows, sinks
 from tremorline.streaming.batch_windows import count_windows_by_batch
-from tremorline.streaming.count_windows import cut_windows, stream_count_windows, stream_detect
+from tremorline.streaming.count_windows import cut_windows, cut_windows_in_order, stream_count_windows, stream_detect
 from tremorline.streaming.time_windows import stream_time_windows
 
 COLUMNS = ("device_id", "window_id", "n", "round(rms, 9)", "round(mean, 9)", "round(std, 9)", "window_start",
@@ -248,3 +250,87 @@ def test_running_metrics_follow_the_windows(spark, tmp_path):
     assert seen == [6, 9]
     row = spark.read.parquet(str(tmp_path / "m")).first()
     assert row.asDict() == classification_metrics(confusion_counts(frame)).first().asDict()
+
+
+class Kept:
+    """State as the operator sees it."""
+
+    def __init__(self):
+        self.value = None
+
+    exists = property(lambda self: self.value is not None)
+    get = property(lambda self: self.value)
+
+    def update(self, value):
+        self.value = value
+
+
+def in_order(parts, size, hop, lateness_us):
+    """Windows and late samples of one device over micro-batches of (ts_us, seq, value)."""
+    state, windows, late = Kept(), [], []
+    for part in parts:
+        frame = pd.DataFrame([(t, s, float(v), bool(v % 2)) for t, s, v in part], columns=["ts_us", "seq", "acceleration", "ground_truth"])
+        for out in cut_windows_in_order(("d",), [frame] if part else [], state, size, hop, lateness_us):
+            for row in out.to_dict("records"):
+                (late if not pd.isna(row["late_seq"]) else windows).append(row)
+    return windows, late, state
+
+
+@pytest.mark.parametrize("size,hop", [(8, 8), (8, 3), (4, 6)])
+def test_order_of_arrival_does_not_matter_within_the_lateness(size, hop):
+    """Shuffled inside the lateness, in many small micro-batches: the windows of the sorted samples."""
+    rnd = random.Random(size + hop)
+    ordered = [(1000 * i // 2, i, i * i % 17) for i in range(400)]
+    shuffled = sorted(ordered, key=lambda row: row[0] + rnd.randint(0, 5000))
+    parts = [shuffled[i : i + 7] for i in range(0, 400, 7)]
+    parts.insert(5, [])
+    windows, late, state = in_order(parts, size, hop, 6000)
+    released = [row for row in ordered if row[0] <= max(r[0] for r in ordered) - 6000]
+    expected = [
+        (k, len(part), sum(v for *_, v in part) / len(part), part[-1][0])
+        for k in range(len(released) // hop)
+        for part in [released[max(0, (k + 1) * hop - size) : (k + 1) * hop]]
+    ]
+    assert [(w["window_id"], w["n"], w["mean"], w["end_us"]) for w in windows] == [pytest.approx(e) for e in expected]
+    assert not late and len(state.value[2]) < size + hop and len(state.value[6]) == 400 - len(released)
+
+
+def test_late_samples_come_back_as_they_are():
+    windows, late, state = in_order([[(10_000, 1, 3)], [(0, 2, 5), (9_999, 3, 1)], [(50_000, 4, 2)], [(40_000, 5, 7), (41_000, 6, 9)]], 2, 2, 9_500)
+    # 10 000 - 9 500: the sample at 0 is late, the one at 9 999 is not; later, 40 000 is below 50 000 - 9 500.
+    assert [(r["late_ts_us"], r["late_seq"], r["late_acceleration"], r["late_ground_truth"]) for r in late] == [(0, 2, 5.0, True), (40_000, 5, 7.0, True)]
+    assert [(w["n"], w["mean"]) for w in windows] == [(2, 2.0)] and all(w["device_id"] == "d" for w in windows + late)
+    assert state.value[1] == 40_500 and list(state.value[7]) == [6, 4]
+
+
+def test_due_windows_are_reduced_in_slices(monkeypatch):
+    """Many windows due at once are emitted in frames of a bounded number of readings."""
+    monkeypatch.setattr(count_windows, "CELLS", 64)
+    frame = pd.DataFrame({"ts_us": range(1000), "seq": range(1000), "acceleration": np.arange(1000.0), "ground_truth": False})
+    frames = list(cut_windows(("d",), [frame], Kept(), 16, 4))
+    assert max(len(f) for f in frames) == 4 and [i for f in frames for i in f.window_id] == list(range(250))
+
+
+def test_faults_on_a_stream(spark, tmp_path):
+    """Overlapping, late and missing faults: each sample once, labelled as the batch labels it."""
+    values = [float(i) for i in range(60)]
+    rows = samples(spark, values, rate=1.0).unionByName(samples(spark, values, rate=1.0, device="e"))
+    schedule = [("d1", at(5), at(9)), ("d1", at(7), at(12)), ("e", at(20), at(20)), ("x", at(1), at(30)), ("d1", at(30), at(25)), (None, at(1), at(50)), ("e", at(33), None)]
+    faults = spark.createDataFrame(schedule, FAULT_SCHEMA)
+    for name, frame, time in (("s", rows, "ts"), ("f", faults, "start_ts")):
+        (tmp_path / name).mkdir()
+        for number, (low, high) in enumerate(((0, 15), (15, 40), (40, 99))):
+            frame.where((F.col(time) >= F.lit(at(low))) & (F.col(time) < F.lit(at(high)))).coalesce(1).write.parquet(str(tmp_path / name / f"part={number}"))
+    for again in range(2):
+        streams = [
+            spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name / "part=*"))
+            for name, schema in (("s", SAMPLE_SCHEMA), ("f", FAULT_SCHEMA))
+        ]
+        labelled = label_fault_stream(*streams, "5 seconds", "10 seconds")
+        sinks.write_windows(labelled, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    settled = F.col("ts") < F.lit(at(15))
+    assert got.count() == got.select("device_id", "seq").distinct().count()
+    expected = label_faults(rows, faults)
+    assert rows_of(got.where(settled), "device_id", "seq", "ground_truth") == rows_of(expected.where(settled), "device_id", "seq", "ground_truth")
+    assert got.where("ground_truth").count() == expected.where("ground_truth").count() == 9

@@ -60,6 +60,22 @@ def label_faults(
     return _label_by_sweep(samples, valid, block_rows)
 
 
+def label_fault_stream(samples: DataFrame, faults: DataFrame, lateness: str, longest: str) -> DataFrame:
+    """``label_faults`` where samples and faults arrive as streams, each at most ``lateness`` out of order.
+
+    No fault is longer than ``longest``; a longer one counts up to that. A sample inside a fault is labelled when both have arrived, any
+    other when the watermark says that no fault will come for it. A sample is given once however many faults
+    overlap. State holds what is younger than ``lateness`` and ``longest``. Samples without a time, or later than ``lateness``, are left out.
+    """
+    valid = faults.where("start_ts <= end_ts AND device_id IS NOT NULL").select(
+        F.col("device_id").cast("string").alias("_device"), F.col("start_ts").alias("_start"), F.col("end_ts").alias("_end")
+    )
+    timed, valid = samples.drop("ground_truth").withWatermark("ts", lateness), valid.withWatermark("_start", lateness)
+    inside = F.expr(f"device_id = _device AND ts >= _start AND ts <= _start + interval {longest} AND ts <= _end")
+    joined = timed.join(valid, inside, "left_outer").withColumn("ground_truth", F.col("_start").isNotNull())
+    return joined.drop("_device", "_start", "_end").dropDuplicatesWithinWatermark(["device_id", "ts", "seq"])
+
+
 def _hourly_pieces(merged: DataFrame) -> DataFrame:
     first, last = (F.floor(F.unix_seconds(c) / BUCKET_SECONDS) for c in ("start_ts", "end_ts"))
     return merged.withColumn("_hour", F.explode(F.sequence(first, last)))

@@ -35,6 +35,28 @@ def write_windows(windows: DataFrame, path: str, checkpoint: str, interval: str
     return _start(windows, "parquet", path, checkpoint, interval)
 
 
+LATE = ["late_ts", "late_seq", "late_acceleration", "late_ground_truth"]
+
+
+def write_ordered_windows(
+    rows: DataFrame, path: str, late_path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Keep the windows of ``stream_count_windows_in_order`` as one Parquet table and the late samples as another.
+
+    Each micro-batch has a folder of its own in both, which it replaces when it is repeated.
+    """
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        windows, late = batch.where("late_ts IS NULL").drop(*LATE), batch.where("late_ts IS NOT NULL")
+        windows.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        renamed = [F.col(c).alias(c.removeprefix("late_")) for c in LATE]
+        late.select("device_id", *renamed).write.mode("overwrite").parquet(f"{late_path}/epoch={epoch}")
+        batch.unpersist()
+
+    return _each_batch(rows, write, checkpoint, interval)
+
+
 def _each_batch(df: DataFrame, write, checkpoint: str, interval: str | None) -> StreamingQuery:
     """Hand every micro-batch to ``write``; drain what is there and stop, or with ``interval`` keep polling."""
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
