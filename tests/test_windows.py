@@ -170,3 +170,18 @@ def test_blocks_grow_with_the_table(spark, monkeypatch):
     blocks, keys, length = number_rows(frame)
     assert keys == ["device_id", "block"] and length == 120  # 750 rows, 2 * 8 entries per block, 100 entries
     assert blocks.count() == 750
+
+
+def test_ties_have_one_order_on_every_path(spark):
+    """Rows equal in time and number: the same ones are the latest, whatever the block size and whoever limits them."""
+    rows = [("d", at(i // 40), None if i % 3 else 0, float(i * 7919 % 4000), i % 2 == 0) for i in range(4000)]
+    frame = spark.createDataFrame(rows, SAMPLE_SCHEMA)
+    names = ("ts", "seq", "acceleration", "ground_truth")
+    wanted = rows_of(latest_n(frame, 905), *names)
+    assert len(wanted) == 905
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        for block_rows in (256, 1000, None):
+            assert rows_of(latest_n(frame, 905, block_rows=block_rows), *names) == wanted
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")

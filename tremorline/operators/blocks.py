@@ -141,6 +141,17 @@ def split_crowded_keys(
     return Cells(rows.drop("_crowded"), keys, cells, n_cells)
 
 
+def row_order(rows: DataFrame, key: str, order: tuple[str, ...], descending: bool, ties: tuple[str, ...] = ()) -> list[Column]:
+    """The order of a key's rows: by ``order``, then ``ties``, then a hash of the other columns and these themselves.
+
+    So rows that are equal in the order columns have one order whatever path numbers them; rows equal in all are interchangeable.
+    """
+    named = [F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_first() for n in (*order, *ties)]
+    rest = [F.col(n) for n in rows.columns if n not in (key, *order, *ties)]
+    # Where ``ties`` are given the hash would not follow them, and is not needed.
+    return named + ([F.xxhash64(*rest)] if rest and not ties else []) + rest
+
+
 def number_rows(
     rows: DataFrame,
     key: str = "device_id",
@@ -158,7 +169,8 @@ def number_rows(
     the block length, a multiple of ``hop``. With ``reach`` > 0 each block also repeats the ``reach``
     positions before it, so that frames ending in a block are complete inside it. ``first`` keeps only the
     first so many positions and skips the blocks beyond them before the shuffle. ``ties`` order rows that are equal in
-    ``order``. Descending order is the exact reverse of ascending: missing values come last.
+    ``order``; rows equal in these too have the order of ``row_order``, with blocks as without. Descending order is the exact
+    reverse of ascending in the named columns: missing values come last.
 
     By default blocks hold ``BLOCK_ROWS`` rows, or more in a table so large that their entries would
     otherwise become too many to broadcast (40 million rows each in a table of 2.5 trillion).
@@ -168,16 +180,14 @@ def number_rows(
         block_rows = max(BLOCK_ROWS, -(-total * 2 * CELLS_PER_BLOCK // BROADCAST_ROWS))
     length = -(-block_rows // hop) * hop
     major, minor = (_axis(rows, name, descending) for name in order)
-    ordering = [F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_first() for n in order]
-    ordering += [F.col(n).desc_nulls_last() if descending else F.col(n).asc_nulls_first() for n in ties]
+    ordering = row_order(rows, key, order, descending, ties)
     # A table that fits one block as a whole cannot have a crowded key; Parquet footers answer this.
     split = None
     if total > length:
         rest = [F.col(n) for n in rows.columns if n not in (key, *order, *ties)]
         # Rows equal so far are told apart by a hash of the other columns, so that many of them make several cells;
         # not where ``ties`` order them, which a hash would not follow.
-        hashed = F.xxhash64(*rest) if rest and not ties else None
-        tie = None if hashed is None else hashed.cast("double")
+        tie = F.xxhash64(*rest).cast("double") if rest and not ties else None
         cell_rows = max(1, block_rows // CELLS_PER_BLOCK)
         split = split_crowded_keys(rows, key, major, minor, length, cell_rows, nulls_last=descending, tie=tie)
     if split is None:
@@ -188,9 +198,6 @@ def number_rows(
     # A cell reaches into one more block at most, unless the rows before a block exceed its length.
     n_entries = split.n_cells * (2 + reach // length)
     placement = _blocks_of_cells(split, key, length, reach)
-    # Blocks that share a cell must agree on its order, so rows equal in the order columns are told apart
-    # by the others; rows equal in all columns are interchangeable.
-    ordering += ([] if hashed is None else [hashed]) + rest
     placed = (
         join_cells(split.rows, placement, n_entries, split.keys)
         .drop(*split.keys[1:])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import number_rows
+from tremorline.operators.blocks import number_rows, row_order
 
 
 def assign_count_windows(
@@ -50,11 +50,12 @@ def latest_n(samples: DataFrame, n: int, block_rows: int | None = None) -> DataF
     """The last ``n`` samples of every device: what a buffer of ``n`` slots holds at the end.
 
     For small ``n`` Spark limits each device to ``n`` rows in every map task before the shuffle. Above the
-    limit of that rewrite, positions are counted from the end, over blocks.
+    limit of that rewrite, positions are counted from the end, over blocks. Rows of equal time and number have one order on
+    either way.
     """
     limit = int(samples.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
-        newest_first = W.partitionBy("device_id").orderBy(F.desc_nulls_last("ts"), F.desc_nulls_last("seq"))
+        newest_first = W.partitionBy("device_id").orderBy(*row_order(samples, "device_id", ("ts", "seq"), descending=True))
         ranked = samples.withColumn("_rank", F.row_number().over(newest_first))
         return ranked.where(F.col("_rank") <= n).drop("_rank")
     numbered, _, _ = number_rows(samples, descending=True, first=n, block_rows=block_rows)
