@@ -298,6 +298,12 @@ def all_oracles() -> dict[str, str]:
               WHEN json_extract(js, '$.timestamp') IS NULL THEN 'no timestamp' END AS reason,
               round(CAST(json_extract(js, '$.timestamp') AS DOUBLE), 6) AS "timestamp",
               CAST(json_extract(js, '$.anomaly_detected') AS BOOLEAN) AS anomaly_detected FROM j""",
+        "archive_layout": """SELECT file_name, reason, 'edge' AS device_id, CASE WHEN reason IS NULL THEN n ELSE 0 END AS n_records,
+              CASE WHEN reason IS NULL THEN n ELSE 0 END AS n_dated, CASE WHEN reason IS NULL THEN n ELSE 0 END AS n_anomalies
+            FROM (SELECT strftime(ts, 'batch_%Y%m%d_') || event_type || '.json.gz' AS file_name, count(*) AS n,
+              CASE event_type WHEN 'error' THEN 'not gzip'
+                WHEN 'purchase' THEN CASE WHEN any_value(day(ts)) % 2 = 0 THEN 'zero bytes' ELSE 'empty' END END AS reason
+              FROM events WHERE event_type <> 'view' GROUP BY strftime(ts, 'batch_%Y%m%d_'), event_type)""",
         "archive_scan": PAYLOADS,
         "archive_audit": PAYLOADS,
         "fifo_order": sql(QUEUED, """SELECT device_id, batch_id,

@@ -5,8 +5,10 @@ A user is a device, ``value`` its reading, an ``error`` event a true fault, ``ev
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,16 @@ from tremorline.operators.windows import buffer_depth, latest_n
 from tremorline.plans.detection import detect, detect_time_windows, evaluate, report
 from tremorline.plans.publishing import archive_batches, backlog, publish
 from tremorline.session import cut_lineage, new_folder
-from tremorline.sources.archive import audit_archive, parse_records, read_archive, split_quarantine
+from tremorline.sources.archive import (
+    audit_archive,
+    audit_archive_folder,
+    fill_missing_time,
+    parse_records,
+    read_archive,
+    split_quarantine,
+    with_device,
+)
+from tremorline.sources.archive_files import store_of
 from tremorline.sources.lake import list_lake, read_lake, write_lake
 from tremorline.sources.samples import read_sample_stream, to_samples
 from tremorline.streaming import sinks
@@ -370,6 +381,50 @@ def q_archive_audit(spark, sf_dir):
                     "anomaly_detected", "ground_truth"])
 
 
+def _put_files(path: str) -> Callable:
+    """Writes the records of each (file, kind) group as one file of the kind."""
+
+    def put(table: pa.Table) -> pa.Table:
+        kind, name = (table.column(c)[0].as_py() for c in ("kind", "name"))
+        body = "\n".join(table.column("record").to_pylist()).encode()
+        content = {"zero": b"", "empty": gzip.compress(b"\n"), "truncated": gzip.compress(body)[:-9], "plain": body}.get(kind, gzip.compress(body))
+        store, folder = store_of(path)
+        with store.open_output_stream(f"{folder}/{name}", compression=None) as out:
+            out.write(content)
+        return pa.table({"name": [name]})
+
+    return put
+
+
+def q_archive_layout(spark, sf_dir):
+    """One file per day and type of event: whole, still being written, truncated, not zipped, empty, of zero bytes, undated; no record
+    names its device."""
+    path = new_folder(spark, "archive")
+    even = F.dayofmonth("ts") % 2 == 0
+    kind = (
+        F.when(F.col("event_type") == "view", "tmp")
+        .when(F.col("event_type") == "error", F.when(even, "truncated").otherwise("plain"))
+        .when(F.col("event_type") == "purchase", F.when(even, "zero").otherwise("empty"))
+        .when(F.col("event_type") == "signup", "undated")
+        .otherwise("whole")
+    )
+    seconds = F.format_string("%.6f", epoch_seconds(F.col("ts").cast("timestamp")))
+    dated = F.when(kind != "undated", F.concat(F.lit('"timestamp": '), seconds, F.lit(", "))).otherwise("")
+    rows = events(spark, sf_dir).select(
+        kind.alias("kind"),
+        F.concat(F.lit("batch_"), F.date_format("ts", "yyyyMMdd"), F.lit("_"), "event_type", F.lit(".json.gz"),
+                 F.when(kind == "tmp", ".tmp").otherwise("")).alias("name"),
+        F.concat(F.lit("{"), dated, F.lit('"anomaly_detected": true}')).alias("record"),
+    )
+    store, folder = store_of(path)
+    store.create_dir(folder)
+    rows.groupBy("name").applyInArrow(_put_files(path), "name string").count()
+    audited = with_device(fill_missing_time(audit_archive_folder(spark, path)), "edge")
+    return audited.groupBy("file_name", "reason", "device_id").agg(
+        F.count("record").alias("n_records"), F.count("timestamp").alias("n_dated"), F.count_if("anomaly_detected").alias("n_anomalies")
+    )
+
+
 # Backlog
 
 

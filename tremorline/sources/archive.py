@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import gzip
-import zlib
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,6 +13,7 @@ from pyspark.sql import types as T
 from tremorline.functions.keys import epoch_seconds, utc_timestamp
 from tremorline.functions.payload import CORRUPT, decode_payload
 from tremorline.model import PAYLOAD_SCHEMA
+from tremorline.sources.archive_files import ArchiveFolder, read_lines
 
 # Fixed value: the name pattern of finished batches. Files still being written end in ".tmp".
 SINGLE_PATTERN = "batch_*.json.gz"
@@ -29,7 +29,6 @@ LINES = T.StructType(
     [T.StructField("file_name", T.StringType()), T.StructField("ingested", T.DoubleType())]
     + [T.StructField(name, T.StringType()) for name in ("record", "_reason")]
 )
-LINES_PER_BATCH = 10_000
 NO_TIMESTAMP = "no timestamp"
 
 
@@ -61,30 +60,17 @@ def with_device(batches: DataFrame, device_id: str | None) -> DataFrame:
     return batches.withColumn("device_id", F.coalesce("device_id", F.lit(device_id)))
 
 
-def gunzip_lines(body: bytes) -> tuple[list[str | None], str | None]:
-    """The non-blank lines of a gzip body, or one missing line and the reason why it has none."""
-    try:
-        lines = [line.strip() for line in gzip.decompress(body).decode("utf-8").split("\n")]
-    except UnicodeDecodeError:
-        return [None], "not utf-8"
-    except (OSError, EOFError, zlib.error):
-        return [None], "not gzip"
-    lines = [line for line in lines if line]
-    return (lines, None) if lines else ([None], "empty")
-
-
 def explode_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One output row per line. A file is decoded as a whole first: a damaged end condemns all of it."""
+    """One output row per line, in pieces; a file is read to its end first, as a damaged end condemns all of it."""
     for batch in batches:
         for name, ingested, body in zip(*(batch[c] for c in ("file_name", "ingested", "content"))):
-            lines, reason = gunzip_lines(body.as_py())
-            for start in range(0, len(lines), LINES_PER_BATCH):
-                part = lines[start : start + LINES_PER_BATCH]
-                n = len(part)
+            content = body.as_py()
+            for lines, reason in read_lines(lambda content=content: io.BytesIO(content)):
+                n = len(lines)
                 columns = [
                     pa.array([name.as_py()] * n, pa.string()),
                     pa.array([ingested.as_py()] * n, pa.float64()),
-                    pa.array(part, pa.string()),
+                    pa.array(lines, pa.string()),
                     pa.array([reason] * n, pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=LINES.names)
@@ -148,6 +134,16 @@ def audit_archive(spark: SparkSession, path: str, pattern: str = BATCH_PATTERN)
     return decode_files(files.select("path", "modificationTime", "content"))
 
 
+def audit_archive_folder(spark: SparkSession, path: str, pattern: str = SINGLE_PATTERN) -> DataFrame:
+    """As ``audit_archive``, for one folder that this package lists itself: zero-byte files have a row and a reason as well.
+
+    Files still being written and files in subfolders are not looked at. Batch only.
+    """
+    spark.dataSource.register(ArchiveFolder)
+    lines = spark.read.format(ArchiveFolder.name()).option("pattern", pattern).load(path)
+    return parse_records(lines, F.col("_reason"))
+
+
 def fill_missing_time(audited: DataFrame) -> DataFrame:
     """Date records without a timestamp by when their file was written, instead of setting them aside.
 
