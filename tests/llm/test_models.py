@@ -1,5 +1,6 @@
 """The two trained classifiers, by what they say of rows they were not fitted on."""
 
+import random
 import zlib
 
 from tests.llm import data
@@ -56,3 +57,15 @@ def test_quality_without_labels_keeps_everything(spark):
     assert quality.drop_poor(data.odd(spark), none).count() == len(data.TEXTS)
     one_kind = spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")
     assert quality.drop_poor(data.odd(spark), one_kind).count() == len(data.TEXTS)
+
+
+def test_every_language_is_learned(spark):
+    """More languages than are sampled in full: each has a document at least, and can be predicted."""
+    rnd = random.Random(2)
+    rows = []
+    for k in range(300):
+        words = [f"{chr(97 + k % 26)}{chr(97 + k // 26)}{c}" for c in "aeiou"]
+        rows += [(i * 300 + k, " ".join(rnd.choices(words, k=30)), f"l{k:03d}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = lang_id.learn(docs, sample_docs=1)
+    assert list(network.languages) == sorted({r[2] for r in rows})

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import text_of
+from tremorline.llm.common import stored, text_of
 
 WINDOW = 96
 WIDTHS = (2, 3, 4)
@@ -25,7 +25,10 @@ EMBEDDING = 8
 #: The network is fitted on about so many documents of each language, and so many windows of each.
 SAMPLE_DOCS = 300
 SAMPLE_WINDOWS = 4
-MAX_LANGUAGES = 256
+#: Beyond so many languages fewer documents of each are taken, one at least; every language is learned.
+MANY_LANGUAGES = 256
+#: Shares of languages are sent to all tasks up to so many; beyond it they are joined by a shuffle.
+LANGUAGES_TO_SEND = 100_000
 EPOCHS = 8
 CHUNK = 1024
 
@@ -155,18 +158,22 @@ def _windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network | None:
     """A network fitted on documents that are not held out and have a language; None if there are none.
 
-    Takes about ``sample_docs`` documents of each of the ``MAX_LANGUAGES`` most frequent languages, chosen by a hash of
-    id and text, and ``SAMPLE_WINDOWS`` windows of each, so what reaches the driver is bounded.
+    Takes about ``sample_docs`` documents of each language, chosen by a hash of id and text, and ``SAMPLE_WINDOWS`` windows of
+    each. With more than ``MANY_LANGUAGES`` languages the sample stays as large in total, but for one document that each
+    language has at least; so what reaches the driver is bounded by the number of languages.
     """
     known = docs.where(docs["lang"].isNotNull() & docs["text"].isNotNull() & ~held_out(docs["doc_id"])).select(
         docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"),
         (F.pmod(F.xxhash64(docs["doc_id"], docs["text"]), F.lit(1 << 30)) / (1 << 30)).alias("place"),
     )
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
+    counts = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")), "languages")
+    n_languages = counts.count()
+    if not n_languages:
         return None
-    shares = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(sample_docs / r["count"]))])
-    chosen = known.where(F.col("place") < F.coalesce(F.try_element_at(shares, F.col("lang")), F.lit(0.0)))
+    each = sample_docs * min(1.0, MANY_LANGUAGES / n_languages)
+    shares = counts.select("lang", F.greatest(F.lit(each) / F.col("n"), F.col("first")).alias("share"))
+    shares = F.broadcast(shares) if n_languages <= LANGUAGES_TO_SEND else shares
+    chosen = known.join(shares, "lang").where(F.col("place") <= F.col("share"))
     pieces = chosen.select("lang", "text").mapInArrow(_windows_of, "lang string, piece binary").toPandas()
     if not len(pieces):
         return None
