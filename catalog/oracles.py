@@ -266,8 +266,8 @@ def all_oracles() -> dict[str, str]:
         "device_metrics": sql([*JUDGED, metric_counts("device_id")], f"SELECT device_id, {METRICS} FROM p"),
         "metrics_report": sql(SCORED, f"""SELECT printf('%.2f%%', "precision" * 100) AS "precision",
             printf('%.2f%%', recall * 100) AS recall, printf('%.2f%%', f1_score * 100) AS f1_score, total_windows,
-            printf('Precision: %.2f%%, Recall: %.2f%%, F1-Score: %.2f%%, Total Windows: %d '
-                || '(TP=%d, FP=%d, FN=%d, TN=%d)',
+            printf('precision %.2f%%, recall %.2f%%, F1 %.2f%% over %d windows: '
+                || '%d hits, %d false alarms, %d missed, %d quiet',
               "precision" * 100, recall * 100, f1_score * 100, total_windows, true_positives, false_positives,
               false_negatives, true_negatives) AS report FROM (SELECT {METRICS} FROM p)"""),
         "fault_labels": """SELECT CAST(user_id AS VARCHAR) AS device_id, event_id AS seq, EXISTS (

@@ -59,7 +59,7 @@ def test_confusion_and_metrics(spark):
     report = metrics_report(classification_metrics(confusion_counts(frame))).first()
     assert report.precision == "50.00%"
     assert report.report == (
-        "Precision: 50.00%, Recall: 50.00%, F1-Score: 50.00%, Total Windows: 5 (TP=1, FP=1, FN=1, TN=2)"
+        "precision 50.00%, recall 50.00%, F1 50.00% over 5 windows: 1 hits, 1 false alarms, 1 missed, 2 quiet"
     )
 
 

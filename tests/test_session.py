@@ -23,8 +23,9 @@ def test_the_named_folder_is_used():
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(fake("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(fake(master))
 
 
 def test_a_local_session_gets_one_folder_of_its_own():

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The names of partition folders and of batches, ``year=YYYY/month=MM/day=DD/device_id=ID/batch_<ns>...json.gz``.
+
 
 def epoch_seconds(ts: Column) -> Column:
     """Unix seconds as a double, with microseconds."""

@@ -87,7 +87,7 @@ def metrics_report(metrics: DataFrame) -> DataFrame:
         percent("f1_score").alias("f1_score"),
         "total_windows",
         F.format_string(
-            "Precision: %s, Recall: %s, F1-Score: %s, Total Windows: %d (TP=%d, FP=%d, FN=%d, TN=%d)",
+            "precision %s, recall %s, F1 %s over %d windows: %d hits, %d false alarms, %d missed, %d quiet",
             percent("precision"),
             percent("recall"),
             percent("f1_score"),

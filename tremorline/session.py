@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return spark.sparkContext.getCheckpointDir()
