@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tremorline.functions.spectrum import dominant_bin, magnitude_spectrum
 from tremorline.operators.blocks import broadcast_if_small, join_cells, number_rows
 from tremorline.operators.long_transform import dominant_bins_of_long_windows
+from tremorline.operators.panes import hopping_window_features
 from tremorline.operators.windows import assign_count_windows, is_due, time_window
 from tremorline.session import cut_lineage
 
@@ -64,7 +65,12 @@ def count_window_aggregates(
     with_array: bool = True,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """One row per complete count window with its time-domain features and, if asked, its readings."""
+    """One row per complete count window with its time-domain features and, if asked, its readings.
+
+    Overlapping windows are merged from panes; only where their readings are asked for is a row repeated per window.
+    """
+    if hop is not None and hop < size and not with_array:
+        return hopping_window_features(samples, size, hop, block_rows)
     windowed, keys = assign_count_windows(samples, size, hop, block_rows)
     aggregates = [*time_domain_features("pos"), F.max("pos").alias("last_pos")]
     if with_array:
