@@ -175,6 +175,50 @@ def number_rows(
     By default blocks hold ``BLOCK_ROWS`` rows, or more in a table so large that their entries would
     otherwise become too many to broadcast (40 million rows each in a table of 2.5 trillion).
     """
+    placed, keys, length, ordering = _placed(rows, key, order, descending, hop, reach, first, block_rows, ties)
+    if "block" not in keys:
+        position = F.row_number().over(W.partitionBy(key).orderBy(*ordering)).cast("bigint") - 1
+        numbered = placed.withColumn("pos", position)
+        return (numbered if first is None else numbered.where(F.col("pos") < first)), keys, length
+    row_number = F.row_number().over(W.partitionBy(*keys).orderBy(*ordering))
+    begin = F.col("block") * length
+    numbered = (
+        placed.withColumn("pos", F.col("_start") + row_number - 1)
+        .where((F.col("pos") >= begin - reach) & (F.col("pos") < begin + length))
+        .drop("_start")
+    )
+    return (numbered if first is None else numbered.where(F.col("pos") < first)), keys, length
+
+
+def sorted_runs(
+    rows: DataFrame,
+    key: str = "device_id",
+    order: tuple[str, str] = ("ts", "seq"),
+    hop: int = 1,
+    reach: int = 0,
+    block_rows: int | None = None,
+) -> tuple[DataFrame, list[str], int]:
+    """The rows of ``number_rows`` before numbering, each key's (and block's) run in order in one partition.
+
+    For reducers that read runs one after another. Where a key was cut, ``_start`` is the position of a run's first row, and a run
+    may hold rows outside its block: those before ``block * length - reach`` and from ``(block + 1) * length`` on.
+    """
+    placed, keys, length, ordering = _placed(rows, key, order, False, hop, reach, None, block_rows, ())
+    return placed.repartition(*keys).sortWithinPartitions(*keys, *ordering), keys, length
+
+
+def _placed(
+    rows: DataFrame,
+    key: str,
+    order: tuple[str, str],
+    descending: bool,
+    hop: int,
+    reach: int,
+    first: int | None,
+    block_rows: int | None,
+    ties: tuple[str, ...],
+) -> tuple[DataFrame, list[str], int, list[Column]]:
+    """Rows with the block(s) that need them and the position of each block's first row, if any key has to be cut."""
     total = rows.count()
     if block_rows is None:
         block_rows = max(BLOCK_ROWS, -(-total * 2 * CELLS_PER_BLOCK // BROADCAST_ROWS))
@@ -191,9 +235,7 @@ def number_rows(
         cell_rows = max(1, block_rows // CELLS_PER_BLOCK)
         split = split_crowded_keys(rows, key, major, minor, length, cell_rows, nulls_last=descending, tie=tie)
     if split is None:
-        position = F.row_number().over(W.partitionBy(key).orderBy(*ordering)).cast("bigint") - 1
-        numbered = rows.withColumn("pos", position)
-        return (numbered if first is None else numbered.where(F.col("pos") < first)), [key], length
+        return rows, [key], length, ordering
 
     # A cell reaches into one more block at most, unless the rows before a block exceed its length.
     n_entries = split.n_cells * (2 + reach // length)
@@ -206,14 +248,7 @@ def number_rows(
     )
     if first is not None:
         placed = placed.where(F.col("block") * length < first)
-    row_number = F.row_number().over(W.partitionBy(key, "block").orderBy(*ordering))
-    begin = F.col("block") * length
-    numbered = (
-        placed.withColumn("pos", F.col("_start") + row_number - 1)
-        .where((F.col("pos") >= begin - reach) & (F.col("pos") < begin + length))
-        .drop("_start")
-    )
-    return (numbered if first is None else numbered.where(F.col("pos") < first)), [key, "block"], length
+    return placed, [key, "block"], length, ordering
 
 
 def _blocks_of_cells(split: Cells, key: str, length: int, reach: int) -> DataFrame:

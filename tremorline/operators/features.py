@@ -10,6 +10,7 @@ from tremorline.functions.spectrum import dominant_bin, magnitude_spectrum
 from tremorline.operators.blocks import broadcast_if_small, join_cells, number_rows
 from tremorline.operators.long_transform import dominant_bins_of_long_windows
 from tremorline.operators.panes import hopping_window_features
+from tremorline.operators.run_reducer import reduce_runs
 from tremorline.operators.windows import assign_count_windows, is_due, time_window
 from tremorline.session import cut_lineage
 
@@ -89,9 +90,8 @@ def with_frequencies(windows: DataFrame) -> DataFrame:
 def extract_features(
     samples: DataFrame, size: int, hop: int | None = None, block_rows: int | None = None
 ) -> DataFrame:
-    """All features of every complete count window: one shuffle, one pass through the transform."""
-    windows = count_window_aggregates(samples, size, hop, block_rows=block_rows)
-    return with_frequencies(windows.withColumn("dominant_bin", dominant_bin("readings")).drop("readings"))
+    """All features of every complete count window: one shuffle, one sort, one pass over each device's run."""
+    return with_frequencies(reduce_runs(samples, size, hop, block_rows))
 
 
 def window_spectra(
