@@ -13,9 +13,10 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import stored, text_of
+from tremorline.llm.common import stored, text_of, unused
 
 HASH_BITS = 60
 SHARD_BYTES = 1 << 20
@@ -118,12 +119,51 @@ def shard_documents(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFram
 
 
 def write_shards(docs: DataFrame, path: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Write the documents as one folder per shard below ``path``; returns the directory, one row per shard and page."""
-    shards = stored(shard_documents(docs, shard_bytes), "shards")
-    names = shards.groupBy(F.col("doc_id").alias("_id_")).agg(F.min("shard").alias("shard"))
-    held = docs.drop("shard").join(names, docs["doc_id"].eqNullSafe(names["_id_"])).drop("_id_")
-    held.repartition("shard").write.partitionBy("shard").parquet(path)
-    return shards.groupBy("shard", "page").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_bytes").alias("n_bytes"))
+    """Write the documents below ``path``, one folder per shard and page; returns the directory: shard, page, n_docs, n_bytes.
+
+    Every row is written once, with all its columns. Folders are ``_shard=b<bits>`` (``b`` keeps the bits a text when they are read
+    back) and ``_page=<number>``, with more leading underscores where the documents have such columns. No folder exceeds the limit
+    unless it holds a single document: rows that share an id are placed by their text, copies of one row are numbered and dealt
+    to pages. A null text is written as null and counts no bytes. An empty table writes no shard and returns no rows.
+    """
+    directory = stored(
+        shard_documents(docs, shard_bytes).groupBy("shard", "page").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n_bytes").alias("n_bytes")),
+        "directory",
+    )
+    shard_name, page_name = (unused(c, docs) for c in ("_shard", "_page"))
+    hashes = [_hash(F.coalesce(docs["doc_id"].cast("string"), F.lit(""))), _hash(text_of(docs))]
+    rows = stored(
+        docs.select(
+            F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+            F.concat(*[_bits(h, HASH_BITS) for h in hashes]).alias("bits"),
+            F.octet_length(text_of(docs)).cast("bigint").alias("n_bytes"),
+            F.monotonically_increasing_id().alias("number"),
+        ),
+        "numbered",
+    )
+    # A row's shard is the one whose name begins its bits. Names of shards that hold rows within the limit do not begin one
+    # another; a row beyond the limit has a shard named by all its bits.
+    named = directory.groupBy("shard").agg(F.max("page").alias("last")).withColumn("bits", F.regexp_replace("shard", "^root$", ""))
+    depths = sorted(r[0] for r in named.select(F.length("bits")).distinct().collect())
+    begins = F.transform(F.array(*[F.lit(d) for d in depths]).cast("array<int>"), lambda d: F.substring("bits", F.lit(1), d))
+    begins = F.when(F.col("n_bytes") > shard_bytes, F.array("bits")).otherwise(begins)
+    asked = rows.select("number", "n_bytes", F.explode(begins).alias("bits"))
+    placed = stored(asked.join(F.broadcast(named) if named.count() <= CELLS_TO_SEND else named, "bits").drop("bits"), "placed")
+    # Copies that fill pages are numbered by the part they were read in, so that no task numbers all of them.
+    part = F.shiftright("number", 33)
+    dealt = placed.where("last > 0").withColumn("part", part)
+    before = W.partitionBy("shard").orderBy("part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counts = dealt.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.withColumn("offset", F.sum("n").over(before) - F.col("n")).drop("n")
+    copy = F.row_number().over(W.partitionBy("shard", "part").orderBy("number")) - 1 + F.col("offset")
+    each = F.greatest(F.lit(1), F.floor(F.lit(shard_bytes) / F.col("n_bytes")))
+    paged = dealt.join(offsets, ["shard", "part"]).select("number", "shard", F.floor(copy / each).alias("page"))
+    places = placed.where("last = 0").select("number", "shard", F.lit(0).cast("bigint").alias("page")).unionByName(paged)
+    written = rows.join(places, "number").select(
+        "row.*", F.concat(F.lit("b"), "shard").alias(shard_name), F.col("page").alias(page_name)
+    )
+    written.repartition(shard_name, page_name).write.partitionBy(shard_name, page_name).parquet(path)
+    return directory
 
 
 SQL = f"""
