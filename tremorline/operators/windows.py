@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tremorline.operators.blocks import number_rows, row_order
+from tremorline.operators.newest import not_older
+from tremorline.session import cut_lineage
 
 
 def assign_count_windows(
@@ -49,16 +51,17 @@ def is_due(size: int, hop: int | None = None) -> Column:
 def latest_n(samples: DataFrame, n: int, block_rows: int | None = None) -> DataFrame:
     """The last ``n`` samples of every device: what a buffer of ``n`` slots holds at the end.
 
-    For small ``n`` Spark limits each device to ``n`` rows in every map task before the shuffle. Above the
-    limit of that rewrite, positions are counted from the end, over blocks. Rows of equal time and number have one order on
-    either way.
+    For small ``n`` Spark limits each device to ``n`` rows in every map task before the shuffle. Above the limit of that
+    rewrite, tasks build and merge bounded summaries of their newest rows (``newest``), which tell how old a row may be; what
+    is left, about ``n`` rows a device, is numbered from the end. Rows of equal time and number have one order on either way.
     """
     limit = int(samples.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
         newest_first = W.partitionBy("device_id").orderBy(*row_order(samples, "device_id", ("ts", "seq"), descending=True))
         ranked = samples.withColumn("_rank", F.row_number().over(newest_first))
         return ranked.where(F.col("_rank") <= n).drop("_rank")
-    numbered, _, _ = number_rows(samples, descending=True, first=n, block_rows=block_rows)
+    rest = cut_lineage(not_older(samples, n))
+    numbered, _, _ = number_rows(rest, descending=True, first=n, block_rows=block_rows)
     return numbered.select(*samples.columns)
 
 
