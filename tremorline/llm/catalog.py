@@ -40,7 +40,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    return decontaminate.find_leaks(documents, benchmark, short=True).drop("text_hash")
+    return decontaminate.find_leaks(documents, benchmark).drop("text_hash")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ between the item and any stretch of the text. Before that a hit has to hold for
 of p and q pieces with fewer than p + q edits together, one has fewer edits than pieces, so at least one hit stays
 within its budget for two pieces, four, eight, and so on up to the item.
 
-Short items, where a few edits make another text of them, have no budget: they are found as whole words only.
+Every item has a budget in proportion to its length. Short items, which stand by chance inside longer words, are found
+as whole words only: the stretch has to begin and end where no word goes on.
 """
 
 from __future__ import annotations
@@ -25,13 +26,15 @@ from tremorline.llm.common import text_of, unused
 
 #: Edits per character of an item that still count as the item.
 ERROR_RATE = 0.1
-#: Items with fewer characters are found without edits, between word boundaries, and only where short ones are asked for.
-SHORTEST_ITEM = 40
+#: Items with fewer characters are found between word boundaries only.
+WHOLE_WORDS = 40
 #: Two characters between which a word goes on; scripts that are written without spaces have a boundary anywhere.
 _UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
 INSIDE_WORD = re.compile(f"[^\\W{_UNSPACED}]{{2}}")
 #: Characters of items that are searched in one pass over the documents.
 BLOCK_CHARS = 4_000_000
+#: Parts of items whose masks a task remembers before it forgets them all.
+MASKS = 100_000
 
 MATCHES = "doc_id bigint, text_hash bigint, item_id bigint, distance int, ends_at bigint"
 
@@ -42,7 +45,7 @@ def plain(text: str) -> str:
 
 
 def budget(item: str, rate: float = ERROR_RATE) -> int:
-    return int(rate * len(item)) if len(item) >= SHORTEST_ITEM else 0
+    return int(rate * len(item))
 
 
 def pieces(item: str, errors: int) -> list[tuple[int, str]]:
@@ -90,6 +93,23 @@ def bounded(text: str, start: int, end: int) -> bool:
     return not any(at and INSIDE_WORD.match(text, at - 1) for at in (start, end))
 
 
+def whole_words(item: str, text: str, start: int, errors: int) -> tuple[int, int]:
+    """The smallest distance between a short item and a stretch of whole words that begins within ``errors`` of ``start``."""
+    best = errors + 1, -1
+    for a in range(max(0, start - errors), start + errors + 1):
+        if a > len(text) or (a and INSIDE_WORD.match(text, a - 1)):
+            continue
+        row = list(range(len(item) + 1))
+        for b in range(a, min(len(text), a + len(item) + errors) + 1):
+            if b > a:
+                diagonal, row[0] = row[0], b - a
+                for i, c in enumerate(item, 1):
+                    diagonal, row[i] = row[i], min(row[i] + 1, row[i - 1] + 1, diagonal + (c != text[b - 1]))
+            if row[-1] < best[0] and not (b and INSIDE_WORD.match(text, b - 1)):
+                best = row[-1], b
+    return best
+
+
 class Finder:
     """Searches the texts of a block of items."""
 
@@ -113,6 +133,8 @@ class Finder:
         """Of the item's characters from a to b, around the place where they would stand if the item began at start."""
         found = self.masks.get((number, a, b))
         if found is None:
+            if len(self.masks) >= MASKS:
+                self.masks.clear()
             found = self.masks[number, a, b] = masks(self.items[number][1][a:b])
         lo = max(0, start + a - slack)
         distance, end = nearest(found, b - a, text[lo : start + b + slack], slack)
@@ -136,22 +158,26 @@ class Finder:
         if not self.items:
             return []
         starts: dict[int, dict[int, list[int]]] = {}
-        short: dict[int, int] = {}
         for end, (length, places) in self.automaton.iter(text):
             for number, piece in places:
-                if len(self.items[number][1]) < SHORTEST_ITEM:
-                    if number not in short and bounded(text, end + 1 - length, end + 1):
-                        short[number] = end + 1
-                    continue
-                start = end + 1 - length - self.items[number][3][piece]
-                starts.setdefault(number, {}).setdefault(start, []).append(piece)
-        found = [(self.items[number][0], 0, end) for number, end in short.items()]
+                _, item, errors, cuts = self.items[number]
+                start = end + 1 - length - cuts[piece]
+                if errors or len(item) >= WHOLE_WORDS or bounded(text, start, end + 1):
+                    starts.setdefault(number, {}).setdefault(start, []).append(piece)
+        found = []
         for number, places in starts.items():
             item_id, item, errors, _ = self.items[number]
+            if not errors:
+                found.append((item_id, 0, min(places) + len(item)))
+                continue
             best = errors + 1, -1
             for start in sorted(places):
                 if any(self.holds(number, piece, text, start) for piece in places[start]):
-                    best = min(best, self.distance(number, 0, len(item), text, start, errors))
+                    near = self.distance(number, 0, len(item), text, start, errors)
+                    if len(item) < WHOLE_WORDS and near[0] <= errors:
+                        near = whole_words(item, text, start, errors)
+                    if near[0] <= errors:
+                        best = min(best, near)
             if best[0] <= errors:
                 found.append((item_id, *best))
         return found
@@ -174,13 +200,13 @@ def _search(items: list[tuple[int | None, str]], rate: float):
     return run
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, short: bool = False) -> DataFrame:
+def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """One row per document and item it holds: doc_id, text_hash, item_id, distance, ends_at.
 
     Both sides are compared in lower case with white space runs as one space; ``ends_at`` counts in that text. Of several
-    stretches the one with the smallest distance counts, then the first. Null and empty texts hold nothing. Items of
-    fewer than ``SHORTEST_ITEM`` characters are found as whole words without edits if ``short``, else not searched. An item
-    without an id is reported with a null item_id, unless its text has an id in another row. Rows with repeated ids are
+    stretches the one with the smallest distance counts, then the first. Null and empty texts hold nothing and empty items
+    are held by none. Every item may differ in ``rate`` of its characters; items of fewer than ``WHOLE_WORDS`` characters are
+    found as whole words. Texts of any length are searched whole. An item without an id is reported with a null item_id, unless its text has an id in another row. Rows with repeated ids are
     judged one by one. Items are taken in blocks of ``BLOCK_CHARS`` characters, so the benchmark may be of any size. Only
     doc_id, item_id and text are read.
     """
@@ -196,15 +222,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE,
     for block in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
         items = sorted(((r["item_id"], plain(r["text"])) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-        items = [(i, text) for i, text in items if len(text) >= (1 if short else SHORTEST_ITEM)]
+        items = [(i, text) for i, text in items if text]
         part = source.mapInArrow(_search(items, rate), MATCHES)
         found = part if found is None else found.unionByName(part)
     return found
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, short: bool = False) -> DataFrame:
-    """The documents that hold no item, columns unchanged."""
-    leaks = find_leaks(docs, benchmark, rate, short).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
+    """The documents that hold no item, columns unchanged; null and empty texts, and rows without an id, are judged like others."""
+    leaks = find_leaks(docs, benchmark, rate).select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash")).distinct()
     key = unused("text_hash", docs)
     marked = docs.withColumn(key, F.xxhash64(text_of(docs)))
     same = marked["doc_id"].cast("bigint").eqNullSafe(leaks["leak_id"]) & (marked[key] == leaks["leak_hash"])
