@@ -1,9 +1,9 @@
 """Quality classification by co-training on two views of a document.
 
 One classifier sees the text, the other what is known about the page: source, language, declared length. Both are fitted on
-labelled documents; over rounds each labels the unlabelled documents it is sure of for the other. On labelled documents
-that neither was fitted on, each view is calibrated and the views are weighed against each other. Then all documents are
-scored.
+labelled documents; over rounds each labels the unlabelled documents it is sure of for the other. Each view is calibrated,
+and the views are weighed against each other, by cross-fitting: on what views fitted without a labelled document say of it.
+Then all documents are scored.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SURE = 0.95
 #: Documents with a lower score are rejected.
 THRESHOLD = 0.5
 BUCKETS = 16
+#: Parts of the labelled documents, each judged by views fitted on the others.
+FOLDS = 2
 
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
@@ -139,11 +141,11 @@ class Model:
         return _sigmoid(a), _sigmoid(b), _sigmoid(self.both.logit(np.column_stack([a, b])))
 
 
-def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, open_text: np.ndarray, open_page: np.ndarray) -> Model:
-    """Fit both views; every fourth labelled row is kept for calibration."""
-    kept = np.arange(len(y)) % 4 == 3 if len(y) >= 40 else np.zeros(len(y), bool)
-    check = kept if kept.any() else ~kept
-    first, second = Logistic.fit(text[~kept], y[~kept]), Logistic.fit(page[~kept], y[~kept])
+def exchange(
+    text: np.ndarray, page: np.ndarray, y: np.ndarray, open_text: np.ndarray, open_page: np.ndarray
+) -> tuple[Logistic, Logistic]:
+    """Both views, fitted on labelled rows and on those that the other view is sure of."""
+    first, second = Logistic.fit(text, y), Logistic.fit(page, y)
     for _ in range(ROUNDS if len(open_text) else 0):
         by_text, by_page = _sigmoid(first.logit(open_text)), _sigmoid(second.logit(open_page))
         from_page = np.abs(by_page - 0.5) > SURE - 0.5
@@ -151,23 +153,39 @@ def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, open_text: np.nd
         # Where the views contradict each other, neither teaches.
         from_page &= ~(from_text & ((by_text > 0.5) != (by_page > 0.5)))
         from_text &= ~(from_page & ((by_text > 0.5) != (by_page > 0.5)))
-        first = Logistic.fit(np.concatenate([text[~kept], open_text[from_page]]), np.concatenate([y[~kept], by_page[from_page] > 0.5]))
-        second = Logistic.fit(np.concatenate([page[~kept], open_page[from_text]]), np.concatenate([y[~kept], by_text[from_text] > 0.5]))
-    a, b = first.logit(text[check])[:, None], second.logit(page[check])[:, None]
-    text_scale, page_scale = Logistic.fit(a, y[check]), Logistic.fit(b, y[check])
-    both = Logistic.fit(np.column_stack([text_scale.logit(a), page_scale.logit(b)]), y[check])
-    return Model(first, second, text_scale, page_scale, both)
+        first = Logistic.fit(np.concatenate([text, open_text[from_page]]), np.concatenate([y, by_page[from_page] > 0.5]))
+        second = Logistic.fit(np.concatenate([page, open_page[from_text]]), np.concatenate([y, by_text[from_text] > 0.5]))
+    return first, second
+
+
+def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, open_text: np.ndarray, open_page: np.ndarray) -> Model:
+    """Views fitted on all labelled rows, calibrated on what views fitted on other rows say of each; two rows at least.
+
+    Rows of each kind are dealt to the parts in turn, so that a part lacks a kind only where that kind has one row.
+    """
+    turn = np.where(y > 0.5, np.cumsum(y > 0.5), np.cumsum(y <= 0.5)) % FOLDS
+    a, b = np.zeros((len(y), 1)), np.zeros((len(y), 1))
+    for part in np.unique(turn):
+        out = turn == part
+        rest = ~out if not out.all() else out
+        first, second = exchange(text[rest], page[rest], y[rest], open_text, open_page)
+        a[out, 0], b[out, 0] = first.logit(text[out]), second.logit(page[out])
+    text_scale, page_scale = Logistic.fit(a, y), Logistic.fit(b, y)
+    both = Logistic.fit(np.column_stack([text_scale.logit(a), page_scale.logit(b)]), y)
+    return Model(*exchange(text, page, y, open_text, open_page), text_scale, page_scale, both)
 
 
 def _arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    got = rows.toPandas().sort_values(["doc_id", "text_hash"], kind="stable")
+    """One row per id, that of the smallest text hash: however many rows share an id, the sample stays bounded."""
+    one = F.min(F.struct("text_hash", "text_view", "page_view", "quality")).alias("one")
+    got = rows.groupBy("doc_id").agg(one).select("doc_id", "one.*").toPandas().sort_values("doc_id", kind="stable")
     if not len(got):
         return np.zeros((0, 1)), np.zeros((0, 1)), np.zeros(0)
     return np.stack(got["text_view"]).astype(float), np.stack(got["page_view"]).astype(float), got["quality"].to_numpy(float)
 
 
 def learn(views: DataFrame, labels: DataFrame) -> Model | float:
-    """A model fitted on bounded samples of labelled and unlabelled documents, chosen by a hash of the id.
+    """A model fitted on bounded samples of labelled and unlabelled documents, chosen by a hash of the id, one row per id.
 
     Without labels, or with labels of one kind only, the share of good documents (1 without labels) takes its place.
     Labels of one document are averaged; null labels are ignored.
