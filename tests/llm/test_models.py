@@ -3,6 +3,8 @@
 import random
 import zlib
 
+import numpy as np
+
 from tests.llm import data
 from tremorline.llm import lang_id, quality
 
@@ -69,3 +71,53 @@ def test_every_language_is_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     network = lang_id.learn(docs, sample_docs=1)
     assert list(network.languages) == sorted({r[2] for r in rows})
+
+
+def test_quality_takes_one_row_of_each_id(spark):
+    """Thousands of rows under one labelled id, or one other id, bring one row each to the sample."""
+    docs = data.plain(spark, [(1, f"text {i}") for i in range(3000)] + [(2, f"other {i}") for i in range(3000)] + [(3, "!! $$ ##")])
+    views = quality.features(docs)
+    text, page, y = quality._arrays(views.join(spark.createDataFrame([(1, 1.0), (3, 0.0)], "doc_id long, quality double"), "doc_id"))
+    assert len(text) == len(page) == len(y) == 2
+
+
+def test_quality_is_cross_fitted_at_every_size():
+    """Scores of pure noise stay near the share of good rows, also for few labels, where a fit on the same rows would be sure."""
+    rnd = np.random.default_rng(8)
+    for n in (2, 3, 12, 39, 40, 400):
+        text, page = rnd.normal(size=(n, 24)), rnd.normal(size=(n, 34))
+        y = (np.arange(n) % 2).astype(float)
+        model = quality.co_train(text, page, y, rnd.normal(size=(50, 24)), rnd.normal(size=(50, 34)))
+        scores = model.scores(rnd.normal(size=(500, 24)), rnd.normal(size=(500, 34)))[2]
+        assert np.isfinite(scores).all() and (n < 12 or abs(scores.mean() - 0.5) < 0.25)
+    same = quality.co_train(text[:6], page[:6], np.array([1.0, 1, 1, 1, 1, 0]), text[:0], page[:0])
+    assert np.isfinite(same.scores(text, page)[2]).all()
+
+
+def plain_network(network, raw):
+    """Probabilities of one window: every filter at every place, the largest answer, then the last layer."""
+    hidden = []
+    for width in lang_id.WIDTHS:
+        filters, bias = network.weights[f"filter{width}"], network.weights[f"bias{width}"]
+        for f in range(lang_id.FILTERS):
+            answers = [
+                sum(network.weights["embedding"][raw[at + k]] @ filters[k, :, f] for k in range(width))
+                for at in range(lang_id.WINDOW - width + 1)
+            ]
+            hidden.append(max(0.0, max(answers) + bias[f]))
+    scores = np.exp(np.array(hidden) @ network.weights["last"] + network.weights["offset"])
+    return scores / scores.sum()
+
+
+def test_predictions_equal_a_plain_convolution(spark):
+    """Also of texts longer than a window: the mean over windows, weighed by their letters."""
+    network = lang_id.Network(["de", "en", "fr"])
+    texts = ["a few words only", "Größe und Maß " * 9, "longer text that fills a window and then some more " * 4]
+    frame = data.plain(spark, list(enumerate(texts))).selectExpr("*", "'en' AS lang")
+    got = {r["doc_id"]: r for r in lang_id.identify(frame, network).collect()}
+    for i, text in enumerate(texts):
+        parts = lang_id.windows(lang_id.letters(text))
+        weights = (parts != 0).sum(axis=1)
+        want = sum(w * plain_network(network, p) for w, p in zip(weights, parts, strict=True)) / weights.sum()
+        assert got[i]["lang_pred"] == network.languages[int(want.argmax())]
+        assert abs(got[i]["score"] - want.max()) < 1e-4
