@@ -99,3 +99,26 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
     assert components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+def test_rows_under_one_id_meet_their_own_sets_only(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(f"w{rnd.randint(0, 10**6)}" for _ in range(40)) for _ in range(150)]
+    rows = [(4, t) for t in texts for _ in range(2)] + [(4, f"{t} end") for t in texts] + [(None, f"{t} so") for t in texts[:50]]
+    got = near_groups(data.plain(spark, rows)).collect()
+    assert len(got) == len(rows) and {r["component_id"] for r in got} == {4}
+    assert {r["n_shingles"] for r in got} == {36, 37}
+
+
+def test_recall_in_crowded_nodes(spark):
+    """Documents that share a passage, 70 % alike, below the threshold: pairs just above it are still found."""
+    rnd = random.Random(5)
+    passage = [f"p{i}" for i in range(130)]
+    own = [[f"w{rnd.randint(0, 10**9)}" for _ in range(27)] for _ in range(1200)]
+    rows = [(i, " ".join(passage + words)) for i, words in enumerate(own)]
+    more = [(10_000 + i, " ".join(passage + own[i] + [f"x{rnd.randint(0, 10**9)}" for _ in range(26)])) for i in range(400)]
+    labels = {d: c for d, _, c in found(data.plain(spark, rows + more))}
+    assert all(labels[i] == i for i in range(1200)), "clean documents are not linked"
+    met = sum(labels[10_000 + i] == i for i in range(400))
+    print(f"met {met} of 400")
+    assert met >= 396

@@ -235,18 +235,19 @@ EDGES = "a binary, b binary"
 
 
 def _member(k: int) -> Column:
-    """The tokens of one set of a group, chosen by a hash."""
-    return F.min(F.struct(F.xxhash64("set_id", F.lit(k)).alias("h"), "tokens"))["tokens"].alias(f"member{k}")
+    """The tokens of one set of a node, chosen by a hash that differs from node to node, so that trees stay independent."""
+    return F.min(F.struct(F.xxhash64("node", "set_id", F.lit(k)).alias("h"), "tokens"))["tokens"].alias(f"member{k}")
 
 
 def _best_tokens(members: Column, share: float) -> Column:
-    """The tokens a node branches on: those in which some of its sets differ most, then by a hash of the path.
+    """The tokens a node branches on: by a hash of the path, of those in which its sets looked at have ``MEMBERS`` / 2 values or more.
 
     One token, or sometimes two, so that there are one over the similarity of them on average.
     """
     def rank(i: Column) -> Column:
         values = F.transform(members, lambda tokens: F.get(tokens, i))
-        return F.struct((-F.size(F.array_distinct(values))).alias("rank"), F.xxhash64("node", i).alias("h"), i.alias("i"))
+        differ = F.least(F.size(F.array_distinct(values)), F.lit(MEMBERS // 2))
+        return F.struct((-differ).alias("rank"), F.xxhash64("node", i).alias("h"), i.alias("i"))
 
     ranked = F.transform(F.sort_array(F.transform(F.sequence(F.lit(0), F.lit(TOKENS - 1)), rank)), lambda x: x["i"])
     twice = F.pmod(F.xxhash64("node", F.lit("second")), F.lit(1000)) < round(1000 * (1 / share - 1))
@@ -350,12 +351,13 @@ def _classified(docs: DataFrame, share: float, words: int) -> DataFrame:
     rows = stored(source.mapInArrow(_sketches(words), schema), "sketches")
     sets = stored(
         rows.where("set_id IS NOT NULL").groupBy("set_id")
-        .agg(F.min("doc_id").alias("first_id"), F.first("tokens").alias("tokens")), "sets"
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"), F.first("tokens").alias("tokens"))
+        .select("set_id", F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash"), "tokens"), "sets"
     )
     roots = components(_candidates(sets, share))
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     wanted = stored(
-        roots.join(sizes, "root").withColumnRenamed("node", "set_id").join(sets.select("set_id", "first_id"), "set_id"),
+        roots.join(sizes, "root").withColumnRenamed("node", "set_id").join(sets.select("set_id", "first_id", "first_hash"), "set_id"),
         "candidates",
     )
 
@@ -370,8 +372,10 @@ def _classified(docs: DataFrame, share: float, words: int) -> DataFrame:
             )
 
     few = wanted.count() <= IDS_TO_SEND
-    asked = wanted.select(F.col("first_id"), "root", "n", "set_id")
-    texts = source.join(F.broadcast(asked) if few else asked, F.col("doc_id").eqNullSafe(F.col("first_id")))
+    asked = wanted.select("first_id", "first_hash", "root", "n", "set_id")
+    # By id and text: rows that share an id, or have none, meet their own sets only.
+    own = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
+    texts = source.join(F.broadcast(asked) if few else asked, own)
     full = texts.select("root", "n", "set_id", "text").mapInArrow(full_sets, "root binary, n bigint, set_id binary, members binary")
     groups = stored(full.where("members IS NOT NULL").dropDuplicates(["root", "set_id"]), "members")
     classes = _confirm(groups, share)
