@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tremorline.llm.common import text_of
+from tremorline.llm.common import stored, text_of
 from tremorline.llm.spans import digest, places, written
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -50,8 +50,9 @@ def _valid(kind: str, match: Column) -> Column:
 
 def _steps(words: DataFrame) -> dict[str, int]:
     """How often one character follows another in the words; at most the square of the alphabet comes back."""
-    pairs = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring(F.col("word"), i, F.lit(2)))
-    counted = words.where(F.length("word").between(2, 512)).select(F.explode(pairs).alias("pair")).groupBy("pair").count()
+    letters = F.split("word", "")
+    pairs = F.zip_with(letters, F.slice(letters, 2, F.length("word")), lambda a, b: F.concat(a, b))
+    counted = words.where(F.length("word") >= 2).select(F.explode(pairs).alias("pair")).groupBy("pair").count()
     return {r["pair"]: r["count"] for r in counted.where(F.col("pair").rlike(r"^[A-Za-z0-9+/_=-]{2}$")).collect()}
 
 
@@ -61,7 +62,8 @@ def learn(docs: DataFrame) -> list[float]:
     place = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / (1 << 30)
     rows = docs.select(text.alias("text"), place.alias("place"))
     values = F.concat(*[F.regexp_extract_all("text", F.lit(p), F.lit(GROUPS[k])) for k, p in PATTERNS.items()])
-    found = rows.select("place", F.filter(values, lambda x: F.length(x) >= ASSIGNED).alias("values")).where(F.size("values") > 0)
+    values = F.filter(values, lambda x: F.length(x) >= ASSIGNED)
+    found = stored(rows.select("place", values.alias("values")).where(F.size("values") > 0), "values")
     n_docs, n_found = rows.count(), found.count()
     random = found.where(F.col("place") < SAMPLE_RANDOM / max(1, n_found)).select(F.explode("values").alias("word"))
     plain = F.regexp_replace("text", "|".join(PATTERNS.values()), " ")
