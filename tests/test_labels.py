@@ -4,6 +4,7 @@ import pytest
 
 from tests.helpers import at, rows_of, samples
 from tremorline.model import FAULT_SCHEMA, SAMPLE_SCHEMA
+from tremorline.operators import labels
 from tremorline.operators.labels import label_faults, merge_intervals
 
 BOTH_WAYS = pytest.mark.parametrize("options", [{}, {"max_pieces": 0}, {"max_pieces": 0, "block_rows": 8}])
@@ -72,3 +73,11 @@ def test_many_faults_within_an_hour_are_swept(spark):
     labelled = label_faults(frame, faults(spark, *spans))
     assert "Window" in labelled._jdf.queryExecution().executedPlan().toString()
     assert true_at(labelled) == [i for i in range(200) if i % 2 == 0]
+
+
+def test_a_schedule_too_large_to_broadcast_is_not(spark, monkeypatch):
+    """However many pieces are allowed; the labels are the same."""
+    frame, schedule = samples(spark, range(12)), faults(spark, ("d1", 0.005, 0.008))
+    monkeypatch.setattr(labels, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(labels, "_label_by_hour", lambda *_: pytest.fail("broadcast"))
+    assert true_at(label_faults(frame, schedule, max_pieces=10**9)) == [5, 6, 7, 8]

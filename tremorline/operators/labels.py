@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tremorline.operators.blocks import BLOCK_ROWS, join_cells, split_crowded_keys
+from tremorline.operators.blocks import BLOCK_ROWS, BROADCAST_ROWS, join_cells, split_crowded_keys
 from tremorline.session import cut_lineage
 
 MAX_PIECES = 200_000
@@ -39,8 +39,8 @@ def label_faults(
     """Set ``ground_truth``: true iff ``start_ts <= ts <= end_ts`` for some fault of the device.
 
     Intervals may overlap; one with a missing bound or device labels nothing. A schedule that stays below
-    ``max_pieces`` once cut into hours, with few pieces in any hour, is broadcast and the samples are not
-    shuffled. Any other schedule is laid over the samples in time order (see ``_label_by_sweep``).
+    ``max_pieces`` once cut into hours, and below what may be broadcast at all however large ``max_pieces`` is, with few pieces in
+    any hour, is broadcast and the samples are not shuffled. Any other schedule is laid over the samples in time order (see ``_label_by_sweep``).
     """
     valid = (
         faults.where("start_ts <= end_ts AND device_id IS NOT NULL")
@@ -52,7 +52,7 @@ def label_faults(
         F.unix_seconds("start_ts") / BUCKET_SECONDS
     )
     n_pieces = valid.agg(F.coalesce(F.sum(hours + 1), F.lit(0))).first()[0]
-    if n_pieces <= max_pieces:
+    if n_pieces <= min(max_pieces, BROADCAST_ROWS):
         pieces = cut_lineage(_hourly_pieces(merge_intervals(valid)))
         crowded = pieces.groupBy("device_id", "_hour").count().where(F.col("count") > MAX_PIECES_PER_BUCKET)
         if crowded.isEmpty():
