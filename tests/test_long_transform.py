@@ -53,3 +53,14 @@ def test_split_windows_equal_whole_ones(spark):
     whole, split = (rows_of(time_window_spectral_features(frame, "3 seconds", window_rows=n), *names) for n in (1 << 20, 64))
     assert repr(whole) == repr(split)
     assert sum(row[2] > 64 for row in whole) == 8 and sum(row[2] <= 64 for row in whole) == 1
+
+
+def test_windows_beyond_the_square_of_the_limit(spark):
+    """A window needs arrays of the root of its convolution's length at least; what is smaller stands as it is."""
+    rnd = np.random.default_rng(5)
+    frame = samples(spark, [float(v) for v in rnd.normal(size=900)], rate=100.0)
+    names = ["device_id", "window_id", "n", "round(rms, 9)", "dominant_bin"]
+    whole, split = (rows_of(time_window_spectral_features(frame, "20 seconds", window_rows=n), *names) for n in (1 << 20, 16))
+    assert whole == split and max(row[2] for row in whole) == 900
+    _, lengths = readings(spark, {("d", 0): np.arange(900.0)})
+    assert long_transform.least_limit(lengths, 64) == 64 and long_transform.least_limit(lengths, 16) == 256

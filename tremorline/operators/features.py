@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tremorline.functions.spectrum import dominant_bin, magnitude_spectrum
 from tremorline.operators.blocks import broadcast_if_small, join_cells, number_rows
-from tremorline.operators.long_transform import dominant_bins_of_long_windows
+from tremorline.operators.long_transform import dominant_bins_of_long_windows, least_limit
 from tremorline.operators.panes import hopping_window_features
 from tremorline.operators.run_reducer import reduce_runs
 from tremorline.operators.windows import assign_count_windows, is_due, time_window
@@ -178,7 +178,7 @@ def _long_windows(samples: DataFrame, lengths: DataFrame, newest: str, limit: in
     plain = features.where(~F.isnan("rms") & (F.col("rms") < float("inf"))).select(
         "device_id", F.unix_micros("_window.start").alias("window_us"), "n"
     )
-    found = dominant_bins_of_long_windows(rows, plain, limit).withColumnRenamed("device_id", "_device")
+    found = dominant_bins_of_long_windows(rows, plain, least_limit(plain, limit)).withColumnRenamed("device_id", "_device")
     same = F.col("device_id").eqNullSafe(F.col("_device")) & (F.unix_micros("_window.start") == F.col("window_us"))
     joined = features.join(found, same, "left").withColumn("dominant_bin", F.coalesce("dominant_bin", F.lit(1)))
     return joined.drop("_device", "window_us")

@@ -37,6 +37,15 @@ def _shapes(lengths: DataFrame, limit: int) -> DataFrame:
     )
 
 
+def least_limit(lengths: DataFrame, limit: int) -> int:
+    """``limit``, or what the longest window needs if that is more: arrays of four times the root of its convolution's length.
+
+    At the root itself every number that is exchanged would be a row of its own; so a row holds sixteen at least.
+    """
+    bits = (2 * (lengths.agg(F.max("n")).first()[0] or 0)).bit_length()
+    return limit if bits <= 2 * (limit.bit_length() - 1) else 1 << (-(-bits // 2) + 2)
+
+
 def _turns(part: np.ndarray, whole: int, sign: int) -> np.ndarray:
     """exp(sign * 2 pi i part / whole); part is reduced as a whole number first, so large ones lose nothing."""
     return np.exp(sign * 2j * np.pi * (part % whole) / whole)
