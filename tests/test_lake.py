@@ -137,3 +137,37 @@ def test_files_are_put_together(spark, tmp_path):
     assert list_lake(spark, path).first().n_files == 1
     assert rows_of(read_lake(spark, path), "batch_id", "features.rms") == before
     assert publish(windows, path).count() == 5
+
+
+def test_many_folders_are_several_tasks_and_files_are_as_spark_names_them(spark, tmp_path, monkeypatch):
+    """Folders are dealt by their number; a crowded one is split; odd devices have the folders that Spark's writer gives them."""
+    monkeypatch.setattr(lakes, "FOLDERS_PER_TASK", 2)
+    monkeypatch.setattr(lakes, "ROWS_PER_TASK", 8)
+    names = ["a", "b=c/d", "50% é {x}", "", "p", "q"]
+    windows = windows_of(spark, 20, "crowded")
+    for name in names:
+        windows = windows.unionByName(windows_of(spark, 3, name))
+    windows = windows.unionByName(windows_of(spark, 3).withColumn("device_id", F.lit(None).cast("string")))
+    rows, path = window_payloads(windows), tmp_path / "lake"
+    write_lake(rows, str(path), mode="append", max_records=2)
+    lakes.to_lake_rows(rows).write.partitionBy(*lakes.PARTITION_COLUMNS).option("compression", "gzip").json(str(tmp_path / "spark"))
+    columns = [*lakes.PARTITION_COLUMNS, "batch_id", "to_json(features)", "timestamp", "anomaly_detected", "ground_truth"]
+    assert rows_of(read_lake(spark, str(path)), *columns) == rows_of(read_lake(spark, str(tmp_path / "spark")), *columns)
+    assert {str(p.parent.relative_to(path)) for p in path.rglob("part-*.json.gz")} == {
+        str(p.parent.relative_to(tmp_path / "spark")) for p in (tmp_path / "spark").rglob("part-*.json.gz")
+    }
+    tasks = {p.name.split("-")[1] for p in path.rglob("part-*.json.gz")}
+    assert len(tasks) > 2 and len({p.name.split("-")[1] for p in path.rglob("device_id=crowded/part-*.json.gz")}) > 1
+    assert not list(path.rglob(".part-*.json.gz"))
+    listed = {r.device_id: r.n_files for r in list_lake(spark, str(path)).collect()}
+    assert listed["a"] == 2 and listed["crowded"] >= 10
+
+
+def test_a_written_lake_is_not_listed_to_write_again(spark, tmp_path, monkeypatch):
+    windows, path = windows_of(spark, 4), str(tmp_path / "lake")
+    write_lake(window_payloads(windows.where("window_id < 2")), path)
+    monkeypatch.setattr(lakes, "read_lake", lambda *_: pytest.fail("listed"))
+    write_lake(window_payloads(windows), path)
+    monkeypatch.undo()
+    assert read_lake(spark, path).count() == 4
+    assert spark.conf.get(lakes.LISTING) == "10000"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -11,7 +13,9 @@ from pyspark.sql import types as T
 
 from tremorline.functions.keys import partition_values, utc_timestamp
 from tremorline.model import LAKE_SCHEMA, PARTITION_COLUMNS, PAYLOAD_SCHEMA
+from tremorline.operators.blocks import broadcast_if_small
 from tremorline.session import new_folder
+from tremorline.sources.lake_files import append_files, is_local
 from tremorline.sources.lake_index import LAKE_KEY, Folder, LakeBusy, LakeIndex, batch_key, content_hash
 
 __all__ = ["LakeBusy", "compact_lake", "list_lake", "read_lake", "release_lake", "to_lake_rows", "write_lake"]
@@ -35,6 +39,12 @@ BINARY_FILE_SCHEMA = T.StructType(
 )
 #: A folder of so many files is put together when a stream comes to it.
 MANY_FILES = 64
+#: A task writes so many folders, and so many rows of one folder; opening a file costs more than the few rows in it.
+FOLDERS_PER_TASK = 256
+ROWS_PER_TASK = 500_000
+#: A level of folders is listed by so many tasks. Spark's own setting, 10000, is a task for every folder.
+LISTING_TASKS = 32
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def write_lake(
@@ -59,7 +69,7 @@ def write_lake(
         raise ValueError(f"unknown mode {mode!r}")
     spark, index = batches.sparkSession, LakeIndex(batches.sparkSession, path)
     with index.held(owner, wait), _Scratch(spark) as scratch:
-        index.recover(_lake_if_any(spark, path))
+        index.recover(lambda: _lake_if_any(spark, path))
         rows = to_lake_rows(batches)
         rows = (rows.dropDuplicates(LAKE_KEY) if mode == "merge" else rows).withColumns({"key": batch_key(), "content": content_hash()})
         fresh = scratch.keep(rows, "fresh")
@@ -125,11 +135,26 @@ class _Scratch:
 
 
 def _write_rows(rows: DataFrame, path: str, mode: str, max_records: int) -> None:
-    """``rebalance`` brings the rows of a folder together so that few files are written, and lets adaptive
-    execution split a crowded folder over several tasks."""
+    """The rows of a folder come together in one task so that few files are written; a crowded folder is several tasks' work.
+
+    ``rows`` are a stored table: its folders are counted first, as time goes by the number of files rather than bytes.
+    """
+    sizes = rows.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("_rows"))
+    crowded = F.col("_rows") > ROWS_PER_TASK
+    n_folders, n_rows, n_crowded = sizes.agg(F.count(F.lit(1)), F.sum("_rows"), F.count_if(crowded)).first()
+    n_tasks = max(1, -(-n_folders // FOLDERS_PER_TASK), -(-(n_rows or 0) // ROWS_PER_TASK))
+    keys = [F.col(c) for c in PARTITION_COLUMNS]
+    if n_crowded:
+        large = sizes.where(crowded).select(*[F.col(c).alias(f"_{c}") for c in PARTITION_COLUMNS], "_rows")
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PARTITION_COLUMNS])
+        part = F.pmod(F.xxhash64("batch_id"), F.ceil(F.col("_rows") / ROWS_PER_TASK))
+        rows = rows.join(broadcast_if_small(large, n_crowded), same, "left").withColumn("_part", F.coalesce(part, F.lit(0)))
+        keys.append(F.col("_part"))
+    rows = rows.repartition(n_tasks, *keys).select(*LAKE_SCHEMA.fieldNames())
+    if mode == "append" and is_local(path):
+        return append_files(rows, path, max_records)
     (
-        rows.hint("rebalance", *PARTITION_COLUMNS)
-        .write.mode(mode)
+        rows.write.mode(mode)
         .partitionBy(*PARTITION_COLUMNS)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records)
@@ -156,12 +181,24 @@ def _lake_if_any(spark: SparkSession, path: str) -> DataFrame | None:
     return read_lake(spark, path) if any(n.startswith("year=") for n in Folder(spark, path).names()) else None
 
 
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed in few tasks while this holds."""
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, min(int(before), LISTING_TASKS))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before)
+
+
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """Read the lake; filters on the partition columns prune folders.
 
     The schema is given, so ``month`` stays the text '07' and no file is opened to infer types.
     """
-    return spark.read.schema(LAKE_SCHEMA).json(path)
+    with _listing(spark):
+        return spark.read.schema(LAKE_SCHEMA).json(path)
 
 
 def list_lake(spark: SparkSession, path: str) -> DataFrame:
@@ -169,5 +206,6 @@ def list_lake(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(
         BINARY_FILE_SCHEMA.fields + [T.StructField(name, T.StringType()) for name in PARTITION_COLUMNS]
     )
-    files = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.json.gz").load(path)
+    with _listing(spark):
+        files = spark.read.format("binaryFile").schema(schema).option("pathGlobFilter", "*.json.gz").load(path)
     return files.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))

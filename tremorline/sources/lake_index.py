@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -177,13 +177,20 @@ class LakeIndex:
                 self.folder.delete(f"keys/{name}")
             level += 1
 
-    def recover(self, lake: DataFrame | None) -> None:
-        """Index what writers that died have left in the lake, and what was there before there was an index."""
-        if lake is not None and not self._tables() and not self.folder.names("pending"):
+    def recover(self, read: Callable[[], DataFrame | None]) -> None:
+        """Index what writers that died have left in the lake, and what was there before there was an index.
+
+        Only then is the lake asked for: its folders are listed as soon as it is read.
+        """
+        indexed, left = self._tables(), self.folder.names("pending")
+        if indexed and not left:
+            return
+        lake = read()
+        if lake is not None and not indexed and not left:
             found = lake.select(batch_key().alias("key"), content_hash().alias("content"), F.lit(0).cast("bigint").alias("version"))
             self._write(found, "merging")
             self.folder.rename("merging", f"keys/level=99-{0:012d}")
-        for name in self.folder.names("pending"):
+        for name in left:
             path = f"{self.folder.path}/pending/{name}"
             stated = self._stated(path)
             if lake is not None and stated is not None:
