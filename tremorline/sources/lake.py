@@ -42,9 +42,12 @@ MANY_FILES = 64
 #: A task writes so many folders, and so many rows of one folder; opening a file costs more than the few rows in it.
 FOLDERS_PER_TASK = 256
 ROWS_PER_TASK = 500_000
-#: A level of folders is listed by so many tasks. Spark's own setting, 10000, is a task for every folder.
+#: Folders are listed by so many tasks, from the first level of more than ``SERIAL`` folders: the days of a month, each by one task. Spark's
+#: own settings are 10000 tasks, one for every folder, and 32, with which the driver looks at each device of each day.
 LISTING_TASKS = 32
+SERIAL = 12
 LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+THRESHOLD = "spark.sql.sources.parallelPartitionDiscovery.threshold"
 
 
 def write_lake(
@@ -184,12 +187,14 @@ def _lake_if_any(spark: SparkSession, path: str) -> DataFrame | None:
 @contextmanager
 def _listing(spark: SparkSession) -> Iterator[None]:
     """Folders are listed in few tasks while this holds."""
-    before = spark.conf.get(LISTING)
-    spark.conf.set(LISTING, min(int(before), LISTING_TASKS))
+    before = {name: spark.conf.get(name) for name in (LISTING, THRESHOLD)}
+    for name, most in ((LISTING, LISTING_TASKS), (THRESHOLD, SERIAL)):
+        spark.conf.set(name, min(int(before[name]), most))
     try:
         yield
     finally:
-        spark.conf.set(LISTING, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
