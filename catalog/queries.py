@@ -502,7 +502,7 @@ def q_lake_listing(spark, sf_dir):
     """Files of three batches at most; the sizes are those that a reader of the files is told."""
     path = new_folder(spark, "lake")
     write_lake(batches(spark, sf_dir), path, max_records=3)
-    read = read_lake(spark, path).select("year", "month", "day", "device_id", "_metadata.file_path", "_metadata.file_size").distinct()
+    read = read_lake(spark, path, files=True).select("year", "month", "day", "device_id", "file_path", "file_size").distinct()
     told = read.groupBy("year", "month", "day", "device_id").agg(F.sum("file_size").alias("told"))
     listed = list_lake(spark, path).join(told, ["year", "month", "day", "device_id"])
     return listed.select("year", "month", "day", "device_id", "n_files", (F.col("n_bytes") == F.col("told")).alias("sizes_agree"))

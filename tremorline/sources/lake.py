@@ -15,7 +15,7 @@ from tremorline.functions.keys import partition_values, utc_timestamp
 from tremorline.model import LAKE_SCHEMA, PARTITION_COLUMNS, PAYLOAD_SCHEMA
 from tremorline.operators.blocks import broadcast_if_small
 from tremorline.session import new_folder
-from tremorline.sources.lake_files import append_files, is_local
+from tremorline.sources.lake_files import append_files, has_many_folders, is_local, list_files, read_files
 from tremorline.sources.lake_index import LAKE_KEY, Folder, LakeBusy, LakeIndex, batch_key, content_hash
 
 __all__ = ["LakeBusy", "compact_lake", "list_lake", "read_lake", "release_lake", "to_lake_rows", "write_lake"]
@@ -197,17 +197,26 @@ def _listing(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
-def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    """Read the lake; filters on the partition columns prune folders.
+def read_lake(spark: SparkSession, path: str, files: bool = False) -> DataFrame:
+    """Read the lake; filters on the partition columns prune folders. With ``files`` each row has the ``file_path`` and ``file_size`` of its file.
 
-    The schema is given, so ``month`` stays the text '07' and no file is opened to infer types.
+    The schema is given, so ``month`` stays the text '07' and no file is opened to infer types. A lake of many folders in a local or
+    mounted folder is listed and read by tasks (see ``lake_files``), and listed anew each time; others by Spark's reader, whose
+    driver holds an entry for each file.
     """
+    if has_many_folders(path):
+        rows = read_files(spark, path)
+        return rows if files else rows.drop("file_path", "file_size")
     with _listing(spark):
-        return spark.read.schema(LAKE_SCHEMA).json(path)
+        rows = spark.read.schema(LAKE_SCHEMA).json(path)
+    return rows.select("*", "_metadata.file_path", "_metadata.file_size") if files else rows
 
 
 def list_lake(spark: SparkSession, path: str) -> DataFrame:
     """Number and total size of the files in every folder, without reading them."""
+    if has_many_folders(path):
+        files = list_files(spark, path).where(F.col("file").endswith(".json.gz"))
+        return files.groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
     schema = T.StructType(
         BINARY_FILE_SCHEMA.fields + [T.StructField(name, T.StringType()) for name in PARTITION_COLUMNS]
     )
