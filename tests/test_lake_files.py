@@ -58,6 +58,32 @@ def test_listing_by_tasks_is_that_of_spark(spark, tmp_path, monkeypatch):
     assert sizes[0] == sizes[1] and len(sizes[0]) >= 5
 
 
+def test_reading_by_tasks_is_that_of_spark(spark, tmp_path, monkeypatch):
+    """Several zipped bodies in a file, other ends of lines, lines that are blank, cut or of another type."""
+    path = tmp_path / "lake"
+    write_lake(window_payloads(windows_of(spark)), str(path))
+    folder = path / "year=2026/month=07/day=28/device_id=a"
+    line = json.dumps({"batch_id": "é", "timestamp": 1.5, "features": {"rms": "NaN"}, "year": "1"}, ensure_ascii=False).encode()
+    (folder / "two.json.gz").write_bytes(gzip.compress(line + b"\n\n  \n") + gzip.compress(line + b"\r\n" + line + b"\r" + line))
+    (folder / "odd.json").write_bytes(b'{"batch_id": "cut", "time\n{"batch_id": "typed", "timestamp": "x"}\n{}\n')
+    (folder / "other.json.bz2").write_bytes(bz2.compress(line))
+    mine, theirs = both_ways(monkeypatch, lambda: rows_of(read_lake(spark, str(path)), *COLUMNS))
+    assert mine == theirs and sum(r[4] == "é" for r in mine) == 5
+
+
+def test_a_lake_of_many_folders_is_not_listed_by_the_driver(spark, tmp_path):
+    """What was written is read back, and no plan holds the files."""
+    names = [f"d{i}" for i in range(lake_files.FEW_FOLDERS + 1)]
+    windows, path = windows_of(spark, 1, names), str(tmp_path / "lake")
+    lake = publish(windows, path)
+    assert rows_of(lake, "device_id", "batch_id") == rows_of(window_payloads(windows), "device_id", "batch_id")
+    assert "FileIndex" not in lake._jdf.queryExecution().executedPlan().toString()
+    assert not list((tmp_path / "lake").rglob(".part-*.json.gz"))
+    listed = list_lake(spark, path)
+    assert "FileIndex" not in listed._jdf.queryExecution().executedPlan().toString()
+    assert listed.agg(F.sum("n_files")).first()[0] == len(names)
+
+
 def test_a_folder_that_is_no_partition_is_an_error(spark, tmp_path, many):
     path = tmp_path / "lake"
     write_lake(window_payloads(windows_of(spark)), str(path))

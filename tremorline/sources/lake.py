@@ -40,7 +40,7 @@ BINARY_FILE_SCHEMA = T.StructType(
 #: A folder of so many files is put together when a stream comes to it.
 MANY_FILES = 64
 #: A task writes so many folders, and so many rows of one folder; opening a file costs more than the few rows in it.
-FOLDERS_PER_TASK = 256
+FOLDERS_PER_TASK = 1024
 ROWS_PER_TASK = 500_000
 #: Folders are listed by so many tasks, from the first level of more than ``SERIAL`` folders: the days of a month, each by one task. Spark's
 #: own settings are 10000 tasks, one for every folder, and 32, with which the driver looks at each device of each day.

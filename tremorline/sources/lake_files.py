@@ -12,7 +12,6 @@ of a file and of a folder follows Spark's readers, so both ways give the same ro
 from __future__ import annotations
 
 import bz2
-import gzip
 import os
 import re
 import uuid
@@ -49,14 +48,14 @@ def _put(path: str, write: str, max_records: int):
     """Writes rows that are in order of folders, and gives back the number of files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = store_of(path)
+        _, root = store_of(path)
         name = f"part-{TaskContext.get().partitionId():05d}-{write}"
         n_files, current, out, written = 0, None, None, 0
         hidden = whole = ""
 
         def close() -> None:
             out.close()
-            store.move(hidden, whole)
+            os.replace(hidden, whole)
 
         for batch in batches:
             places = zip(*(batch.column(c).to_pylist() for c in PARTITION_COLUMNS), strict=True)
@@ -66,11 +65,10 @@ def _put(path: str, write: str, max_records: int):
                         close()
                     folder = f"{root}/{folder_name(place)}"
                     if place != current:
-                        store.create_dir(folder)
+                        _make(folder)
                     file = f"{name}-c{n_files:06d}.json.gz"
                     hidden, whole = f"{folder}/.{file}", f"{folder}/{file}"
-                    stream = store.open_output_stream(hidden, compression=None)
-                    out = _Zipped(stream)
+                    out = _Zipped(hidden)
                     n_files, current, written = n_files + 1, place, 0
                 out.write(f"{record}\n".encode())
                 written += 1
@@ -81,14 +79,26 @@ def _put(path: str, write: str, max_records: int):
     return run
 
 
+def _make(folder: str) -> None:
+    """Make a folder; nearly always only its last part is missing."""
+    try:
+        os.mkdir(folder)
+    except FileExistsError:
+        pass
+    except FileNotFoundError:
+        os.makedirs(folder, exist_ok=True)
+
+
 class _Zipped:
-    def __init__(self, stream: pa.NativeFile):
-        self.stream = stream
-        self.body = gzip.GzipFile(fileobj=stream, mode="wb", compresslevel=6, mtime=0)
-        self.write = self.body.write
+    def __init__(self, path: str):
+        self.stream = open(path, "wb")
+        self.body = zlib.compressobj(6, zlib.DEFLATED, zlib.MAX_WBITS | 16)
+
+    def write(self, data: bytes) -> None:
+        self.stream.write(self.body.compress(data))
 
     def close(self) -> None:
-        self.body.close()
+        self.stream.write(self.body.flush())
         self.stream.close()
 
 
