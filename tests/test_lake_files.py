@@ -84,6 +84,21 @@ def test_a_lake_of_many_folders_is_not_listed_by_the_driver(spark, tmp_path):
     assert listed.agg(F.sum("n_files")).first()[0] == len(names)
 
 
+def test_a_filter_comes_before_the_listing_and_before_files_are_opened(spark, tmp_path, many):
+    path = tmp_path / "lake"
+    write_lake(window_payloads(windows_of(spark)), str(path))
+    whole = read_lake(spark, str(path)).count()
+    for folder in ("day=27/device_id=a", "day=28/device_id=p"):
+        (path / "year=2026/month=07" / folder / "part-broken.json.gz").write_bytes(b"NOT")
+    day = read_lake(spark, str(path)).where("concat(year, month, day) = '20260728'")
+    optimized = day._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("_list(") < optimized.index("20260728")
+    assert 0 < day.where("device_id = 'a' OR device_id IS NULL").count() < whole
+    for broken in (day, read_lake(spark, str(path)).where("device_id = 'a'")):
+        with pytest.raises(Exception, match="(?s)zlib|incorrect header"):
+            broken.collect()
+
+
 def test_a_folder_that_is_no_partition_is_an_error(spark, tmp_path, many):
     path = tmp_path / "lake"
     write_lake(window_payloads(windows_of(spark)), str(path))
