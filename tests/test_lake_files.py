@@ -121,3 +121,18 @@ def test_pieces_of_a_file_are_the_file(monkeypatch, size, zipped):
         if zipped is not bytes:
             with pytest.raises(EOFError):
                 [lake_files._lines(io.BytesIO(body[:-4]), name, k) for k in range(-(-len(body) // size))]
+
+
+def test_publishing_again_where_folders_are_many(spark, tmp_path, many):
+    """A retry adds nothing, a changed batch takes the place of the old one, and files of a folder are put together."""
+    windows, path = windows_of(spark), str(tmp_path / "lake")
+    first = rows_of(publish(windows, path), *COLUMNS)
+    publish(windows.where("window_id % 3 = 0"), path)
+    assert rows_of(publish(windows, path), *COLUMNS) == first
+    changed = windows.withColumn("rms", F.when(F.col("window_id") == 2, F.lit(-1.0)).otherwise(F.col("rms")))
+    lake = publish(changed, path)
+    assert lake.count() == len(first) and lake.where("features.rms = -1").count() == len(NAMES)
+    write_lake(window_payloads(windows.withColumn("window_id", F.col("window_id") + 100)), path)
+    before = rows_of(read_lake(spark, path), *COLUMNS)
+    compact_lake(spark, path)
+    assert rows_of(read_lake(spark, path), *COLUMNS) == before and list_lake(spark, path).where("n_files > 1").count() == 0
