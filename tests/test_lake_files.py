@@ -136,3 +136,12 @@ def test_publishing_again_where_folders_are_many(spark, tmp_path, many):
     before = rows_of(read_lake(spark, path), *COLUMNS)
     compact_lake(spark, path)
     assert rows_of(read_lake(spark, path), *COLUMNS) == before and list_lake(spark, path).where("n_files > 1").count() == 0
+
+
+def test_a_synced_lake_of_many_folders(spark, tmp_path, many):
+    windows, lake = windows_of(spark, names=["a", "b/c"]), str(tmp_path / "lake")
+    archive_batches(windows, str(tmp_path / "a"))
+    sinks.sync_to_lake(sinks.stream_archive(spark, str(tmp_path / "a")), lake, str(tmp_path / "c")).awaitTermination()
+    assert "FileIndex" not in read_lake(spark, lake)._jdf.queryExecution().executedPlan().toString()
+    names = ["device_id", "batch_id", "to_json(features)"]
+    assert rows_of(read_lake(spark, lake), *names) == rows_of(window_payloads(windows), *names)
