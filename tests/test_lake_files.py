@@ -145,3 +145,13 @@ def test_a_synced_lake_of_many_folders(spark, tmp_path, many):
     assert "FileIndex" not in read_lake(spark, lake)._jdf.queryExecution().executedPlan().toString()
     names = ["device_id", "batch_id", "to_json(features)"]
     assert rows_of(read_lake(spark, lake), *names) == rows_of(window_payloads(windows), *names)
+
+
+def test_batches_delivered_again_to_a_lake_of_many_folders(spark, tmp_path, many):
+    windows, lake = windows_of(spark, names=["a", "b/c"]), str(tmp_path / "lake")
+    for part in ("true", "window_id % 2 = 0"):
+        archive_batches(windows.where(part), str(tmp_path / "a"))
+        sinks.sync_to_lake(sinks.stream_archive(spark, str(tmp_path / "a")), lake, str(tmp_path / "c")).awaitTermination()
+    found = publish(windows.where("window_id < 2"), lake)
+    assert "FileIndex" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(found, "device_id", "batch_id") == rows_of(window_payloads(windows), "device_id", "batch_id")
