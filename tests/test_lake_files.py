@@ -155,3 +155,15 @@ def test_batches_delivered_again_to_a_lake_of_many_folders(spark, tmp_path, many
     found = publish(windows.where("window_id < 2"), lake)
     assert "FileIndex" not in found._jdf.queryExecution().executedPlan().toString()
     assert rows_of(found, "device_id", "batch_id") == rows_of(window_payloads(windows), "device_id", "batch_id")
+
+
+def test_the_backlog_neither_lists_nor_broadcasts_a_lake_of_many_folders(spark, tmp_path, many):
+    windows, path = windows_of(spark, names=["a", "b/c", None]), str(tmp_path / "lake")
+    archive_batches(windows, str(tmp_path / "a"))
+    lake = publish(windows.where("window_id < 4"), path)
+    # Its size is not known from the few days that the driver holds.
+    assert lake._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 1 << 40
+    waiting, _ = backlog(spark, str(tmp_path / "a"), lake)
+    assert "FileIndex" not in lake._jdf.queryExecution().executedPlan().toString()
+    expected = [(d, k + 1) for d in ("a", "b/c", None) for k in range(windows.where("window_id >= 4").count() // 3)]
+    assert rows_of(waiting, "device_id", "queue_position") == sorted(expected, key=repr)

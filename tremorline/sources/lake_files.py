@@ -256,8 +256,9 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     """
     slices, n_folders = _slices(path)
     names = [*PARTITION_COLUMNS[:-1], "_day", "_slice", "_slices"]
-    schema = pa.schema([(n, pa.string()) for n in names[:4]] + [(n, pa.int32()) for n in names[4:]])
-    table = spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, s, strict=True)) for s in slices], schema))
+    # Made of rows, not of an Arrow table: its size is unknown to the optimizer, which would take that of an Arrow table for that of the
+    # lake, and send the lake to all tasks by the driver.
+    table = spark.createDataFrame(slices, ", ".join([f"{n} string" for n in names[:4]] + [f"{n} int" for n in names[4:]]))
     n_tasks = max(1, -(-n_folders // FOLDERS_PER_TASK), min(len(slices), 2 * spark.sparkContext.defaultParallelism))
     dealt = table.repartition(n_tasks, "_day", "_slice")
     listed = F.arrow_udf(_list, FILES)("_day", "_slice", "_slices")
